@@ -562,6 +562,15 @@ def _(spark, sf):
     return reports.daily_trend(_e_customer_daily(spark, sf, E_WEEK), E_DAY)
 
 
+@_register(
+    "report_daily_trend_years",
+    _TREND.replace("e_cust_daily", "l_cust_daily").replace(O.E_DAY, O.L_DAY) + " LIMIT 100",
+    "daily_total_energy_kwh",
+)
+def _(spark, sf):
+    return reports.daily_trend(rollups.customer_daily(_l_daily(spark, sf)), L_DAY)
+
+
 @_register("report_daily_trend_full", _TREND, "daily_total_energy_kwh")
 def _(spark, sf):
     return reports.daily_trend(_e_customer_daily(spark, sf, E_WEEK), E_DAY, limit=None)

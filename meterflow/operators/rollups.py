@@ -7,7 +7,7 @@ counts, because the finer grain holds each of them once per group.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow import schemas
@@ -30,7 +30,21 @@ def latest_readings(readings: DataFrame) -> DataFrame:
     )
 
 
-def _coarser_measures():
+def reading_measures() -> list[Column]:
+    """Measures of a device hour from its readings."""
+    return [
+        F.sum("energy_kwh").alias("total_energy_kwh"),
+        F.avg("voltage").alias("avg_voltage"),
+        F.min("voltage").alias("min_voltage"),
+        F.max("voltage").alias("max_voltage"),
+        F.avg("battery_pct").alias("avg_battery_pct"),
+        F.count(F.lit(1)).alias("reading_count"),
+        R.count_where(F.col("status") == "WARNING").alias("warning_count"),
+        R.count_where(F.col("status") == "OK").alias("ok_count"),
+    ]
+
+
+def coarser_measures() -> list[Column]:
     """Measures of a device grain from those of the finer grain."""
     return [
         F.sum("total_energy_kwh").alias("total_energy_kwh"),
@@ -44,7 +58,7 @@ def _coarser_measures():
     ]
 
 
-def _customer_measures(energy: str, devices: str):
+def _customer_measures(energy: str, devices: str) -> list[Column]:
     return [
         F.sum("total_energy_kwh").alias(energy),
         F.avg("avg_voltage").alias("avg_voltage"),
@@ -59,7 +73,7 @@ def _customer_measures(energy: str, devices: str):
     ]
 
 
-def _with_device_health(df: DataFrame) -> DataFrame:
+def with_device_health(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "health_score_pct": R.health_score("ok_count", "reading_count"),
@@ -68,6 +82,12 @@ def _with_device_health(df: DataFrame) -> DataFrame:
     )
 
 
+def with_hour_columns(hours: DataFrame) -> DataFrame:
+    return with_device_health(
+        hours.withColumns({"reading_date": F.to_date("reading_hour"), "hour_of_day": F.hour("reading_hour")})
+    )
+
+
 def device_hourly(readings: DataFrame, unique: bool = False) -> DataFrame:
     """Device hours from readings.
 
@@ -82,38 +102,22 @@ def device_hourly(readings: DataFrame, unique: bool = False) -> DataFrame:
         "device_id",
         "customer_id",
         F.date_trunc("hour", "reading_timestamp").alias("reading_hour"),
-    ).agg(
-        F.sum("energy_kwh").alias("total_energy_kwh"),
-        F.avg("voltage").alias("avg_voltage"),
-        F.min("voltage").alias("min_voltage"),
-        F.max("voltage").alias("max_voltage"),
-        F.avg("battery_pct").alias("avg_battery_pct"),
-        F.count(F.lit(1)).alias("reading_count"),
-        R.count_where(F.col("status") == "WARNING").alias("warning_count"),
-        R.count_where(F.col("status") == "OK").alias("ok_count"),
-    )
-    return _with_device_health(
-        hours.withColumns(
-            {
-                "reading_date": F.to_date("reading_hour"),
-                "hour_of_day": F.hour("reading_hour"),
-            }
-        )
-    ).select(*schemas.DEVICE_HOURLY.names)
+    ).agg(*reading_measures())
+    return with_hour_columns(hours).select(*schemas.DEVICE_HOURLY.names)
 
 
 def device_daily(hourly: DataFrame) -> DataFrame:
     days = hourly.groupBy("device_id", "customer_id", "reading_date").agg(
-        *_coarser_measures(), F.count("reading_hour").alias("active_hours")
+        *coarser_measures(), F.count("reading_hour").alias("active_hours")
     )
-    return _with_device_health(days).select(*schemas.DEVICE_DAILY.names)
+    return with_device_health(days).select(*schemas.DEVICE_DAILY.names)
 
 
 def device_monthly(daily: DataFrame) -> DataFrame:
     months = daily.groupBy(
         "device_id", "customer_id", C.month_start(F.col("reading_date")).alias("reading_month")
-    ).agg(*_coarser_measures(), F.count("reading_date").alias("active_days"))
-    return _with_device_health(
+    ).agg(*coarser_measures(), F.count("reading_date").alias("active_days"))
+    return with_device_health(
         months.withColumns({"year": F.year("reading_month"), "month": F.month("reading_month")})
     ).select(*schemas.DEVICE_MONTHLY.names)
 

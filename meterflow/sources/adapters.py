@@ -78,11 +78,11 @@ def staged_from_events(spark: SparkSession, sf_dir: str, redeliver: bool = False
 
 
 def readings_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One reading per line item: several years, many equal (device, time) pairs."""
+    """One reading per line item: several years, two devices per customer, many equal (device, time) pairs."""
     items = table(spark, sf_dir, "lineitem")
     return items.select(
         _device(F.col("l_suppkey")).alias("device_id"),
-        _customer(F.col("l_suppkey") % 5).alias("customer_id"),
+        _customer(F.floor(F.col("l_suppkey") / 2)).alias("customer_id"),
         F.col("l_shipdate").cast("timestamp").alias("reading_timestamp"),
         F.col("l_quantity").alias("energy_kwh"),
         (F.lit(220.0) + (F.col("l_partkey") % 100) * 0.2).alias("voltage"),

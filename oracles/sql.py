@@ -177,7 +177,7 @@ CTES: dict[str, str] = {
         SELECT {READING}, {FIRST_LOAD} FROM events_k
         UNION ALL SELECT {READING}, {SECOND_LOAD} FROM events_k WHERE event_type = 'signup'""",
     "l_readings": f"""
-        SELECT 'MTR-' || (10000 + l_suppkey) AS device_id, 'CUST-' || (8000 + l_suppkey % 5) AS customer_id,
+        SELECT 'MTR-' || (10000 + l_suppkey) AS device_id, 'CUST-' || (8000 + l_suppkey // 2) AS customer_id,
                l_shipdate AS reading_timestamp, l_quantity AS energy_kwh,
                220::DOUBLE + (l_partkey % 100) * 0.2::DOUBLE AS voltage, 60 + l_partkey % 41 AS battery_pct,
                CASE WHEN l_linenumber = 7 AND l_returnflag = 'A' THEN 'WARNING' ELSE 'OK' END AS status,
