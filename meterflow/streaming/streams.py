@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,9 @@ DELAY = "2 hours"
 
 
 def _checkpoint(lake: Lake, name: str) -> str:
-    return f"{shared_dir(lake.spark, lake.root)}/_checkpoints/{name}"
+    """Folder for a stream's offsets; lakes that share a cluster folder do not share streams."""
+    lake_id = hashlib.sha256(lake.root.encode()).hexdigest()[:16]
+    return f"{shared_dir(lake.spark, lake.root)}/_checkpoints/{lake_id}/{name}"
 
 
 def _trigger(interval: str | None) -> dict:
