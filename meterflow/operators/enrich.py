@@ -38,4 +38,4 @@ def with_master_customer(metrics: DataFrame, devices: DataFrame, customers: Data
     owners = lookup_join(
         devices.select("device_id", "customer_id"), customers.select("customer_id"), "customer_id"
     )
-    return lookup_join(metrics.drop("customer_id"), owners, "device_id")
+    return lookup_join(metrics.drop("customer_id"), owners, "device_id", bound=devices)

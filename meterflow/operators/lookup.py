@@ -9,13 +9,20 @@ from pyspark.sql import functions as F
 
 SALT = 16
 
+# Rows that a table of unknown size may have to be shipped to every task.
+MAX_BROADCAST_ROWS = 100_000
+
+# Estimates this large mean that Spark knows nothing about the size.
+UNKNOWN_BYTES = 1 << 50
+
 
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Size Spark's optimizer expects, from file sizes; None where it cannot be asked."""
+    """Size Spark's optimizer expects, from file sizes; None where it does not know."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
     except AttributeError:  # a remote session has no local plan
         return None
+    return size if size < UNKNOWN_BYTES else None
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -26,8 +33,14 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def small_enough_to_broadcast(df: DataFrame) -> bool:
+    """Whether a table is known to fit: by its estimated size, or else by a bounded count."""
+    limit = broadcast_limit(df)
+    if limit < 0:
+        return False
     size = estimated_bytes(df)
-    return size is not None and size <= broadcast_limit(df)
+    if size is not None:
+        return size <= limit
+    return df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
 
 
 def lookup_join(
@@ -36,17 +49,21 @@ def lookup_join(
     on: str | Sequence[str],
     how: str = "inner",
     salt: int = SALT,
+    bound: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``table``, which holds each key at most once.
 
-    A table below Spark's broadcast threshold is left to Spark, which ships it
-    to every task. A larger one is shuffled, with each key cut into ``salt``
-    parts on the ``rows`` side and repeated ``salt`` times on the other, so that
-    a key holding a third of all rows is spread over ``salt`` tasks. The part is
-    a hash of the row itself: a re-run task puts each row where it was before.
+    A table known to be small is shipped to every task; ``bound`` is a frame at
+    least as large as ``table`` to judge by where ``table`` itself is a join. A
+    larger one is shuffled, with each key cut into ``salt`` parts on the
+    ``rows`` side and repeated ``salt`` times on the other, so that a key holding
+    a third of all rows is spread over ``salt`` tasks. The part is a hash of the
+    row itself: a re-run task puts each row where it was before.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if small_enough_to_broadcast(table) or salt <= 1:
+    if small_enough_to_broadcast(table if bound is None else bound):
+        return rows.join(F.broadcast(table), keys, how)
+    if salt <= 1:
         return rows.join(table, keys, how)
     spread = [c for c in rows.columns if c not in keys] or keys
     salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salt)))

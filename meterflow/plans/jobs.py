@@ -12,12 +12,12 @@ from meterflow.functions import calendar as C
 from meterflow.operators import rollups, staging
 from meterflow.operators.dedup import dedup_latest
 from meterflow.sources.tables import MARTS, STAGING, TABLES, Lake
-from meterflow.sources.topics import Topic, read_topic
+from meterflow.sources.topics import Topic, dealt_out, read_topic
 
 # Readings are kept once per device and time, as the hourly rollup needs them;
 # equal staging keys imply equal device and time.
 STAGING_KEYS = {
-    "stg_telemetry_raw": ["device_id", "reading_timestamp"],
+    "stg_telemetry_raw": rollups.READING_KEY,
     "stg_meter_health_logs": ["log_id"],
 }
 LOADED_AT = {"stg_telemetry_raw": "ingested_at", "stg_meter_health_logs": "processed_at"}
@@ -87,16 +87,14 @@ def load_rows(
     """Load parsed rows into a staging table; the dates that changed (None: all).
 
     ``late="drop"`` takes only rows after the newest one held; ``"keep"`` takes
-    rows of any time whose key is not held yet; ``"upsert"`` lets every row
-    replace the held one.
+    rows of any time whose key is not held yet; both are appended. ``"upsert"``
+    lets every row replace the held one, which rewrites the dates it touches.
     """
     if late not in ("drop", "keep", "upsert"):
         raise ValueError(f"late must be 'drop', 'keep' or 'upsert', not {late!r}")
     keys, loaded_at, date_col = STAGING_KEYS[name], LOADED_AT[name], TABLES[name].date_col
-    feeds_marts = name in MART_INPUT.values()
     if full_refresh or not lake.exists(name):
-        if feeds_marts:
-            lake.set_pending(None)
+        _note_changes(lake, name, None)
         lake.write_full(dedup_latest(rows, keys, [loaded_at]), name)
         return None
     if late == "drop":
@@ -107,17 +105,33 @@ def load_rows(
     dates = changed_dates(arrived, date_col)
     if dates == []:
         return []
-    held = lake.read_dates(name, dates)
-    arrived = arrived.select(*held.columns)
-    if late == "keep":
-        arrived = staging.incremental_new(arrived, held, EVENT_TIME[name], keys, late="keep")
-    merged = staging.upsert_latest(held, arrived, keys, [loaded_at])
-    if feeds_marts:
-        lake.set_pending(joined_dates(lake.pending_dates(), dates))
-    lake.replace_dates(merged, name, dates)
+    if late == "upsert":
+        merged = staging.upsert_latest(lake.read_dates(name, dates), _columns(arrived, name), keys, [loaded_at])
+        _note_changes(lake, name, dates)
+        lake.replace_dates(merged, name, dates)
+        return dates
+    if late == "drop" and name == "stg_telemetry_raw":
+        fresh = dedup_latest(_columns(arrived, name), keys, [loaded_at])  # after the mark: surely not held
+    else:
+        held = lake.read_dates(name, dates)
+        fresh = staging.incremental_new(_columns(arrived, name), held, EVENT_TIME[name], keys, late="keep")
+    fresh = lake.write_work(fresh, name, "fresh")
+    dates = changed_dates(fresh, date_col)
+    if dates != []:
+        _note_changes(lake, name, dates)
+        lake.append(_columns(fresh, name), name)
     return dates
 
 
+def _columns(rows: DataFrame, name: str) -> DataFrame:
+    return rows.select(*TABLES[name].schema.names)
+
+
+def _note_changes(lake: Lake, name: str, dates: list[dt.date] | None) -> None:
+    if name in MART_INPUT.values():
+        lake.set_pending(joined_dates(lake.pending_dates(), dates))
+
+
 def _months(dates: Sequence[dt.date] | None) -> list[dt.date] | None:
     return None if dates is None else sorted({d.replace(day=1) for d in dates})
 
@@ -185,7 +199,7 @@ def run(
     models = selected(select)
     changed: dict[str, list[dt.date] | None] = {}
     for name in (m for m in models if m in STAGING_KEYS and m in topics):
-        rows = parse(name, read_topic(lake.spark, topics[name]), batch_ts, strict)
+        rows = parse(name, dealt_out(read_topic(lake.spark, topics[name])), batch_ts, strict)
         changed[name] = load_rows(lake, name, rows, late, full_refresh)
     marts = [m for m in models if m in MART_INPUT]
     if marts and (full_refresh or not only_changed):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from meterflow.functions.keys import surrogate_key
 from meterflow.session import use_utc
-from meterflow.sources.topics import telemetry_body
+from meterflow.sources.topics import dealt_out, telemetry_body
 
 # Load times of the first delivery and of the repeated one.
 LOADED_AT = dt.datetime(2024, 2, 1)
@@ -94,6 +94,17 @@ def readings_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _as_topic(df: DataFrame, key: str, message: Column, at: str) -> DataFrame:
+    """Topic rows. The one-element explode fixes the text, so that filters on its
+    parsed fields do not build it again, and each message is written once."""
+    rows = df.select(
+        F.col(key).alias("_key"),
+        F.explode(F.array(message)).alias("_message"),
+        F.col(at).cast("timestamp").alias("_timestamp"),
+    )
+    return dealt_out(rows)
+
+
 def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Telemetry topic rows, usable ones and every kind of unusable one.
 
@@ -115,11 +126,7 @@ def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(battery == 68, F.lit(None).cast("string"))
         .otherwise(text)
     )
-    return messages.select(
-        F.col("device_id").alias("_key"),
-        spoiled.alias("_message"),
-        F.to_timestamp("timestamp").alias("_timestamp"),
-    )
+    return _as_topic(messages, "device_id", spoiled, "timestamp")
 
 
 def log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,9 +163,7 @@ def log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     for kind, text in styles.items():
         message = message.when(F.col("event_type") == kind, text)
     message = message.otherwise(line("$at", " [INFO] no meter named, battery=", "$k"))
-    return events.select(
-        F.col("dev").alias("_key"), message.alias("_message"), F.col("reading_timestamp").alias("_timestamp")
-    )
+    return _as_topic(events, "dev", message, "reading_timestamp")
 
 
 def customer_master(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -74,9 +74,9 @@ class Lake:
     def path(self, name: str) -> str:
         return f"{self.root}/{TABLES[name].layer}/{name}"
 
-    def work_path(self, name: str) -> str:
+    def work_path(self, name: str, step: str) -> str:
         """Place for the rows of one load, replaced by the next load."""
-        return f"{self.root}/_work/{name}"
+        return f"{self.root}/_work/{name}-{step}"
 
     def _fs(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -186,14 +186,19 @@ class Lake:
         else:
             self.write_dates(df, name)
 
-    def write_work(self, df: DataFrame, name: str) -> DataFrame:
-        """Write the rows of one load and read them back.
+    def append(self, df: DataFrame, name: str) -> None:
+        """Add rows to a table, each date's to its own partition."""
+        table = TABLES[name]
+        self._write(self._laid_out(self._stored(df, table), table), self.path(name), table, "append", False)
+
+    def write_work(self, df: DataFrame, name: str, step: str = "arrived") -> DataFrame:
+        """Write the rows of one load and read them back, with the date column.
 
         Later steps use the rows several times; from here on a lost executor
         costs a file read, not another scan of the source.
         """
-        table, path = TABLES[name], self.work_path(name)
-        self._write(self._stored(df, table), path, table, "overwrite", False)
+        table, path = TABLES[name], self.work_path(name, step)
+        self._stored(df, table).write.mode("overwrite").parquet(path)
         return self.spark.read.schema(table.stored_schema).parquet(path)
 
     # -- catalog -----------------------------------------------------------

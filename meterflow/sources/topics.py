@@ -70,6 +70,18 @@ def read_topic(spark: SparkSession, topic: Topic, streaming: bool = False) -> Da
     raise ValueError(f"unknown topic kind {topic.kind!r}")
 
 
+def dealt_out(messages: DataFrame) -> DataFrame:
+    """Messages over all cores, where the source has fewer splits than that.
+
+    Parsing costs far more than moving the text once; a source that already
+    has enough splits is left as it is.
+    """
+    if messages.isStreaming:
+        return messages
+    cores = messages.sparkSession.sparkContext.defaultParallelism
+    return messages if messages.rdd.getNumPartitions() >= cores else messages.repartition(cores)
+
+
 def to_records(df: DataFrame, key_col: str) -> DataFrame:
     """Rows as keyed JSON records (``key``, ``value``), ready for a Kafka sink."""
     return df.select(
