@@ -18,10 +18,9 @@ UNKNOWN_BYTES = 1 << 50
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Size Spark's optimizer expects, from file sizes; None where it does not know."""
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:  # a remote session has no local plan
+    if not hasattr(df, "_jdf"):  # a remote session has no local plan
         return None
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return size if size < UNKNOWN_BYTES else None
 
 

@@ -5,8 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from meterflow.operators import enrich, quality, rollups
-from meterflow.operators.lookup import broadcast_limit, lookup_join, small_enough_to_broadcast
+from meterflow.operators import enrich, lookup, quality, rollups
+from meterflow.operators.lookup import broadcast_limit, estimated_bytes, lookup_join, small_enough_to_broadcast
 from meterflow.plans import reports
 from meterflow.sources.master import seed_customers, seed_devices
 from tests.helpers import LOADED, dicts_of, readings, rows_of
@@ -56,6 +56,15 @@ def test_salted_join_gives_the_same_rows(spark, no_broadcast, how):
     assert rows_of(salted) == rows_of(rows.join(table, "k", how))
 
 
+def test_sizes(spark, seeds, sf_dir, monkeypatch):
+    stored = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    assert 0 < estimated_bytes(stored) < 1 << 20
+    assert estimated_bytes(seeds[0]) is None  # rows from the driver: judged by a bounded count
+    assert small_enough_to_broadcast(seeds[0])
+    monkeypatch.setattr(lookup, "MAX_BROADCAST_ROWS", 9)
+    assert not small_enough_to_broadcast(seeds[0])
+
+
 def test_broadcast_limit_units(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
