@@ -335,6 +335,31 @@ def _(spark, sf):
     return quality.too_long(A.device_master(spark, sf), {"device_id": 9, "device_model": 9})
 
 
+@_register(
+    "master_violations",
+    """SELECT * FROM (
+         SELECT 'customer_master' AS table_name, 'null' AS "check", 'customer_name' AS column_name, count(*) AS row_count
+         FROM customer_master WHERE customer_name = 'ASIA'
+         UNION ALL SELECT 'device_master', 'orphan', 'customer_id', count(*) FROM device_master
+         WHERE customer_id NOT IN (SELECT customer_id FROM customer_master)
+         UNION ALL SELECT 'device_master', 'duplicate_key', 'device_id', count(*) FROM device_master
+         WHERE device_status = 'INACTIVE'
+         UNION ALL SELECT 'device_master', 'too_long', 'location', 2 * count(*) FROM device_master
+         WHERE device_status = 'INACTIVE') AS v WHERE row_count > 0""",
+)
+def _(spark, sf):
+    customers = A.customer_master(spark, sf)
+    named = F.nullif(F.col("customer_name"), F.lit("ASIA"))
+    devices = A.device_master(spark, sf)
+    stopped = F.col("device_status") == "INACTIVE"
+    padded = F.when(stopped, F.rpad("location", 101, ".")).otherwise(F.col("location"))
+    devices = devices.withColumn("location", padded)
+    twice = devices.unionByName(devices.filter(stopped).withColumn("customer_id", F.lit("CUST-8000")))
+    return quality.master_violations(
+        {"customer_master": customers.withColumn("customer_name", named), "device_master": twice}
+    )
+
+
 _COUNTED = ["customer", "supplier", "orders", "lineitem", "events"]
 
 
@@ -411,7 +436,9 @@ def _(spark, sf):
     "latest_day_energy_kwh",
 )
 def _(spark, sf):
-    mtd = rollups.customer_usage_mtd(rollups.customer_daily(_l_daily(spark, sf)), L_DAY)
+    readings = A.readings_from_lineitem(spark, sf)
+    dates = readings.select(F.to_date("reading_timestamp").alias("reading_date"))
+    mtd = rollups.customer_usage_mtd(rollups.customer_daily(_l_daily(spark, sf)), L_DAY, dates=dates)
     return mtd.select("customer_id", "last_reading_date", "latest_day_energy_kwh")
 
 

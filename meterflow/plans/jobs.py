@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from meterflow.functions import calendar as C
 from meterflow.operators import rollups, staging
 from meterflow.operators.dedup import dedup_latest
+from meterflow.operators.lookup import estimated_bytes
+from meterflow.session import fitted_to_input
 from meterflow.sources.tables import MARTS, STAGING, TABLES, Lake
 from meterflow.sources.topics import Topic, dealt_out, read_topic
 
@@ -165,6 +167,13 @@ def _month_end(first: dt.date) -> dt.date:
     return (first.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
 
 
+def _input_bytes(lake: Lake, name: str, dates: Sequence[dt.date] | None) -> int | None:
+    """Size of what a mart is built from; a month counts with the days it was noted for."""
+    source = MART_INPUT[name]
+    by_month = TABLES[source].date_col == "reading_month"
+    return lake.size(source, _months(dates) if by_month else dates)
+
+
 def refresh_marts(lake: Lake, as_of: C.AsOf = None, models: Iterable[str] = tuple(MART_INPUT)) -> None:
     """Bring marts up to date with staging.
 
@@ -175,7 +184,9 @@ def refresh_marts(lake: Lake, as_of: C.AsOf = None, models: Iterable[str] = tupl
     for name in models:
         whole = dates is None or not lake.exists(name)
         if whole or dates or TABLES[name].date_col is None:
-            build_mart(lake, name, None if whole else dates, as_of)
+            wanted = None if whole else dates
+            with fitted_to_input(lake.spark, _input_bytes(lake, name, wanted)):
+                build_mart(lake, name, wanted, as_of)
     if set(models) == set(MART_INPUT):
         lake.set_pending([])
 
@@ -199,8 +210,10 @@ def run(
     models = selected(select)
     changed: dict[str, list[dt.date] | None] = {}
     for name in (m for m in models if m in STAGING_KEYS and m in topics):
-        rows = parse(name, dealt_out(read_topic(lake.spark, topics[name])), batch_ts, strict)
-        changed[name] = load_rows(lake, name, rows, late, full_refresh)
+        messages = read_topic(lake.spark, topics[name])
+        with fitted_to_input(lake.spark, estimated_bytes(messages)):
+            rows = parse(name, dealt_out(messages), batch_ts, strict)
+            changed[name] = load_rows(lake, name, rows, late, full_refresh)
     marts = [m for m in models if m in MART_INPUT]
     if marts and (full_refresh or not only_changed):
         lake.set_pending(None)

@@ -104,6 +104,23 @@ DEVICE_MASTER = _schema(
     " created_at TIMESTAMP, updated_at TIMESTAMP"
 )
 
+# What the master tables promise: one row per key, no NULL where required, and
+# every device's customer known.
+MASTER_KEYS = {"customer_master": "customer_id", "device_master": "device_id"}
+MASTER_REQUIRED = {
+    "customer_master": ["customer_id", "customer_name"],
+    "device_master": ["device_id", "customer_id"],
+}
+MASTER_REFERENCES = {"device_master": ("customer_id", "customer_master")}
+
+# What a NULL becomes on insert. Times of creation and change
+# become the time of the insert.
+MASTER_DEFAULTS = {
+    "customer_master": {"account_status": "ACTIVE"},
+    "device_master": {"device_status": "ACTIVE"},
+}
+MASTER_TIMES = ["created_at", "updated_at"]
+
 # Longest text each master column may hold.
 MASTER_TEXT_LENGTHS = {
     "customer_master": {

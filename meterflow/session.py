@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # UTC keeps hour and day boundaries the same on every executor; the adaptive
@@ -36,3 +38,35 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, fallback: str) -> str:
     """Folder every executor can reach: the cluster's own, or ``fallback`` where none is set."""
     return spark.conf.get("spark.checkpoint.dir", None) or fallback
+
+
+# One reduce task should get about this much, and one shuffle no more tasks than this:
+# every map task writes a block for each of them.
+REDUCE_BYTES = 512 << 20
+MAX_REDUCERS = 20_000
+# Inputs above this are read in larger pieces, again to keep the number of blocks down.
+LARGE_INPUT = 10 << 40
+
+
+@contextmanager
+def fitted_to_input(spark: SparkSession, input_bytes: int | None):
+    """Shuffles as wide as an input of this size needs, for the jobs run inside.
+
+    The width is only ever raised: adaptive execution joins small partitions, but
+    does not split those of an aggregation that was planned too narrow.
+    """
+    settings: dict[str, str] = {}
+    if input_bytes is not None:
+        needed = min(MAX_REDUCERS, -(-input_bytes // REDUCE_BYTES))
+        if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
+            settings["spark.sql.shuffle.partitions"] = str(needed)
+        if input_bytes > LARGE_INPUT:
+            settings["spark.sql.files.maxPartitionBytes"] = "512m"
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -10,6 +10,9 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 
 from meterflow import schemas
+from meterflow.operators.dedup import first_of_each
+from meterflow.operators.quality import with_master_defaults
+from meterflow.operators.staging import insert_missing
 
 TABLES = {"customer_master": schemas.CUSTOMER_MASTER, "device_master": schemas.DEVICE_MASTER}
 
@@ -43,6 +46,22 @@ def read_master(spark: SparkSession, master: Master, table: str) -> DataFrame:
     return rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def add_missing(spark: SparkSession, source: Master, table: str, rows: DataFrame) -> None:
+    """Insert the rows whose key a Parquet master table lacks; a second run adds nothing.
+
+    The first run creates the table.
+    """
+    key = schemas.MASTER_KEYS[table]
+    rows = with_master_defaults(rows, table).select(*TABLES[table].names)
+    path = f"{source.path}/{table}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        missing = insert_missing(rows, read_master(spark, source, table), key)
+    else:
+        missing = first_of_each(rows, [key])
+    missing.write.mode("append").parquet(path)
+
+
 # The sample customers and devices.
 SEED_CUSTOMERS = [
     ("CUST-8000", "Acme Corporation", "billing@acmecorp.com", "+1-555-0100", "123 Industrial Blvd", "San Francisco", "CA", "94102", "ACTIVE"),

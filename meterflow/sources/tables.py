@@ -111,6 +111,14 @@ class Lake:
         days = (n.removeprefix(prefix) for n in names if n.startswith(prefix))
         return sorted(dt.date.fromisoformat(d) for d in days if not d.startswith("__"))
 
+    def size(self, name: str, dates: Sequence[dt.date] | None) -> int:
+        """Bytes on disk of the given dates, or of the whole table for None."""
+        fs, p = self._fs(self.path(name))
+        if dates is None:
+            return fs.getContentSummary(p).getLength()
+        parts = [self._fs(f"{self.path(name)}/{TABLES[name].date_col}={d}")[1] for d in dates]
+        return sum(fs.getContentSummary(q).getLength() for q in parts if fs.exists(q))
+
     def read_newest(self, name: str) -> DataFrame:
         """The partition of the latest date: the newest rows are there."""
         dates = self.dates(name)

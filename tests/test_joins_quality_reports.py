@@ -98,6 +98,24 @@ def test_quality(spark, seeds):
     assert rows_of(quality.row_counts({"d": devices, "c": customers})) == [("c", 5), ("d", 10)]
 
 
+def test_master_violations(spark, seeds):
+    devices, customers = seeds
+    assert quality.master_violations({"customer_master": customers, "device_master": devices}).count() == 0
+    broken = devices.withColumns(
+        {"device_model": F.rpad("device_model", 51, "."), "customer_id": F.lit("CUST-1")}
+    ).unionByName(devices.limit(1).withColumn("customer_id", F.lit(None).cast("string")))
+    got = quality.master_violations({"customer_master": customers, "device_master": broken})
+    assert rows_of(got) == [
+        ("device_master", "duplicate_key", "device_id", 1), ("device_master", "null", "customer_id", 1),
+        ("device_master", "orphan", "customer_id", 10), ("device_master", "too_long", "device_model", 10)]
+
+
+def test_master_defaults(spark, seeds):
+    bare = seeds[0].withColumns({"device_status": F.lit(None).cast("string"), "created_at": F.lit(None).cast("timestamp")})
+    row = quality.with_master_defaults(bare, "device_master", dt.datetime(2025, 5, 1)).first()
+    assert (row.device_status, row.created_at, row.updated_at) == ("ACTIVE", dt.datetime(2025, 5, 1), LOADED)
+
+
 def test_orphans_ignore_null_keys(spark, seeds):
     devices = seeds[0].withColumn("customer_id", F.lit(None).cast("string"))
     assert quality.orphans(devices, seeds[1], "customer_id").count() == 0

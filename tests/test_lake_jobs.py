@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from meterflow.operators import rollups, staging
 from meterflow.plans import jobs
-from meterflow.sources.master import Master, read_master, seed_customers, seed_devices
+from meterflow.session import fitted_to_input
+from meterflow.sources.master import Master, add_missing, read_master, seed_customers, seed_devices
 from meterflow.sources.tables import TABLES, Lake
 from meterflow.sources.topics import Topic, read_topic, telemetry_body, to_records
 from tests.helpers import LOADED, message, readings, rows_of, topic_rows, ts
@@ -252,6 +253,33 @@ def test_records_round_trip(spark):
     assert rows_of(back) == rows_of(rows)
 
 
+def test_seeding_twice_adds_nothing(spark, tmp_path):
+    source = Master(path=str(tmp_path))
+    for _ in range(2):
+        add_missing(spark, source, "customer_master", seed_customers(spark, LOADED))
+        add_missing(spark, source, "device_master", seed_devices(spark, LOADED))
+    assert read_master(spark, source, "customer_master").count() == 5
+    assert read_master(spark, source, "device_master").count() == 10
+
+
+def test_shuffles_fit_the_input(spark):
+    width, split = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(width), spark.conf.get(split)
+    for size, wide in ((None, old[0]), (1 << 20, old[0]), (1 << 40, "2048"), (100 << 40, "20000")):
+        with fitted_to_input(spark, size):
+            assert spark.conf.get(width) == wide
+            assert (spark.conf.get(split) == "512m") == (size == 100 << 40)
+        assert (spark.conf.get(width), spark.conf.get(split)) == old
+
+
+def test_size_of_dates(lake, topics):
+    topics.send(messages([1, 2]))
+    run(lake, topics, select="staging")
+    one, none = [dt.date(2025, 1, 1)], [dt.date(2030, 1, 1)]
+    assert 0 == lake.size("stg_telemetry_raw", none) < lake.size("stg_telemetry_raw", one)
+    assert lake.size("stg_telemetry_raw", one) < lake.size("stg_telemetry_raw", None)
+
+
 def test_master_from_files(spark, tmp_path):
     seed_customers(spark, LOADED).write.parquet(str(tmp_path / "customer_master"))
     seed_devices(spark, LOADED).write.parquet(str(tmp_path / "device_master"))

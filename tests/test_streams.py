@@ -6,6 +6,7 @@ import pytest
 
 from meterflow.operators import rollups, staging
 from meterflow.plans import jobs
+from meterflow.session import shared_dir
 from meterflow.sources.tables import Lake
 from meterflow.sources.topics import Topic, read_topic
 from meterflow.streaming import streams
@@ -117,18 +118,20 @@ def test_day_windows_equal_batch(spark, lake, feed, tmp_path):
     assert rows_of(done) == rows_of(batch)
 
 
-def test_checkpoints_follow_the_cluster_setting(spark, lake, tmp_path):
-    old = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.unset("spark.checkpoint.dir")
-        if spark.conf.get("spark.checkpoint.dir", None) is None:
-            assert streams._checkpoint(lake, "x").startswith(f"{lake.root}/_checkpoints/")
-        spark.conf.set("spark.checkpoint.dir", "/shared/spark")
-        mine = streams._checkpoint(lake, "x")
-        assert mine.startswith("/shared/spark/_checkpoints/")
-        assert streams._checkpoint(Lake(spark, str(tmp_path / "other")), "x") != mine
-    finally:
-        if old is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", old)
+class Conf(dict):
+    """A session that only has settings; the real one's checkpoint folder cannot be changed."""
+
+    @property
+    def conf(self):
+        return self
+
+
+def test_shared_folder_is_the_cluster_setting():
+    assert shared_dir(Conf({"spark.checkpoint.dir": "/shared"}), "/lake") == "/shared"
+    assert shared_dir(Conf(), "/lake") == "/lake"
+
+
+def test_lakes_do_not_share_checkpoints(spark, lake, tmp_path):
+    mine = streams._checkpoint(lake, "x")
+    assert mine.startswith(shared_dir(spark, lake.root))
+    assert streams._checkpoint(Lake(spark, str(tmp_path / "other")), "x") != mine
