@@ -206,6 +206,16 @@ def _(spark, sf):
     return staging.late_rows(rows.filter(warned), target.filter(~warned), "reading_timestamp")
 
 
+@_register(
+    "lost_rows",
+    f"SELECT {_STAGED} FROM staged WHERE reading_timestamp < {O.CUT} AND status = 'WARNING'",
+)
+def _(spark, sf):
+    target, rows = _split(spark, sf)
+    target = target.filter(F.col("status") != "WARNING")
+    return staging.lost_rows(rows, target, "reading_timestamp", "telemetry_id")
+
+
 @_register(
     "upsert_latest",
     f"""SELECT telemetry_id, device_id, customer_id, reading_timestamp,

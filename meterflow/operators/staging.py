@@ -213,6 +213,15 @@ def late_rows(
     return new.filter(~F.coalesce(F.col(ts_col) > mark.scalar(), F.lit(False)))
 
 
+def lost_rows(
+    new: DataFrame, target: DataFrame, ts_col: str, key: str | Sequence[str], mark: DataFrame | None = None
+) -> DataFrame:
+    """Rows that ``late="drop"`` loses for good: late and not held, one per key."""
+    keys = [key] if isinstance(key, str) else list(key)
+    late = dedup_latest(late_rows(new, target, ts_col, mark), keys, [ts_col])
+    return late.join(target.select(*keys), keys, "left_anti")
+
+
 def upsert_latest(
     target: DataFrame, new: DataFrame, key: str | Sequence[str], latest_by: Sequence[str | Column]
 ) -> DataFrame:

@@ -84,13 +84,19 @@ def newest_mark(lake: Lake, name: str) -> DataFrame:
 
 
 def load_rows(
-    lake: Lake, name: str, rows: DataFrame, late: str = "drop", full_refresh: bool = False
+    lake: Lake,
+    name: str,
+    rows: DataFrame,
+    late: str = "drop",
+    full_refresh: bool = False,
+    late_path: str | None = None,
 ) -> list[dt.date] | None:
     """Load parsed rows into a staging table; the dates that changed (None: all).
 
     ``late="drop"`` takes only rows after the newest one held; ``"keep"`` takes
     rows of any time whose key is not held yet; both are appended. ``"upsert"``
     lets every row replace the held one, which rewrites the dates it touches.
+    With ``late_path``, the rows that ``"drop"`` loses replace the files there.
     """
     if late not in ("drop", "keep", "upsert"):
         raise ValueError(f"late must be 'drop', 'keep' or 'upsert', not {late!r}")
@@ -100,9 +106,11 @@ def load_rows(
         lake.write_full(dedup_latest(rows, keys, [loaded_at]), name)
         return None
     if late == "drop":
-        rows = staging.incremental_new(
-            rows, lake.read(name), EVENT_TIME[name], keys, mark=newest_mark(lake, name)
-        )
+        held, mark = lake.read(name), newest_mark(lake, name)
+        if late_path is not None:
+            lost = staging.lost_rows(rows, held, EVENT_TIME[name], keys, mark)
+            lost.write.mode("overwrite").parquet(late_path)
+        rows = staging.incremental_new(rows, held, EVENT_TIME[name], keys, mark=mark)
     arrived = lake.write_work(rows, name)
     dates = changed_dates(arrived, date_col)
     if dates == []:
@@ -201,6 +209,7 @@ def run(
     batch_ts: dt.datetime | None = None,
     strict: bool = False,
     only_changed: bool = True,
+    late_paths: Mapping[str, str] | None = None,
 ) -> dict[str, list[dt.date] | None]:
     """Build the selected models in order; per staging table, the dates that changed.
 
@@ -213,7 +222,7 @@ def run(
         messages = read_topic(lake.spark, topics[name])
         with fitted_to_input(lake.spark, estimated_bytes(messages)):
             rows = parse(name, dealt_out(messages), batch_ts, strict)
-            changed[name] = load_rows(lake, name, rows, late, full_refresh)
+            changed[name] = load_rows(lake, name, rows, late, full_refresh, (late_paths or {}).get(name))
     marts = [m for m in models if m in MART_INPUT]
     if marts and (full_refresh or not only_changed):
         lake.set_pending(None)

@@ -130,7 +130,9 @@ def test_late_device_is_dropped_or_kept(lake, topics, spark, tmp_path):
     run(lake, topics)
     run(kept, topics)
     topics.send(messages(range(1, 6), devices=["MTR-2"]))
-    assert run(lake, topics, late="drop")["stg_telemetry_raw"] == []
+    lost = str(tmp_path / "lost")
+    assert run(lake, topics, late="drop", late_paths={"stg_telemetry_raw": lost})["stg_telemetry_raw"] == []
+    assert [tuple(r) for r in spark.read.parquet(lost).groupBy("device_id").count().collect()] == [("MTR-2", 10)]
     assert len(run(kept, topics, late="keep")["stg_telemetry_raw"]) == 5
     assert lake.read("stg_telemetry_raw").select("device_id").distinct().count() == 1
     assert kept.read("stg_telemetry_raw").select("device_id").distinct().count() == 2
