@@ -364,7 +364,8 @@ def _(spark, sf):
     stopped = F.col("device_status") == "INACTIVE"
     padded = F.when(stopped, F.rpad("location", 101, ".")).otherwise(F.col("location"))
     devices = devices.withColumn("location", padded)
-    twice = devices.unionByName(devices.filter(stopped).withColumn("customer_id", F.lit("CUST-8000")))
+    known = F.concat(F.lit("CUST-"), (F.substr("device_id", F.lit(5)).cast("int") % 5 + 8000).cast("string"))
+    twice = devices.unionByName(devices.filter(stopped).withColumn("customer_id", known))
     return quality.master_violations(
         {"customer_master": customers.withColumn("customer_name", named), "device_master": twice}
     )
