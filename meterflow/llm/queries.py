@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import chat, credentials, line_runs
+from meterflow.llm import bpe, chat, credentials, fertility, line_runs, token_counts
 from meterflow.llm.common import sha256, table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,27 @@ def _query(fn: Query) -> Query:
     return fn
 
 
+@_query
+def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = fertility.rate_documents(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return rated.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"),
+        *("n_tokens", "chars_per_token", "fallback_share", "token_entropy"),
+    )
+
+
+@_query
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return encoded.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @_query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = credentials.scan_secrets(table(spark, sf_dir, "documents"))
@@ -34,6 +55,14 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return counted.select(
+        F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit")
+    )
+
+
 @_query
 def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations")
