@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import bpe, chat, credentials, fertility, line_runs, token_counts
+from meterflow.llm import bpe, chat, credentials, fertility, jaccard_forest, line_runs, token_counts
 from meterflow.llm.common import sha256, table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,12 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op6_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = jaccard_forest.join_near(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return near.select(F.col("row.doc_id").alias("doc_id"), "class_id", "n_links", "n_copies")
+
+
 @_query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = credentials.scan_secrets(table(spark, sf_dir, "documents"))
