@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import bpe, chat, credentials, fertility, jaccard_forest, line_runs, token_counts
+from meterflow.llm import bpe, chat, credentials, fertility, jaccard_forest, line_runs, suffix_dedup, token_counts
 from meterflow.llm.common import sha256, table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,18 @@ def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return cleaned.select(
+        F.col("row.doc_id").alias("doc_id"),
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @_query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), keep=["doc_id"])
