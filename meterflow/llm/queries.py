@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterflow.llm import bpe, chat, credentials, fertility, jaccard_forest, line_runs, suffix_dedup, token_counts
+from meterflow.llm import (
+    bpe,
+    chat,
+    credentials,
+    decontaminate,
+    fertility,
+    jaccard_forest,
+    line_runs,
+    suffix_dedup,
+    token_counts,
+    wrappers,
+)
 from meterflow.llm.common import sha256, table, whole
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +64,20 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
+    )
+    return found.select(F.col("row.doc_id").alias("doc_id"), F.inline("leaks"))
+
+
+@_query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = wrappers.extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @_query
 def op6_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = jaccard_forest.join_near(table(spark, sf_dir, "documents"), keep=["doc_id"])

@@ -351,8 +351,12 @@ def remove_repeats(
     spans = spans.withColumn("span", F.sum("new").over(Window.partitionBy("k1", "k2").orderBy("from", "end")))
     spans = spans.groupBy("k1", "k2", "span").agg(F.min("from").alias("from"), F.max("end").alias("end"))
     removed = spans.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("from", "end"))).alias("spans"))
+    # Written, so that the rows of a text with very many copies can be split between tasks.
+    removed = written(removed, "spans")
     rows = documents.select(
-        packed(documents.select(*[F.col(f"`{c}`") for c in keep or documents.columns])), *key_columns(text), text.alias("text")
+        packed(documents.select(*[F.col(f"`{c}`") for c in keep or documents.columns])),
+        *key_columns(text),
+        text.alias("text"),
     )
     joined = rows.join(removed, ["k1", "k2"], "left")
     raw = F.col("text").cast("binary")
