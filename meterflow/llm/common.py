@@ -33,10 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, or a temporary one of this machine where none is set (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="llm-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="llm-"))
+        folder = context.getCheckpointDir()
     return folder.rstrip("/")
 
 

@@ -57,7 +57,7 @@ def anchors(data: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
     width = reach(length)
     with np.errstate(over="ignore"):
         h, size = data.astype(np.uint64) + np.uint64(1), 1
-        while size < GRAM:
+        while size < GRAM and width + 2 * size <= length + 1:
             h = h[: len(h) - size] * np.uint64(pow(_ODD, size, 1 << 64)) + h[size:]
             size *= 2
         h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
