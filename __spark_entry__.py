@@ -81,6 +81,11 @@ def _e_mtd(spark, sf):
     )
 
 
+def _l_mtd(spark, sf):
+    """Month to date over the fifty customers of the line items: all three states occur."""
+    return rollups.customer_usage_mtd(rollups.customer_daily(_l_daily(spark, sf)), L_DAY)
+
+
 def _l_daily(spark, sf):
     return rollups.device_daily(rollups.device_hourly(A.readings_from_lineitem(spark, sf)))
 
@@ -294,9 +299,10 @@ def _(spark, sf):
 
 @_register(
     "join_master",
-    """SELECT t.device_id, d.device_model, d.location, c.customer_name, t.energy_kwh, t.voltage, t.status
-       FROM e_readings AS t JOIN device_master AS d ON t.device_id = d.device_id
-       JOIN customer_master AS c ON t.customer_id = c.customer_id""",
+    """SELECT device_id, device_model, location, customer_name, energy_kwh, voltage, status
+       FROM (SELECT customer_id, customer_name FROM customer_master) AS payer
+       JOIN e_readings USING (customer_id)
+       JOIN (SELECT device_id, device_model, location FROM device_master) AS meter USING (device_id)""",
 )
 def _(spark, sf):
     return enrich.enrich_readings(
@@ -593,29 +599,33 @@ def _(spark, sf):
     return reports.device_months(_l_monthly(spark, sf), L_DAY)
 
 
-_TREND = f"""SELECT customer_id, reading_date, daily_total_energy_kwh, active_devices, avg_device_health_pct,
-                    customer_alert_status
-             FROM e_cust_daily WHERE reading_date >= {O.E_DAY} - INTERVAL 7 DAY
-             ORDER BY reading_date DESC, customer_id"""
+def _trend(days: str, as_of: str, rows: int | None = 100) -> str:
+    """The newest ``rows`` customer days of the week before ``as_of``, by their place in the listing."""
+    return f"""
+        SELECT customer_id, reading_date, daily_total_energy_kwh, active_devices, avg_device_health_pct,
+               customer_alert_status
+        FROM (SELECT *, rank() OVER (ORDER BY reading_date DESC, customer_id) AS place
+              FROM {days} WHERE date_diff('day', reading_date, {as_of}) <= 7) AS week
+        {"" if rows is None else f"WHERE place <= {rows}"}"""
 
 
-@_register("report_daily_trend", _TREND + " LIMIT 100", "daily_total_energy_kwh")
+@_register("report_daily_trend", _trend("e_cust_daily", O.E_DAY), "daily_total_energy_kwh")
 def _(spark, sf):
     return reports.daily_trend(_e_customer_daily(spark, sf, E_WEEK), E_DAY)
 
 
 @_register(
     "report_daily_trend_years",
-    _TREND.replace("e_cust_daily", "l_cust_daily").replace(O.E_DAY, O.L_DAY) + " LIMIT 100",
+    _trend("l_cust_daily", O.L_DAY),
     "daily_total_energy_kwh",
 )
 def _(spark, sf):
     return reports.daily_trend(rollups.customer_daily(_l_daily(spark, sf)), L_DAY)
 
 
-@_register("report_daily_trend_full", _TREND, "daily_total_energy_kwh")
+@_register("report_daily_trend_full", _trend("l_cust_daily", O.L_DAY, None), "daily_total_energy_kwh")
 def _(spark, sf):
-    return reports.daily_trend(_e_customer_daily(spark, sf, E_WEEK), E_DAY, limit=None)
+    return reports.daily_trend(rollups.customer_daily(_l_daily(spark, sf)), L_DAY, limit=None)
 
 
 @_register(
@@ -640,18 +650,20 @@ def _(spark, sf):
     "report_mtd_alerts",
     f"""SELECT {_MTD_LIST},
                {O.rounded("mtd_total_energy_kwh / nullif(projected_monthly_energy_kwh, 0) * 100", 2)} AS pct_of_projected
-        FROM e_mtd WHERE mtd_alert_status <> 'NORMAL'""",
+        FROM l_mtd WHERE mtd_alert_status <> 'NORMAL'""",
     "mtd_total_energy_kwh",
 )
 def _(spark, sf):
-    return reports.mtd_alerts(_e_mtd(spark, sf))
+    return reports.mtd_alerts(_l_mtd(spark, sf))
 
 
 @_register(
     "report_hourly_peak",
-    f"""SELECT device_id, hour_of_day, avg(total_energy_kwh) AS avg_energy, max(total_energy_kwh) AS peak_energy,
-               avg(avg_voltage) AS avg_voltage
-        FROM e_hourly WHERE reading_date >= {O.E_DAY} - INTERVAL 7 DAY GROUP BY ALL""",
+    f"""SELECT device_id, hour_of_day, list_avg(energies) AS avg_energy, list_max(energies) AS peak_energy,
+               list_avg(volts) AS avg_voltage
+        FROM (SELECT device_id, hour_of_day, list(total_energy_kwh) AS energies, list(avg_voltage) AS volts
+              FROM e_hourly WHERE date_diff('day', reading_date, {O.E_DAY}) <= 7
+              GROUP BY device_id, hour_of_day) AS hours""",
     "avg_energy",
     "peak_energy",
     "avg_voltage",
@@ -662,10 +674,11 @@ def _(spark, sf):
 
 @_register(
     "report_monthly_comparison",
-    f"""SELECT d.device_id, d.reading_month, d.total_energy_kwh, d.active_days, d.health_score_pct, c.customer_id
-        FROM l_monthly AS d JOIN device_master AS dm ON d.device_id = dm.device_id
-        JOIN customer_master AS c ON dm.customer_id = c.customer_id
-        WHERE d.reading_month >= date_trunc('month', {O.L_DAY}) - INTERVAL 3 MONTH""",
+    f"""SELECT device_id, reading_month, total_energy_kwh, active_days, health_score_pct, owned.customer_id
+        FROM (FROM device_master SEMI JOIN customer_master USING (customer_id)
+              SELECT device_id, customer_id) AS owned
+        JOIN (SELECT * EXCLUDE (customer_id) FROM l_monthly
+              WHERE date_diff('month', reading_month, {O.L_DAY}) <= 3) AS months USING (device_id)""",
     "total_energy_kwh",
 )
 def _(spark, sf):
@@ -711,21 +724,22 @@ def _(spark, sf):
     return reports.active_days(_l_monthly(spark, sf), L_DAY)
 
 
-_BUDGETS = "SELECT 'CUST-' || (8000 + s_nationkey % 5) AS customer_id, sum(s_acctbal) / 4 AS budget_kwh FROM supplier GROUP BY 1"
+_BUDGETS = """SELECT 'CUST-' || (8000 + s_suppkey // 2) AS customer_id, sum(s_acctbal) / 10 AS budget_kwh
+              FROM supplier GROUP BY 1"""
 
 
 @_register(
     "report_over_budget",
     f"""SELECT customer_id, mtd_total_energy_kwh, projected_monthly_energy_kwh, budget_kwh
-        FROM e_mtd JOIN ({_BUDGETS}) AS b USING (customer_id) WHERE projected_monthly_energy_kwh > budget_kwh""",
+        FROM l_mtd JOIN ({_BUDGETS}) AS b USING (customer_id) WHERE projected_monthly_energy_kwh > budget_kwh""",
     "mtd_total_energy_kwh",
     "budget_kwh",
 )
 def _(spark, sf):
     suppliers = A.table(spark, sf, "supplier")
-    customer = F.concat(F.lit("CUST-"), (F.col("s_nationkey") % 5 + 8000).cast("string"))
-    budgets = suppliers.groupBy(customer.alias("customer_id")).agg((F.sum("s_acctbal") / 4).alias("budget_kwh"))
-    return reports.over_budget(_e_mtd(spark, sf), budgets)
+    customer = F.concat(F.lit("CUST-"), F.floor(F.col("s_suppkey") / 2 + 8000).cast("string"))
+    budgets = suppliers.groupBy(customer.alias("customer_id")).agg((F.sum("s_acctbal") / 10).alias("budget_kwh"))
+    return reports.over_budget(_l_mtd(spark, sf), budgets)
 
 
 def _browse(name: str, key: str, sql: str, mart: Query, day: dt.date, *stable: str) -> None:
@@ -756,8 +770,8 @@ _browse(
     _l_customer_monthly, L_DAY, *CUSTOMER_MONTH,
 )
 _browse(
-    "customer_usage_mtd_summary", "customer_mtd", "SELECT * FROM e_mtd WHERE mtd_alert_status <> 'NORMAL'",
-    _e_mtd, E_DAY, *MTD,
+    "customer_usage_mtd_summary", "customer_mtd", "SELECT * FROM l_mtd WHERE mtd_alert_status <> 'NORMAL'",
+    _l_mtd, L_DAY, *MTD,
 )
 
 

@@ -121,7 +121,7 @@ MASTER_DEFAULTS = {
 }
 MASTER_TIMES = ["created_at", "updated_at"]
 
-# Longest text each master column may hold.
+# The longest text each master column may hold.
 MASTER_TEXT_LENGTHS = {
     "customer_master": {
         "customer_id": 20, "customer_name": 100, "email": 100, "phone": 20, "address": 200,

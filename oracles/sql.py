@@ -50,7 +50,6 @@ CUSTOMER = """
     CAST(sum(reading_count) AS BIGINT) AS total_readings,
     CAST(sum(warning_count) AS BIGINT) AS total_warnings,
     CAST(sum(ok_count) AS BIGINT) AS total_ok, """ + rounded("avg(health_score_pct)", 2) + """ AS avg_device_health_pct"""
-MTD_HEALTH = HEALTH.format(ok="mtd_total_ok", n="mtd_total_readings")
 
 READING = """
     'MTR-' || (10000 + user_id) AS device_id, 'CUST-' || (8000 + user_id % 5) AS customer_id,
@@ -108,30 +107,31 @@ def _chain(p: str) -> dict[str, str]:
         f"{p}_month": f"""
             SELECT * FROM {p}_cust_daily
             WHERE date_trunc('month', reading_date) = date_trunc('month', {E_DAY if p != "l" else L_DAY})""",
+        # one row: the month's last day that anyone has readings for
+        f"{p}_lastday": f"SELECT reading_date AS final_day FROM {p}_month ORDER BY final_day DESC LIMIT 1",
+        f"{p}_final": f"""
+            SELECT customer_id, sum(daily_total_energy_kwh) AS on_final_day
+            FROM {p}_month SEMI JOIN {p}_lastday ON reading_date = final_day GROUP BY customer_id""",
+        f"{p}_sofar": f"""
+            SELECT customer_id, count(*) AS days, sum(daily_total_energy_kwh) AS energy, sum(avg_voltage) AS volts,
+                   sum(avg_battery_pct) AS battery, list(min_voltage) AS lows, list(max_voltage) AS highs,
+                   list(active_devices) AS devices, sum(total_readings)::BIGINT AS readings,
+                   sum(total_warnings)::BIGINT AS warnings, sum(total_ok)::BIGINT AS ok, list(reading_date) AS dates
+            FROM {p}_month GROUP BY customer_id""",
         f"{p}_mtd": f"""
-            SELECT customer_id, CAST(date_trunc('month', {{day}}) AS DATE) AS current_month,
+            SELECT s.customer_id, make_date(CAST(year({{day}}) AS BIGINT), CAST(month({{day}}) AS BIGINT), 1) AS current_month,
                    CAST(year({{day}}) AS INTEGER) AS year, CAST(month({{day}}) AS INTEGER) AS month,
-                   mtd_total_energy_kwh, {rounded("v", 2)} AS mtd_avg_voltage, mtd_min_voltage,
-                   mtd_max_voltage, {rounded("b", 1)} AS mtd_avg_battery_pct, max_active_devices,
-                   mtd_total_readings, mtd_total_warnings, mtd_total_ok, days_with_data,
-                   {rounded("a", 2)} AS avg_daily_energy_kwh,
-                   {rounded("a * day(last_day({day}))", 2)} AS projected_monthly_energy_kwh,
-                   first_reading_date, last_reading_date, latest_day_energy_kwh,
-                   {MTD_HEALTH} AS mtd_health_score_pct,
-                   {CUSTOMER_STATE.format(w="mtd_total_warnings", n="mtd_total_readings")} AS mtd_alert_status
-            FROM (SELECT customer_id, sum(daily_total_energy_kwh) AS mtd_total_energy_kwh,
-                         avg(avg_voltage) AS v, min(min_voltage) AS mtd_min_voltage,
-                         max(max_voltage) AS mtd_max_voltage, avg(avg_battery_pct) AS b,
-                         max(active_devices) AS max_active_devices,
-                         CAST(sum(total_readings) AS BIGINT) AS mtd_total_readings,
-                         CAST(sum(total_warnings) AS BIGINT) AS mtd_total_warnings,
-                         CAST(sum(total_ok) AS BIGINT) AS mtd_total_ok,
-                         count(DISTINCT reading_date) AS days_with_data,
-                         avg(daily_total_energy_kwh) AS a, min(reading_date) AS first_reading_date,
-                         max(reading_date) AS last_reading_date,
-                         max(CASE WHEN reading_date = (SELECT max(reading_date) FROM {p}_month)
-                                  THEN daily_total_energy_kwh END) AS latest_day_energy_kwh
-                  FROM {p}_month GROUP BY customer_id) AS t""".replace(
+                   energy AS mtd_total_energy_kwh, {rounded("volts / days", 2)} AS mtd_avg_voltage,
+                   list_min(lows) AS mtd_min_voltage, list_max(highs) AS mtd_max_voltage,
+                   {rounded("battery / days", 1)} AS mtd_avg_battery_pct, list_max(devices) AS max_active_devices,
+                   readings AS mtd_total_readings, warnings AS mtd_total_warnings, ok AS mtd_total_ok,
+                   len(list_distinct(dates))::BIGINT AS days_with_data, {rounded("energy / days", 2)} AS avg_daily_energy_kwh,
+                   {rounded("energy / days * day(last_day({day}))", 2)} AS projected_monthly_energy_kwh,
+                   list_min(dates) AS first_reading_date, list_max(dates) AS last_reading_date,
+                   f.on_final_day AS latest_day_energy_kwh,
+                   {HEALTH.format(ok="ok", n="readings")} AS mtd_health_score_pct,
+                   {CUSTOMER_STATE.format(w="warnings", n="readings")} AS mtd_alert_status
+            FROM {p}_sofar AS s LEFT JOIN {p}_final AS f ON f.customer_id = s.customer_id""".replace(
             "{day}", E_DAY if p != "l" else L_DAY
         ),
     }
