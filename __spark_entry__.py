@@ -110,7 +110,7 @@ def _split(spark, sf):
 _STAGED = "telemetry_id, device_id, customer_id, reading_timestamp, energy_kwh, voltage, battery_pct, status, ingested_at"
 
 
-@_register("parse_telemetry", f"SELECT {_STAGED} FROM accepted")
+@_register("parse_telemetry", f"SELECT {_STAGED}, reading_timestamp AS sent_at FROM accepted")
 def _(spark, sf):
     return staging.parse_telemetry(A.telemetry_messages(spark, sf), A.LOADED_AT)
 
@@ -118,13 +118,22 @@ def _(spark, sf):
 @_register(
     "parse_rejects",
     """SELECT device_id AS _key, reading_timestamp AS _timestamp,
-              CASE battery_pct WHEN 60 THEN 'malformed_json' WHEN 62 THEN 'missing_device'
-                   WHEN 63 THEN 'unreadable_timestamp' WHEN 64 THEN 'unreadable_number'
-                   ELSE 'missing_timestamp' END AS reject_reason
-       FROM staged WHERE battery_pct IN (60, 62, 63, 64, 65)""",
+              CASE WHEN battery_pct IN (60, 69, 76, 77, 78) THEN 'malformed_json' WHEN battery_pct = 62 THEN 'missing_device'
+                   WHEN battery_pct = 65 THEN 'missing_timestamp' WHEN battery_pct IN (63, 70, 71) THEN 'unreadable_timestamp'
+                   WHEN battery_pct = 79 THEN 'time_ahead' ELSE 'unreadable_number' END AS reject_reason
+       FROM staged WHERE battery_pct < 80 AND battery_pct NOT IN (61, 66, 67, 68)""",
 )
 def _(spark, sf):
-    return staging.parse_rejects(A.telemetry_messages(spark, sf)).drop("_message")
+    return staging.parse_rejects(A.telemetry_messages(spark, sf), A.LOADED_AT).drop("_message")
+
+
+@_register(
+    "log_rejects",
+    """SELECT 'MTR-' || (10000 + user_id) AS _key, ts AS _timestamp, 'missing_device' AS reject_reason
+       FROM events WHERE event_type NOT IN ('click', 'view', 'error', 'purchase')""",
+)
+def _(spark, sf):
+    return staging.rejects(staging.read_logs(A.log_messages(spark, sf), A.LOADED_AT)).drop("_message")
 
 
 @_register("parse_logs", "SELECT * FROM logs")
@@ -236,6 +245,31 @@ def _(spark, sf):
     return staging.upsert_latest(target, corrected, "telemetry_id", ["ingested_at"])
 
 
+@_register(
+    "upsert_in_batch",
+    f"""SELECT {_STAGED}, reading_timestamp AS sent_at FROM staged
+        WHERE reading_timestamp < {O.CUT} AND event_type <> 'signup'
+        UNION ALL
+        SELECT telemetry_id, any_value(device_id), any_value(customer_id), any_value(reading_timestamp),
+               arg_max(energy_kwh * factor, minutes), any_value(voltage), any_value(battery_pct), any_value(status),
+               TIMESTAMP '2024-02-02 00:00:00', max(reading_timestamp + to_minutes(minutes))
+        FROM staged CROSS JOIN (VALUES (2.0::DOUBLE, 0), (0.5::DOUBLE, 5), (1.0::DOUBLE, 3)) AS v(factor, minutes)
+        WHERE event_type = 'signup' GROUP BY telemetry_id""",
+)
+def _(spark, sf):
+    """Several versions of a reading in one load: the one sent last counts, which is the smallest."""
+    target, _rows = _split(spark, sf)
+    again = A.staged_from_events(spark, sf, redeliver=True).filter(F.col("ingested_at") == F.lit(A.RELOADED_AT))
+    versions = [F.struct(F.lit(f).alias("factor"), F.lit(m).alias("minutes")) for f, m in ((2.0, 0), (0.5, 5), (1.0, 3))]
+    sent = again.withColumn("v", F.explode(F.array(*versions))).select(
+        *[c for c in again.columns if c != "energy_kwh"],
+        (F.col("energy_kwh") * F.col("v.factor")).alias("energy_kwh"),
+        F.timestamp_add("MINUTE", F.col("v.minutes"), F.col("reading_timestamp")).alias("sent_at"),
+    )
+    held = target.withColumn("sent_at", F.col("reading_timestamp"))
+    return staging.upsert_latest(held, sent, "telemetry_id", ["ingested_at", "sent_at"])
+
+
 @_register(
     "dedup_latest",
     """SELECT user_id, date_trunc('hour', ts) AS hour, ts, event_id, event_type, value FROM events

@@ -50,12 +50,23 @@ def log_time(line: Column) -> Column:
     return F.regexp_replace(log_field(line, "timestamp"), r"\s+", " ").try_cast("timestamp")
 
 
+# A date, T and a time of day, with an offset or none.
+ISO_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:\d{2})?$"
+NUMBER = r"^[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?$"
+
+
 def iso_time(text: Column) -> Column:
-    """ISO-8601 text as an instant, NULL where it cannot be read."""
-    return text.try_cast("timestamp")
+    """ISO-8601 text as an instant, NULL where it cannot be read or lacks the date or the time of day."""
+    return F.when(text.rlike(ISO_TIME), text.try_cast("timestamp"))
+
+
+def number(text: Column) -> Column:
+    """Text as a finite number, NULL for anything else."""
+    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
+    return F.when(F.abs(value) < float("inf"), value)
 
 
 def whole_number(text: Column) -> Column:
     """Text as a whole number; fractions are rounded, other text gives NULL."""
-    rounded = F.round(text.try_cast("double")).try_cast("bigint")
-    return F.coalesce(text.try_cast("bigint"), rounded)
+    rounded = F.round(number(text)).try_cast("bigint")
+    return F.coalesce(F.when(text.rlike(NUMBER), text.try_cast("bigint")), rounded)

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 SALT = 16
 
-# Rows that a table of unknown size may have to be shipped to every task.
-MAX_BROADCAST_ROWS = 100_000
-
 # Estimates this large mean that Spark knows nothing about the size.
 UNKNOWN_BYTES = 1 << 50
 
@@ -32,14 +29,12 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def small_enough_to_broadcast(df: DataFrame) -> bool:
-    """Whether a table is known to fit: by its estimated size, or else by a bounded count."""
+    """Whether a table is known to fit, by its estimated size in bytes; one of unknown size is not."""
     limit = broadcast_limit(df)
     if limit < 0:
         return False
     size = estimated_bytes(df)
-    if size is not None:
-        return size <= limit
-    return df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
+    return size is not None and size <= limit
 
 
 def lookup_join(

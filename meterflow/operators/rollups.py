@@ -21,15 +21,17 @@ READING_KEY = ["reading_timestamp", "device_id"]
 
 
 def latest_readings(readings: DataFrame) -> DataFrame:
-    """One reading per device and time, the one ingested last."""
-    return dedup_latest(
+    """One reading per device and time: the one ingested last and, of one load, sent last."""
+    sent = ["sent_at"] if "sent_at" in readings.columns else []
+    latest = dedup_latest(
         readings.select(
             "device_id", "customer_id", "reading_timestamp", "energy_kwh", "voltage",
-            "battery_pct", "status", "ingested_at",
+            "battery_pct", "status", "ingested_at", *sent,
         ),
         READING_KEY,
-        ["ingested_at"],
+        ["ingested_at", *sent],
     )
+    return latest.drop(*sent)
 
 
 def reading_measures() -> list[Column]:

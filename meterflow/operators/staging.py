@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterflow import schemas
 from meterflow.functions import parsing as P
@@ -21,37 +22,77 @@ def _load_time(batch_ts: dt.datetime | None) -> Column:
     return F.current_timestamp() if batch_ts is None else F.lit(batch_ts).cast("timestamp")
 
 
+# A reading may be ahead of the load by so much; beyond that the device's clock is wrong,
+# and one such reading would move the high-water mark past all others.
+AHEAD = dt.timedelta(days=1)
+
+
+def _too_far_ahead(at: Column, loaded: Column, ahead: dt.timedelta) -> Column:
+    return F.coalesce(at > loaded + F.lit(ahead), F.lit(False))
+
+
 # --------------------------------------------------------------------------
 # telemetry
 
 
-def _read_telemetry(messages: DataFrame) -> DataFrame:
-    """Every non-empty message with its typed fields and, if it is unusable, why.
+def _json_message() -> tuple[Column, Column]:
+    """The message's one object, and whether the text is anything but one object of that shape.
 
-    The parsed message goes through a one-element explode: a filter on its
-    fields cannot move below that, so each message is parsed once and not a
-    second time inside the filter.
+    Spark stops reading at the end of the first value. Inside brackets it goes on, so
+    that text or another object after the first is seen. Only a closing bracket in
+    the message itself could hide the rest, or a value where an object is expected:
+    those messages are read a second time, inside an object.
     """
-    parsed = F.from_json(
-        "_message", schemas.TELEMETRY_JSON, {"columnNameOfCorruptRecord": "_corrupt_record"}
+    text = F.col("_message")
+    listed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schemas.TELEMETRY_JSON))
+    holder = T.StructType(
+        [T.StructField("m", schemas.TELEMETRY_JSON), T.StructField("_corrupt_record", T.StringType())]
+    )
+    held = F.from_json(
+        F.concat(F.lit('{"m":'), text, F.lit("}")), holder, {"columnNameOfCorruptRecord": "_corrupt_record"}
+    )
+    first = F.try_element_at("listed", F.lit(1))
+    unsure = F.contains(text, F.lit("]")) | first["metrics"].isNull()
+    wrong = (
+        F.when(F.coalesce(F.size("listed"), F.lit(0)) != 1, True)
+        .when(first.isNull(), True)
+        .when(unsure, F.coalesce(held["_corrupt_record"].isNotNull() | held["m"].isNull(), F.lit(True)))
+        .otherwise(False)
     )
+    return listed, F.struct(first.alias("m"), wrong.alias("wrong"))
+
+
+def read_telemetry(
+    messages: DataFrame, batch_ts: dt.datetime | None = None, ahead: dt.timedelta = AHEAD
+) -> DataFrame:
+    """Every non-empty message with its typed fields and, if it is unusable, why (``reject_reason``).
+
+    The parsed message goes through one-element explodes: a filter on its fields
+    cannot move below them, so each message is parsed once and not a second time
+    inside the filter.
+    """
+    listed, checked = _json_message()
     text = messages.filter(P.has_text("_message")).select(
-        "_key", "_message", "_timestamp", F.explode(F.array(parsed)).alias("m")
+        "_key", "_message", "_timestamp", F.explode(F.array(listed)).alias("listed")
     )
+    text = text.select("_key", "_message", "_timestamp", F.explode(F.array(checked)).alias("c"))
+    loaded = _load_time(batch_ts)
     typed = text.select(
         "_key",
         "_message",
         "_timestamp",
-        F.col("m.device_id").alias("device_id"),
-        F.col("m.customer_id").alias("customer_id"),
-        F.col("m.timestamp").alias("time_text"),
-        P.iso_time(F.col("m.timestamp")).alias("reading_timestamp"),
-        F.col("m.metrics.energy_kwh").try_cast("double").alias("energy_kwh"),
-        F.col("m.metrics.voltage").try_cast("double").alias("voltage"),
-        P.whole_number(F.col("m.metrics.battery_pct")).alias("battery_pct"),
-        F.col("m.status").alias("status"),
-        (F.col("m").isNull() | F.col("m._corrupt_record").isNotNull()).alias("_malformed"),
-        F.col("m.metrics").alias("_text"),
+        F.col("c.m.device_id").alias("device_id"),
+        F.col("c.m.customer_id").alias("customer_id"),
+        F.col("c.m.timestamp").alias("time_text"),
+        P.iso_time(F.col("c.m.timestamp")).alias("reading_timestamp"),
+        P.number(F.col("c.m.metrics.energy_kwh")).alias("energy_kwh"),
+        P.number(F.col("c.m.metrics.voltage")).alias("voltage"),
+        P.whole_number(F.col("c.m.metrics.battery_pct")).alias("battery_pct"),
+        F.col("c.m.status").alias("status"),
+        loaded.alias("ingested_at"),
+        F.col("_timestamp").alias("sent_at"),
+        F.col("c.wrong").alias("_malformed"),
+        F.col("c.m.metrics").alias("_text"),
     )
     unreadable_number = F.lit(False)
     for name in ("energy_kwh", "voltage", "battery_pct"):
@@ -62,57 +103,78 @@ def _read_telemetry(messages: DataFrame) -> DataFrame:
         .when(F.col("device_id").isNull(), "missing_device")
         .when(F.col("time_text").isNull(), "missing_timestamp")
         .when(F.col("reading_timestamp").isNull(), "unreadable_timestamp")
+        .when(_too_far_ahead(F.col("reading_timestamp"), F.col("ingested_at"), ahead), "time_ahead")
         .when(unreadable_number, "unreadable_number")
         .alias("reject_reason"),
     )
 
 
+def usable(read: DataFrame, strict: bool = False) -> DataFrame:
+    """Messages read without a reason to reject them; with ``strict`` the first other one fails the job."""
+    fine = F.col("reject_reason").isNull()
+    if strict:
+        stop = F.raise_error(F.concat_ws(": ", "reject_reason", "_message")).cast("boolean")
+        fine = F.when(fine, F.lit(True)).otherwise(stop)
+    return read.filter(fine)
+
+
+def telemetry_rows(read: DataFrame, strict: bool = False) -> DataFrame:
+    """Staging rows of what :func:`read_telemetry` found usable."""
+    rows = usable(read, strict).withColumn("telemetry_id", surrogate_key("device_id", "time_text"))
+    return rows.select(*schemas.STG_TELEMETRY.names)
+
+
 def parse_telemetry(
-    messages: DataFrame, batch_ts: dt.datetime | None = None, strict: bool = False
+    messages: DataFrame,
+    batch_ts: dt.datetime | None = None,
+    strict: bool = False,
+    ahead: dt.timedelta = AHEAD,
 ) -> DataFrame:
     """Typed readings from JSON messages.
 
     Unusable messages are left to :func:`parse_rejects`; with ``strict`` the
     first one fails the job instead.
     """
-    read = _read_telemetry(messages)
-    usable = F.col("reject_reason").isNull()
-    if strict:
-        stop = F.raise_error(F.concat_ws(": ", "reject_reason", "_message")).cast("boolean")
-        usable = F.when(usable, F.lit(True)).otherwise(stop)
-    return read.filter(usable).select(
-        surrogate_key("device_id", "time_text").alias("telemetry_id"),
-        "device_id",
-        "customer_id",
-        "reading_timestamp",
-        "energy_kwh",
-        "voltage",
-        "battery_pct",
-        "status",
-        _load_time(batch_ts).alias("ingested_at"),
-    )
+    return telemetry_rows(read_telemetry(messages, batch_ts, ahead), strict)
+
+
+def rejects(read: DataFrame) -> DataFrame:
+    """Messages read that give no row, with the reason."""
+    return read.filter(F.col("reject_reason").isNotNull()).select("_key", "_message", "_timestamp", "reject_reason")
 
 
-def parse_rejects(messages: DataFrame) -> DataFrame:
+def parse_rejects(
+    messages: DataFrame, batch_ts: dt.datetime | None = None, ahead: dt.timedelta = AHEAD
+) -> DataFrame:
     """Messages that give no reading, with the reason."""
-    return (
-        _read_telemetry(messages)
-        .filter(F.col("reject_reason").isNotNull())
-        .select("_key", "_message", "_timestamp", "reject_reason")
+    return rejects(read_telemetry(messages, batch_ts, ahead))
+
+
+def rejected_rows(found: DataFrame, topic: str, batch_ts: dt.datetime | None = None) -> DataFrame:
+    """Rejected messages as rows of the reject table; copies of one message are one row."""
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in ("_key", "_message", "_timestamp")]
+    rows = found.withColumns(
+        {
+            "reject_id": F.md5(F.concat_ws("\1", F.lit(topic), *text)),
+            "topic": F.lit(topic),
+            "rejected_at": _load_time(batch_ts),
+        }
     )
+    return rows.select(*schemas.REJECTS.names).dropDuplicates(["reject_id"])
 
 
 # --------------------------------------------------------------------------
 # health logs
 
 
-def parse_logs(
+def read_logs(
     messages: DataFrame,
     batch_ts: dt.datetime | None = None,
     fallback: str = "broker",
     strict: bool = False,
+    ahead: dt.timedelta = AHEAD,
 ) -> DataFrame:
-    """Typed health log rows from plain text lines that name a device.
+    """Every non-empty line with its typed fields and, if it is unusable, why (``reject_reason``).
 
     A line without a readable time takes the broker's time of the message
     (``fallback="broker"``: the same on every run) or the load time
@@ -130,7 +192,11 @@ def parse_logs(
             return P.first_log_field(line, dtype, *patterns)
         return F.coalesce(*[P.log_field(line, p).cast(dtype) for p in patterns])
 
+    names_device = P.log_field(line, "device").isNotNull()
     parsed = messages.filter(P.has_text("_message")).select(
+        "_key",
+        "_message",
+        "_timestamp",
         F.coalesce(P.log_time(line), other_time).alias("log_timestamp"),
         P.log_field(line, "level").alias("log_level"),
         P.log_field(line, "device").alias("device_id"),
@@ -148,13 +214,33 @@ def parse_logs(
         F.coalesce(number("int", "errors", "errors_short"), F.lit(0)).alias("error_count"),
         line.alias("raw_log_message"),
     )
-    return parsed.filter(F.col("device_id").isNotNull()).select(
-        surrogate_key("device_id", timestamp_text(F.col("log_timestamp")), "raw_log_message").alias("log_id"),
-        *parsed.columns,
-        loaded.alias("processed_at"),
+    return parsed.withColumns(
+        {
+            "processed_at": loaded,
+            "log_id": surrogate_key("device_id", timestamp_text(F.col("log_timestamp")), "raw_log_message"),
+            "reject_reason": F.when(~names_device, "missing_device").when(
+                _too_far_ahead(P.log_time(line), loaded, ahead), "time_ahead"
+            ),
+        }
     )
 
 
+def log_rows(read: DataFrame) -> DataFrame:
+    """Staging rows of what :func:`read_logs` found usable."""
+    return usable(read).select(*schemas.STG_HEALTH_LOGS.names)
+
+
+def parse_logs(
+    messages: DataFrame,
+    batch_ts: dt.datetime | None = None,
+    fallback: str = "broker",
+    strict: bool = False,
+    ahead: dt.timedelta = AHEAD,
+) -> DataFrame:
+    """Typed health log rows from plain text lines that name a device."""
+    return log_rows(read_logs(messages, batch_ts, fallback, strict, ahead))
+
+
 # --------------------------------------------------------------------------
 # loading
 
@@ -186,12 +272,14 @@ def incremental_new(
     key: str | Sequence[str],
     late: str = "drop",
     mark: DataFrame | None = None,
+    latest_by: Sequence[str | Column] | None = None,
 ) -> DataFrame:
     """Rows of ``new`` to load into ``target`` (None on the first build: all of them).
 
     ``late="drop"`` takes rows strictly after the mark of the whole table, so a
     device that reports late loses rows. ``late="keep"`` takes every row whose
-    key the table does not hold yet.
+    key the table does not hold yet, of several the last by ``latest_by``
+    (by default ``ts_col``).
     """
     if target is None:
         return new
@@ -201,7 +289,7 @@ def incremental_new(
     if late == "keep":
         keys = [key] if isinstance(key, str) else list(key)
         held = target.select(*keys)
-        return dedup_latest(new, keys, [ts_col]).join(held, keys, "left_anti")
+        return dedup_latest(new, keys, latest_by or [ts_col]).join(held, keys, "left_anti")
     raise ValueError(f"late must be 'drop' or 'keep', not {late!r}")
 
 

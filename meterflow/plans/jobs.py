@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -22,7 +23,8 @@ STAGING_KEYS = {
     "stg_telemetry_raw": rollups.READING_KEY,
     "stg_meter_health_logs": ["log_id"],
 }
-LOADED_AT = {"stg_telemetry_raw": "ingested_at", "stg_meter_health_logs": "processed_at"}
+# Of several rows with one key the last by these counts.
+LATEST_BY = {"stg_telemetry_raw": ["ingested_at", "sent_at"], "stg_meter_health_logs": ["processed_at"]}
 EVENT_TIME = {"stg_telemetry_raw": "reading_timestamp", "stg_meter_health_logs": "log_timestamp"}
 
 # What each mart is built from, finest first.
@@ -36,9 +38,6 @@ MART_INPUT = {
 }
 MODELS = [*STAGING_KEYS, *MART_INPUT]
 
-# Beyond this many changed days the marts are rebuilt whole.
-MAX_CHANGED_DATES = 10_000
-
 
 def selected(select: str | Iterable[str] = "all") -> list[str]:
     """Models named by ``all``, ``staging``, ``marts`` or their own names, in build order."""
@@ -62,15 +61,55 @@ def parse(name: str, messages: DataFrame, batch_ts: dt.datetime | None, strict:
     return step(messages, batch_ts, strict=strict)
 
 
-def changed_dates(rows: DataFrame, date_col: str) -> list[dt.date] | None:
-    """Dates that ``rows`` has, None for more than :data:`MAX_CHANGED_DATES` of them."""
-    found = rows.select(date_col).distinct().limit(MAX_CHANGED_DATES + 1).collect()
-    dates = [r[0] for r in found]
-    return None if len(dates) > MAX_CHANGED_DATES or None in dates else sorted(dates)
+def read(
+    name: str, messages: DataFrame, batch_ts: dt.datetime | None, strict: bool = False, ahead: dt.timedelta = staging.AHEAD
+) -> DataFrame:
+    """Every message with its typed fields and, if it is unusable, why."""
+    if name == "stg_telemetry_raw":
+        return staging.read_telemetry(messages, batch_ts, ahead)
+    return staging.read_logs(messages, batch_ts, strict=strict, ahead=ahead)
+
+
+def keep_rejects(lake: Lake, name: str, found: DataFrame, batch_ts: dt.datetime | None = None) -> None:
+    """Add the unusable ones of the messages read to the reject table; each message once."""
+    rows = staging.rejected_rows(staging.rejects(found), name, batch_ts)
+    if lake.exists("rejected_messages"):
+        rows = rows.join(lake.read("rejected_messages").select("reject_id"), "reject_id", "left_anti")
+    lake.append(rows, "rejected_messages")
+
+
+def load_messages(
+    lake: Lake,
+    name: str,
+    messages: DataFrame,
+    late: str = "keep",
+    full_refresh: bool = False,
+    late_path: str | None = None,
+    batch_ts: dt.datetime | None = None,
+    strict: bool = False,
+    ahead: dt.timedelta = staging.AHEAD,
+) -> list[dt.date] | None:
+    """Load the messages of a topic; the dates that changed (None: all).
 
+    The messages are read once. Each gives a staging row, or a row of the reject
+    table, or is a copy of one that is held; with ``late="drop"`` late ones are lost.
+    """
+    load = uuid.uuid4().hex
+    found = lake.write_work(read(name, messages, batch_ts, strict, ahead), load, name, "read")
+    if strict:
+        found = staging.usable(found, strict=True)
+    else:
+        keep_rejects(lake, name, found, batch_ts)
+    rows = staging.telemetry_rows(found) if name == "stg_telemetry_raw" else staging.log_rows(found)
+    dates = load_rows(lake, name, rows, late, full_refresh, late_path, load)
+    lake.clear_work(load)
+    return dates
 
-def joined_dates(a: list[dt.date] | None, b: list[dt.date] | None) -> list[dt.date] | None:
-    return None if a is None or b is None else sorted({*a, *b})
+
+def changed_dates(rows: DataFrame, date_col: str) -> list[dt.date] | None:
+    """Dates that ``rows`` has; None if some row has none, which stands for all dates."""
+    dates = [r[0] for r in rows.select(date_col).distinct().collect()]
+    return None if None in dates else sorted(dates)
 
 
 def newest_mark(lake: Lake, name: str) -> DataFrame:
@@ -87,23 +126,25 @@ def load_rows(
     lake: Lake,
     name: str,
     rows: DataFrame,
-    late: str = "drop",
+    late: str = "keep",
     full_refresh: bool = False,
     late_path: str | None = None,
+    load: str | None = None,
 ) -> list[dt.date] | None:
     """Load parsed rows into a staging table; the dates that changed (None: all).
 
-    ``late="drop"`` takes only rows after the newest one held; ``"keep"`` takes
-    rows of any time whose key is not held yet; both are appended. ``"upsert"``
-    lets every row replace the held one, which rewrites the dates it touches.
-    With ``late_path``, the rows that ``"drop"`` loses replace the files there.
+    ``late="keep"`` takes rows of any time whose key is not held yet; ``"drop"``
+    takes only rows after the newest one held, and loses the others; both are
+    appended. ``"upsert"`` lets every row replace the held one, which rewrites the
+    dates it touches. With ``late_path``, the rows that ``"drop"`` loses replace the
+    files there. ``load`` names a load whose rows are in its work folder already.
     """
     if late not in ("drop", "keep", "upsert"):
         raise ValueError(f"late must be 'drop', 'keep' or 'upsert', not {late!r}")
-    keys, loaded_at, date_col = STAGING_KEYS[name], LOADED_AT[name], TABLES[name].date_col
+    keys, latest_by, date_col = STAGING_KEYS[name], LATEST_BY[name], TABLES[name].date_col
     if full_refresh or not lake.exists(name):
         _note_changes(lake, name, None)
-        lake.write_full(dedup_latest(rows, keys, [loaded_at]), name)
+        lake.write_full(dedup_latest(rows, keys, latest_by), name)
         return None
     if late == "drop":
         held, mark = lake.read(name), newest_mark(lake, name)
@@ -111,21 +152,36 @@ def load_rows(
             lost = staging.lost_rows(rows, held, EVENT_TIME[name], keys, mark)
             lost.write.mode("overwrite").parquet(late_path)
         rows = staging.incremental_new(rows, held, EVENT_TIME[name], keys, mark=mark)
-    arrived = lake.write_work(rows, name)
+    own = load is None
+    load = load or uuid.uuid4().hex
+    try:
+        arrived = lake.stored(rows, name)
+        if own or late == "drop":
+            arrived = lake.write_work(arrived, load, name, "arrived")
+        return _merge(lake, name, arrived, late, load)
+    finally:
+        if own:
+            lake.clear_work(load)
+
+
+def _merge(lake: Lake, name: str, arrived: DataFrame, late: str, load: str) -> list[dt.date] | None:
+    keys, latest_by, date_col = STAGING_KEYS[name], LATEST_BY[name], TABLES[name].date_col
     dates = changed_dates(arrived, date_col)
     if dates == []:
         return []
     if late == "upsert":
-        merged = staging.upsert_latest(lake.read_dates(name, dates), _columns(arrived, name), keys, [loaded_at])
+        merged = staging.upsert_latest(lake.read_dates(name, dates), _columns(arrived, name), keys, latest_by)
         _note_changes(lake, name, dates)
         lake.replace_dates(merged, name, dates)
         return dates
     if late == "drop" and name == "stg_telemetry_raw":
-        fresh = dedup_latest(_columns(arrived, name), keys, [loaded_at])  # after the mark: surely not held
+        fresh = dedup_latest(_columns(arrived, name), keys, latest_by)  # after the mark: surely not held
     else:
         held = lake.read_dates(name, dates)
-        fresh = staging.incremental_new(_columns(arrived, name), held, EVENT_TIME[name], keys, late="keep")
-    fresh = lake.write_work(fresh, name, "fresh")
+        fresh = staging.incremental_new(
+            _columns(arrived, name), held, EVENT_TIME[name], keys, late="keep", latest_by=latest_by
+        )
+    fresh = lake.write_work(lake.stored(fresh, name), load, name, "fresh")
     dates = changed_dates(fresh, date_col)
     if dates != []:
         _note_changes(lake, name, dates)
@@ -139,7 +195,7 @@ def _columns(rows: DataFrame, name: str) -> DataFrame:
 
 def _note_changes(lake: Lake, name: str, dates: list[dt.date] | None) -> None:
     if name in MART_INPUT.values():
-        lake.set_pending(joined_dates(lake.pending_dates(), dates))
+        lake.note_pending(dates)
 
 
 def _months(dates: Sequence[dt.date] | None) -> list[dt.date] | None:
@@ -188,7 +244,8 @@ def refresh_marts(lake: Lake, as_of: C.AsOf = None, models: Iterable[str] = tupl
     Only the dates that changed are rebuilt, each from all its readings; every
     later grain follows. Dates stay on the list until all marts have them.
     """
-    dates, models = lake.pending_dates(), list(models)
+    notes, models = lake.pending_notes(), list(models)
+    dates = lake.pending_dates(notes)
     for name in models:
         whole = dates is None or not lake.exists(name)
         if whole or dates or TABLES[name].date_col is None:
@@ -196,7 +253,7 @@ def refresh_marts(lake: Lake, as_of: C.AsOf = None, models: Iterable[str] = tupl
             with fitted_to_input(lake.spark, _input_bytes(lake, name, wanted)):
                 build_mart(lake, name, wanted, as_of)
     if set(models) == set(MART_INPUT):
-        lake.set_pending([])
+        lake.clear_pending(notes)
 
 
 def run(
@@ -204,12 +261,13 @@ def run(
     topics: Mapping[str, Topic],
     select: str | Iterable[str] = "all",
     full_refresh: bool = False,
-    late: str = "drop",
+    late: str = "keep",
     as_of: C.AsOf = None,
     batch_ts: dt.datetime | None = None,
     strict: bool = False,
     only_changed: bool = True,
     late_paths: Mapping[str, str] | None = None,
+    ahead: dt.timedelta = staging.AHEAD,
 ) -> dict[str, list[dt.date] | None]:
     """Build the selected models in order; per staging table, the dates that changed.
 
@@ -221,10 +279,19 @@ def run(
     for name in (m for m in models if m in STAGING_KEYS and m in topics):
         messages = read_topic(lake.spark, topics[name])
         with fitted_to_input(lake.spark, estimated_bytes(messages)):
-            rows = parse(name, dealt_out(messages), batch_ts, strict)
-            changed[name] = load_rows(lake, name, rows, late, full_refresh, (late_paths or {}).get(name))
+            changed[name] = load_messages(
+                lake,
+                name,
+                dealt_out(messages),
+                late,
+                full_refresh,
+                (late_paths or {}).get(name),
+                batch_ts,
+                strict,
+                ahead,
+            )
     marts = [m for m in models if m in MART_INPUT]
     if marts and (full_refresh or not only_changed):
-        lake.set_pending(None)
+        lake.note_pending(None)
     refresh_marts(lake, as_of, marts)
     return changed

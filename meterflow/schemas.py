@@ -28,13 +28,20 @@ TELEMETRY_JSON = T.StructType(
     [
         *_schema("device_id STRING, customer_id STRING, timestamp STRING"),
         T.StructField("metrics", _schema("energy_kwh STRING, voltage STRING, battery_pct STRING")),
-        *_schema("status STRING, _corrupt_record STRING"),
+        *_schema("status STRING"),
     ]
 )
 
+# Messages of either topic that give no row, with the reason.
+REJECTS = _schema(
+    "reject_id STRING, topic STRING, _key STRING, _message STRING, _timestamp TIMESTAMP,"
+    " reject_reason STRING, rejected_at TIMESTAMP"
+)
+
 STG_TELEMETRY = _schema(
     "telemetry_id STRING, device_id STRING, customer_id STRING, reading_timestamp TIMESTAMP,"
-    " energy_kwh DOUBLE, voltage DOUBLE, battery_pct BIGINT, status STRING, ingested_at TIMESTAMP"
+    " energy_kwh DOUBLE, voltage DOUBLE, battery_pct BIGINT, status STRING, ingested_at TIMESTAMP,"
+    " sent_at TIMESTAMP"
 )
 
 STG_HEALTH_LOGS = _schema(

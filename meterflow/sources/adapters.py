@@ -124,6 +124,17 @@ def telemetry_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(battery == 66, F.regexp_replace(text, '"battery_pct":66', '"battery_pct":65.6'))
         .when(battery == 67, F.regexp_replace(text, f'"energy_kwh":{number}', '"energy_kwh":"$1"'))
         .when(battery == 68, F.lit(None).cast("string"))
+        .when(battery == 69, F.concat(text, F.lit(" "), text))
+        .when(battery == 70, F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"12:30"'))
+        .when(battery == 71, F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"2024"'))
+        .when(battery == 72, F.regexp_replace(text, f'"energy_kwh":{number}', '"energy_kwh":"NaN"'))
+        .when(battery == 73, F.regexp_replace(text, f'"voltage":{number}', '"voltage":"Infinity"'))
+        .when(battery == 74, F.regexp_replace(text, f'"energy_kwh":{number}', '"energy_kwh":"1d"'))
+        .when(battery == 75, F.regexp_replace(text, f'"energy_kwh":{number}', '"energy_kwh":true'))
+        .when(battery == 76, F.concat(F.lit("["), text, F.lit("]")))
+        .when(battery == 77, F.lit("null"))
+        .when(battery == 78, F.concat(text, F.lit("]}")))
+        .when(battery == 79, F.regexp_replace(text, '"timestamp":"[0-9]{4}', '"timestamp":"2099'))
         .otherwise(text)
     )
     return _as_topic(messages, "device_id", spoiled, "timestamp")

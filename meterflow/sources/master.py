@@ -49,8 +49,11 @@ def read_master(spark: SparkSession, master: Master, table: str) -> DataFrame:
 def add_missing(spark: SparkSession, source: Master, table: str, rows: DataFrame) -> None:
     """Insert the rows whose key a Parquet master table lacks; a second run adds nothing.
 
-    The first run creates the table.
+    The first run creates the table. Relational masters are read only: a source
+    without a path is refused.
     """
+    if source.path is None:
+        raise ValueError("rows can only be added to a master with a path")
     key = schemas.MASTER_KEYS[table]
     rows = with_master_defaults(rows, table).select(*TABLES[table].names)
     path = f"{source.path}/{table}"

@@ -47,6 +47,7 @@ TABLES = {
     "stg_meter_health_logs": Table(
         STAGING, schemas.STG_HEALTH_LOGS, "log_date", "log_timestamp", ("device_id", "log_timestamp")
     ),
+    "rejected_messages": Table(STAGING, schemas.REJECTS, "reject_date", "rejected_at", ("topic",)),
     "device_hourly_metrics": Table(
         MARTS, schemas.DEVICE_HOURLY, "reading_date", id_cols=("device_id", "reading_hour")
     ),
@@ -74,9 +75,13 @@ class Lake:
     def path(self, name: str) -> str:
         return f"{self.root}/{TABLES[name].layer}/{name}"
 
-    def work_path(self, name: str, step: str) -> str:
-        """Place for the rows of one load, replaced by the next load."""
-        return f"{self.root}/_work/{name}-{step}"
+    def work_path(self, load: str, name: str, step: str) -> str:
+        """Place for the rows of one load; no two loads share one."""
+        return f"{self.root}/_work/load-{load}/{name}-{step}"
+
+    def clear_work(self, load: str) -> None:
+        fs, p = self._fs(f"{self.root}/_work/load-{load}")
+        fs.delete(p, True)
 
     def _fs(self, path: str):
         hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -87,8 +92,52 @@ class Lake:
         return fs.exists(p)
 
     def exists(self, name: str) -> bool:
+        self._recover(name)
         return self._present(self.path(name))
 
+    # -- swapping ----------------------------------------------------------
+
+    def _swap_path(self, name: str, part: str = "") -> str:
+        return f"{self.root}/_work/swap/{name}/{part or '_table'}"
+
+    def _swap(self, new: str | None, name: str, part: str = "") -> None:
+        """Put a finished folder in the place of a table or partition; None only takes the old one away.
+
+        The old folder waits aside until the new one is in place: whenever this is
+        cut short, :meth:`_recover` finds the old one or the new one whole.
+        """
+        place = f"{self.path(name)}/{part}" if part else self.path(name)
+        fs, target = self._fs(place)
+        aside = self._fs(self._swap_path(name, part))[1]
+        fs.mkdirs(aside.getParent())
+        fs.mkdirs(target.getParent())
+        if fs.exists(target):
+            fs.delete(aside, True)
+            if new is None:
+                # Nothing follows: the partition is gone with its folder.
+                fs.delete(target, True)
+                return
+            if not fs.rename(target, aside):
+                raise OSError(f"could not move {place} aside")
+        if new is not None and not fs.rename(self._fs(new)[1], target):
+            raise OSError(f"could not move {new} to {place}")
+        fs.delete(aside, True)
+
+    def _recover(self, name: str) -> None:
+        """Bring back what a swap that was cut short has left aside."""
+        fs, waiting = self._fs(f"{self.root}/_work/swap/{name}")
+        if not fs.exists(waiting):
+            return
+        for status in fs.listStatus(waiting):
+            aside = status.getPath()
+            part = aside.getName()
+            target = self._fs(self.path(name) if part == "_table" else f"{self.path(name)}/{part}")[1]
+            if fs.exists(target):
+                fs.delete(aside, True)
+            else:
+                fs.mkdirs(target.getParent())
+                fs.rename(aside, target)
+
     # -- reading -----------------------------------------------------------
 
     def read(self, name: str, where: Column | None = None) -> DataFrame:
@@ -100,8 +149,17 @@ class Lake:
         return df.select(*table.schema.names)
 
     def read_dates(self, name: str, dates: Sequence[dt.date] | None) -> DataFrame:
-        """The partitions of the given dates, or the whole table for None."""
-        return self.read(name, None if dates is None else F.col(TABLES[name].date_col).isin(list(dates)))
+        """The partitions of the given dates, or the whole table for None; only their folders are listed."""
+        if dates is None:
+            return self.read(name)
+        table, home = TABLES[name], self.path(name)
+        self._recover(name)
+        folders = [f"{home}/{table.date_col}={d}" for d in dates]
+        folders = [f for f in folders if self._present(f)]
+        if not folders:
+            return self.spark.createDataFrame([], table.schema)
+        rows = self.spark.read.schema(table.stored_schema).option("basePath", home).parquet(*folders)
+        return rows.select(*table.schema.names)
 
     def dates(self, name: str) -> list[dt.date]:
         """Dates a table has partitions for, from the folder names alone."""
@@ -128,24 +186,42 @@ class Lake:
 
     @property
     def _pending_path(self) -> str:
-        return f"{self.root}/_work/pending_dates"
+        return f"{self.root}/_work/pending"
 
-    def pending_dates(self) -> list[dt.date] | None:
+    def pending_notes(self) -> list[str]:
+        """Names of the notes that are there now."""
+        fs, p = self._fs(self._pending_path)
+        if not fs.exists(p):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(p)]
+        # A note counts once it is complete.
+        return sorted(n for n in names if self._present(f"{self._pending_path}/{n}/_SUCCESS"))
+
+    def pending_dates(self, notes: Sequence[str] | None = None) -> list[dt.date] | None:
         """Dates whose readings changed but whose marts may be old (None: all dates).
 
-        Written before staging changes and cleared after the marts are done, so
-        that a run cut short in between is made good by the next one.
+        Noted before staging changes, one note per load, and removed after the marts
+        are done, so that a run cut short in between is made good by the next one.
         """
-        if not self._present(self._pending_path):
+        notes = self.pending_notes() if notes is None else notes
+        if not notes:
             return []
-        rows = self.spark.read.schema("reading_date DATE").parquet(self._pending_path).collect()
-        found = [r[0] for r in rows]
+        paths = [f"{self._pending_path}/{n}" for n in notes]
+        found = {r[0] for r in self.spark.read.schema("reading_date DATE").parquet(*paths).distinct().collect()}
         return None if None in found else sorted(found)
 
-    def set_pending(self, dates: Sequence[dt.date] | None) -> None:
+    def note_pending(self, dates: Sequence[dt.date] | None) -> None:
+        """Add a note; those of other loads stay."""
         rows = [(None,)] if dates is None else [(d,) for d in dates]
-        pending = self.spark.createDataFrame(rows, "reading_date DATE").coalesce(1)
-        pending.write.mode("overwrite").parquet(self._pending_path)
+        if rows:
+            pending = self.spark.createDataFrame(rows, "reading_date DATE").coalesce(1)
+            pending.write.parquet(f"{self._pending_path}/{uuid.uuid4().hex}")
+
+    def clear_pending(self, notes: Sequence[str]) -> None:
+        """Remove the notes that were read; one that has come since stays."""
+        for note in notes:
+            fs, p = self._fs(f"{self._pending_path}/{note}")
+            fs.delete(p, True)
 
     # -- writing -----------------------------------------------------------
 
@@ -171,43 +247,52 @@ class Lake:
             writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
         writer.parquet(path)
 
-    def write_full(self, df: DataFrame, name: str) -> None:
-        """Replace a table: written aside first, so that a failed job leaves the old one."""
+    def _written_aside(self, df: DataFrame, name: str) -> str:
         table = TABLES[name]
         aside = f"{self.root}/_work/{name}-{uuid.uuid4().hex}"
         self._write(self._laid_out(self._stored(df, table), table), aside, table, "overwrite", False)
-        fs, target = self._fs(self.path(name))
-        fs.delete(target, True)
-        fs.mkdirs(target.getParent())
-        if not fs.rename(self._fs(aside)[1], target):
-            raise OSError(f"could not move {aside} to {self.path(name)}")
+        return aside
 
-    def write_dates(self, df: DataFrame, name: str) -> None:
-        """Replace the partitions that ``df`` has rows for; the others stay."""
-        table = TABLES[name]
-        self._write(self._laid_out(self._stored(df, table), table), self.path(name), table, "overwrite", True)
+    def write_full(self, df: DataFrame, name: str) -> None:
+        """Replace a table: written aside first, so that a failed job leaves the old one."""
+        self._recover(name)
+        self._swap(self._written_aside(df, name), name)
+
+    def write_dates(self, df: DataFrame, name: str, dates: Sequence[dt.date]) -> None:
+        """Replace the partitions of the given dates; those that ``df`` has no rows for go, all others stay."""
+        self._recover(name)
+        aside = self._written_aside(df, name)
+        for date in dates:
+            part = f"{TABLES[name].date_col}={date}"
+            self._swap(f"{aside}/{part}" if self._present(f"{aside}/{part}") else None, name, part)
+        fs, p = self._fs(aside)
+        fs.delete(p, True)
 
     def replace_dates(self, df: DataFrame, name: str, dates: Sequence[dt.date] | None) -> None:
         """Partitions of the given dates, or the whole table for None."""
         if dates is None or not self.exists(name) or TABLES[name].date_col is None:
             self.write_full(df, name)
         else:
-            self.write_dates(df, name)
+            self.write_dates(df, name, dates)
 
     def append(self, df: DataFrame, name: str) -> None:
         """Add rows to a table, each date's to its own partition."""
         table = TABLES[name]
         self._write(self._laid_out(self._stored(df, table), table), self.path(name), table, "append", False)
 
-    def write_work(self, df: DataFrame, name: str, step: str = "arrived") -> DataFrame:
-        """Write the rows of one load and read them back, with the date column.
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """Rows as they are stored: declared columns and the date column."""
+        return self._stored(df, TABLES[name])
+
+    def write_work(self, df: DataFrame, load: str, name: str, step: str) -> DataFrame:
+        """Write the rows of one load as they are and read them back.
 
         Later steps use the rows several times; from here on a lost executor
         costs a file read, not another scan of the source.
         """
-        table, path = TABLES[name], self.work_path(name, step)
-        self._stored(df, table).write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(table.stored_schema).parquet(path)
+        path = self.work_path(load, name, step)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     # -- catalog -----------------------------------------------------------
 

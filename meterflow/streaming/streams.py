@@ -79,12 +79,13 @@ def load_stream(
     """Load a topic into its staging table batch by batch and refresh the marts it touches.
 
     Loading is an upsert by key and refreshing rewrites whole dates, so a batch
-    that is run again after a failure leaves the same tables. ``interval=None``
+    that is run again after a failure leaves the same tables. Unusable messages go to
+    the reject table, each once. ``interval=None``
     loads what is there and ends.
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        jobs.load_rows(lake, name, jobs.parse(name, batch, batch_ts), late)
+        jobs.load_messages(lake, name, batch, late, batch_ts=batch_ts)
         if name == "stg_telemetry_raw":
             jobs.refresh_marts(lake, as_of)
 

@@ -185,7 +185,7 @@ CTES: dict[str, str] = {
                {FIRST_LOAD} FROM lineitem""",
     # messages the staging step accepts, straight from the fields they were made of
     "accepted": f"""
-        SELECT * FROM staged WHERE battery_pct NOT IN (60, 61, 62, 63, 64, 65, 68)""",
+        SELECT * FROM staged WHERE battery_pct IN (66, 67) OR battery_pct > 79""",
     "m_readings": "SELECT * EXCLUDE (telemetry_id, event_type) FROM accepted",
     "device_master": """
         SELECT 'MTR-' || (10000 + c_custkey) AS device_id, 'CUST-' || (8000 + c_nationkey % 7) AS customer_id,

@@ -40,7 +40,7 @@ def message(device="MTR-1", customer="CUST-1", at="2025-12-09T06:25:40Z", energy
     )
 
 
-READING_FIELDS = [f for f in schemas.STG_TELEMETRY.names if f != "telemetry_id"]
+READING_FIELDS = [f for f in schemas.STG_TELEMETRY.names if f not in ("telemetry_id", "sent_at")]
 
 
 def readings(spark, rows):

@@ -56,12 +56,11 @@ def test_salted_join_gives_the_same_rows(spark, no_broadcast, how):
     assert rows_of(salted) == rows_of(rows.join(table, "k", how))
 
 
-def test_sizes(spark, seeds, sf_dir, monkeypatch):
+def test_sizes(spark, seeds, sf_dir):
     stored = spark.read.parquet(f"{sf_dir}/customer.parquet")
     assert 0 < estimated_bytes(stored) < 1 << 20
-    assert estimated_bytes(seeds[0]) is None  # rows from the driver: judged by a bounded count
-    assert small_enough_to_broadcast(seeds[0])
-    monkeypatch.setattr(lookup, "MAX_BROADCAST_ROWS", 9)
+    assert small_enough_to_broadcast(stored)
+    assert estimated_bytes(seeds[0]) is None  # rows from the driver: nothing is known, so nothing is shipped
     assert not small_enough_to_broadcast(seeds[0])
 
 

@@ -23,6 +23,7 @@ def test_telemetry_fields(spark):
     assert row == {
         "device_id": "MTR-1", "customer_id": "CUST-1", "reading_timestamp": ts("2025-12-09T06:25:40"),
         "energy_kwh": 0.42, "voltage": 229.6, "battery_pct": 78, "status": "OK", "ingested_at": LOADED,
+        "sent_at": ts("2025-12-09T00:00:00"),
     }
 
 
@@ -49,17 +50,35 @@ BAD = {
     message(at="noon"): "unreadable_timestamp",
     message(energy="much"): "unreadable_number",
     message(battery="x"): "unreadable_number",
+    message(energy="NaN"): "unreadable_number",
+    message(energy="Infinity"): "unreadable_number",
+    message(energy="1e999"): "unreadable_number",
+    message(energy="1d"): "unreadable_number",
+    message(volts=True): "unreadable_number",
+    message(at="12:30"): "unreadable_timestamp",
+    message(at="T12:30:00Z"): "unreadable_timestamp",
+    message(at="2025"): "unreadable_timestamp",
+    message(at="2025-12-09"): "unreadable_timestamp",
+    message(at="2025-12-12T00:00:00Z"): "time_ahead",
+    message() + message(): "malformed_json",
+    message() + ", " + message(): "malformed_json",
+    message() + "]": "malformed_json",
+    message() + "]{}": "malformed_json",
+    message() + "}": "malformed_json",
+    message() + "x": "malformed_json",
+    "null": "malformed_json",
+    '{"device_id":"D","timestamp":"2025-01-01T00:00:00Z","metrics":5}': "malformed_json",
 }
 
 
 def test_rejects(spark):
-    df = staging.parse_rejects(topic_rows(spark, [*BAD, "", None, message()]))
+    df = staging.parse_rejects(topic_rows(spark, [*BAD, "", None, message()]), LOADED)
     assert {r._message: r.reject_reason for r in df.collect()} == BAD
 
 
 def test_every_message_is_used_or_rejected(spark):
     rows = topic_rows(spark, [*BAD, message(), message(customer=None), '{"device_id":"D","timestamp":"2025-01-01"}'])
-    assert staging.parse_telemetry(rows, LOADED).count() + staging.parse_rejects(rows).count() == rows.count()
+    assert staging.parse_telemetry(rows, LOADED).count() + staging.parse_rejects(rows, LOADED).count() == rows.count()
 
 
 def test_missing_metrics_stay_null(spark):
