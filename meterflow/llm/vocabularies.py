@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import os
-from functools import lru_cache
+from collections.abc import Callable
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -18,32 +18,52 @@ def path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=4)
+# What this process has read, by kind and file.
+_READ: dict[tuple[str, str], object] = {}
+
+
+def _once(kind: str, file: str, read: Callable[[], object]):
+    if (kind, file) not in _READ:
+        _READ[kind, file] = read()
+    return _READ[kind, file]
+
+
 def ranks(file: str) -> dict[bytes, int]:
-    with open(file, "rb") as lines:
-        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    def read() -> dict[bytes, int]:
+        with open(file, "rb") as lines:
+            return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+    return _once("ranks", file, read)
 
 
-@lru_cache(maxsize=4)
 def rank_encoding(file: str):
-    import public_tokenizers
-    import tiktoken
+    def read():
+        import public_tokenizers
+        import tiktoken
+
+        return tiktoken.Encoding(
+            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(file), special_tokens={}
+        )
 
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks(file), special_tokens={})
+    return _once("encoding", file, read)
 
 
-@lru_cache(maxsize=4)
 def pieces(file: str):
-    import sentencepiece
+    def read():
+        import sentencepiece
 
-    return sentencepiece.SentencePieceProcessor(model_file=file)
+        return sentencepiece.SentencePieceProcessor(model_file=file)
+
+    return _once("pieces", file, read)
 
 
-@lru_cache(maxsize=4)
 def library(file: str):
-    from tokenizers import Tokenizer
+    def read():
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(file)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        return tokenizer
 
-    tokenizer = Tokenizer.from_file(file)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    return tokenizer
+    return _once("library", file, read)

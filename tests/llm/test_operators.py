@@ -255,17 +255,13 @@ def test_leaks(spark, shared):
 def levenshtein(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
-        row = [i] + [0] * len(b)  if i == 0 else _next(row, x, b, i)
+        now = [i]
+        for j, y in enumerate(b, 1):
+            now.append(min(row[j] + 1, now[-1] + 1, row[j - 1] + (x != y)))
+        row = now
     return row[-1]
 
 
-def _next(row, x, b, i):
-    out = [i]
-    for j, y in enumerate(b, 1):
-        out.append(min(row[j] + 1, out[-1] + 1, row[j - 1] + (x != y)))
-    return out
-
-
 def test_alignment_is_the_edit_distance():
     draw = random.Random(4)
     for _ in range(30):
@@ -307,8 +303,8 @@ def test_article_without_the_rest(spark, shared):
     )
     pages = [(1, "http://h.example/1", html), (2, "http://h.example/2", None), (3, None, ""), (4, "no url", "<p>bare &eacute;")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
-    got = {r[0]: r[1] for r in wrappers.extract_text(with_clashes(df.withColumn("x", F.lit(1)).drop("x")).drop("html").join(
-        df.select("page_id", "html"), "page_id")).select("row.page_id", "text").collect()}
+    found = wrappers.extract_text(with_clashes(df.withColumnRenamed("html", "page")).drop("html").withColumnRenamed("page", "html"))
+    got = {r[0]: r[1] for r in found.select("row.page_id", "text").collect()}
     assert got == {1: "A & B\nOne two three four\nfive\nx\ny <z>\n1 < 2", 2: "", 3: "", 4: "bare é"}
 
 
