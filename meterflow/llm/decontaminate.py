@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from meterflow.llm.batches import by_slice
 from meterflow.llm.common import packed, whole
 
-GRAM, EDITS = 12, 0.06
+GRAM, EDITS = 10, 0.08
 # Items of fewer characters are not looked for: they say too little.
 LEAST_CHARS = 24
 # Characters of the items that one pass over the documents looks for.
