@@ -202,14 +202,27 @@ def _months(dates: Sequence[dt.date] | None) -> list[dt.date] | None:
     return None if dates is None else sorted({d.replace(day=1) for d in dates})
 
 
+# A mart by date is rebuilt in slices of so many input bytes, so that each slice's
+# shuffle gets as many tasks as it needs.
+SLICE_BYTES = 8 << 40
+BY_DATE = {
+    "device_hourly_metrics": lambda rows: rollups.device_hourly(rows, unique=True),
+    "device_daily_metrics": rollups.device_daily,
+    "customer_daily_usage_summary": rollups.customer_daily,
+}
+
+
 def build_mart(lake: Lake, name: str, dates: Sequence[dt.date] | None, as_of: C.AsOf = None) -> None:
     """Build a mart from its input table: the given dates (or their months), or all of it."""
     source = MART_INPUT[name]
+    if dates is None and name in BY_DATE:
+        slices = lake.date_slices(source, SLICE_BYTES)
+        if len(slices) > 1:
+            lake.write_in_slices((BY_DATE[name](lake.read_dates(source, days)) for days in slices), name)
+            return
     months = _months(dates)
-    if name == "device_hourly_metrics":
-        rows = rollups.device_hourly(lake.read_dates(source, dates), unique=True)
-    elif name == "device_daily_metrics":
-        rows = rollups.device_daily(lake.read_dates(source, dates))
+    if name in BY_DATE:
+        rows = BY_DATE[name](lake.read_dates(source, dates))
     elif name == "device_monthly_metrics":
         in_months = None
         if months is not None:
@@ -217,8 +230,6 @@ def build_mart(lake: Lake, name: str, dates: Sequence[dt.date] | None, as_of: C.
             # the plain range lets the scan list only the partitions it needs
             in_months &= F.col("reading_date").between(months[0], _month_end(months[-1]))
         rows = rollups.device_monthly(lake.read(source, in_months))
-    elif name == "customer_daily_usage_summary":
-        rows = rollups.customer_daily(lake.read_dates(source, dates))
     elif name == "customer_monthly_usage_summary":
         rows = rollups.customer_monthly(lake.read_dates(source, months))
     else:

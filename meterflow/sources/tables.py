@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -177,6 +177,19 @@ class Lake:
         parts = [self._fs(f"{self.path(name)}/{TABLES[name].date_col}={d}")[1] for d in dates]
         return sum(fs.getContentSummary(q).getLength() for q in parts if fs.exists(q))
 
+    def date_slices(self, name: str, most: int) -> list[list[dt.date]]:
+        """Dates of a table in runs of up to ``most`` bytes, one date at least."""
+        slices: list[list[dt.date]] = []
+        total = 0
+        for date in self.dates(name):
+            size = self.size(name, [date])
+            if not slices or total + size > most:
+                slices.append([])
+                total = 0
+            slices[-1].append(date)
+            total += size
+        return slices
+
     def read_newest(self, name: str) -> DataFrame:
         """The partition of the latest date: the newest rows are there."""
         dates = self.dates(name)
@@ -258,6 +271,14 @@ class Lake:
         self._recover(name)
         self._swap(self._written_aside(df, name), name)
 
+    def write_in_slices(self, slices: Iterable[DataFrame], name: str) -> None:
+        """Replace a table by the rows of several frames, written aside one after the other."""
+        self._recover(name)
+        table, aside = TABLES[name], f"{self.root}/_work/{name}-{uuid.uuid4().hex}"
+        for df in slices:
+            self._write(self._laid_out(self._stored(df, table), table), aside, table, "append", False)
+        self._swap(aside, name)
+
     def write_dates(self, df: DataFrame, name: str, dates: Sequence[dt.date]) -> None:
         """Replace the partitions of the given dates; those that ``df`` has no rows for go, all others stay."""
         self._recover(name)

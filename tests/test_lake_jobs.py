@@ -382,3 +382,12 @@ def test_note_during_a_refresh_is_not_forgotten(lake, topics):
 def test_relational_master_is_not_written(spark):
     with pytest.raises(ValueError, match="path"):
         add_missing(spark, Master(url="jdbc:none"), "device_master", seed_devices(spark, LOADED))
+
+
+def test_rebuild_in_slices(lake, topics, monkeypatch):
+    topics.send(messages(range(1, 4)))
+    run(lake, topics, select="staging")
+    monkeypatch.setattr(jobs, "SLICE_BYTES", 1)
+    assert lake.date_slices("stg_telemetry_raw", 1) == [[dt.date(2025, 1, d)] for d in (1, 2, 3)]
+    run(lake, topics)
+    assert_marts_current(lake)
