@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from meterflow.llm import vocabularies
 from meterflow.llm.batches import by_slice
-from meterflow.llm.common import packed, whole
+from meterflow.llm.common import packed, whole, with_row
 
 RANKS = "byte_bpe_50k.tiktoken"
 # A worker keeps the ids of so many chunks of at most so many characters; then it starts anew.
@@ -258,7 +258,7 @@ def encode_texts(documents: DataFrame, keep: list[str] | None = None, ranks: str
     an empty table gives no rows. ``ranks`` is the path of the rank file.
     """
     file = ranks or vocabularies.path(RANKS)
-    rows = documents.select(packed(documents.select(*[F.col(f"`{c}`") for c in keep or documents.columns])), "text")
+    rows = documents.select(packed(documents, keep), "text")
     rows = rows.select("row", whole(F.col("text")).alias("text"))
 
     def encode(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -274,5 +274,5 @@ def encode_texts(documents: DataFrame, keep: list[str] | None = None, ranks: str
             names=["row", "n_tokens", "ids", "decoded"],
         )
 
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(by_slice(encode, most=REPLAY_BYTES), f"row {kind}, n_tokens long, ids binary, decoded binary")
+    schema = with_row(rows, n_tokens="long", ids="binary", decoded="binary")
+    return rows.mapInArrow(by_slice(encode, most=REPLAY_BYTES), schema)

@@ -10,6 +10,7 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -53,9 +54,18 @@ def whole(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def packed(df: DataFrame) -> Column:
-    """All columns of a row in one, so that helper columns can't clash with them."""
-    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+def packed(df: DataFrame, keep: list[str] | None = None) -> Column:
+    """The kept columns of a row (all by default) in one, so that helper columns can't clash with them."""
+    names = [c.replace("`", "``") for c in keep or df.columns]
+    return F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
+
+
+def with_row(rows: DataFrame, **columns: str | T.DataType) -> T.StructType:
+    """Schema of the packed row and further columns."""
+    schema = T.StructType([rows.schema["row"]])
+    for name, kind in columns.items():
+        schema.add(name, kind)
+    return schema
 
 
 def key_columns(value: Column, name: str = "k") -> list[Column]:

@@ -21,9 +21,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterflow.llm.batches import by_slice
-from meterflow.llm.common import packed, whole
+from meterflow.llm.common import packed, whole, with_row
 
 GRAM, EDITS = 10, 0.08
 # Items of fewer characters are not looked for: they say too little.
@@ -235,20 +236,19 @@ def find_leaks(
     benchmark no leaks.
     """
     rows = documents.select(
-        packed(documents.select(*[F.col(f"`{c}`") for c in keep or documents.columns])),
+        packed(documents, keep),
         whole(F.col("text")).alias("text"),
     )
     blocks = _blocks(benchmark, block_chars)
     last = blocks.agg(F.max("block")).first()[0]
-    kind = rows.schema["row"].dataType.simpleString()
-    leak = "array<struct<item_id:long,edits:int,start:int,end:int>>"
-    out = rows.withColumn("leaks", F.array().cast(leak))
+    leak = T.StructType().add("item_id", "long").add("edits", "integer").add("start", "integer").add("end", "integer")
+    out = rows.withColumn("leaks", F.array().cast(T.ArrayType(leak)))
+    schema = with_row(rows, text="string", leaks=T.ArrayType(leak))
     for number in range(-1 if last is None else last + 1):
         # A block is bounded by block_chars and one item.
         items = [tuple(r) for r in blocks.filter(F.col("block") == number).select("item_id", "text").collect()]
         out = out.mapInArrow(
-            by_slice(_finder(sorted(items, key=lambda x: (x[0] is None, x)), gram, share)),
-            f"row {kind}, text string, leaks {leak}",
+            by_slice(_finder(sorted(items, key=lambda x: (x[0] is None, x)), gram, share)), schema
         )
     return out.select("row", "leaks")
 

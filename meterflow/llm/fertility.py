@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from meterflow.llm import vocabularies
 from meterflow.llm.batches import by_slice
-from meterflow.llm.common import BLANKS, packed, whole
+from meterflow.llm.common import BLANKS, packed, whole, with_row
 
 RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 SYMBOLS = b"#*$%&|<>"
@@ -232,7 +232,7 @@ def rate_documents(
     files = ranks or vocabularies.path(RANKS), pieces or vocabularies.path(PIECES)
     lang = F.col("lang").cast("string") if "lang" in documents.columns else F.lit(None).cast("string")
     rows = documents.select(
-        packed(documents.select(*[F.col(f"`{c}`") for c in keep or documents.columns])),
+        packed(documents, keep),
         whole(F.col("text")).alias("text"),
         lang.alias("lang"),
     )
@@ -251,6 +251,5 @@ def rate_documents(
             names=["row", *MEASURES, "base_failed", "kept"],
         )
 
-    kind = rows.schema["row"].dataType.simpleString()
-    columns = ", ".join(f"{name} {'long' if t == pa.int64() else 'double'}" for name, t in MEASURES.items())
-    return rows.mapInArrow(by_slice(rate), f"row {kind}, {columns}, base_failed boolean, kept boolean")
+    kinds = {name: "long" if kind == pa.int64() else "double" for name, kind in MEASURES.items()}
+    return rows.mapInArrow(by_slice(rate), with_row(rows, **kinds, base_failed="boolean", kept="boolean"))

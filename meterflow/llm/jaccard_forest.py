@@ -339,6 +339,6 @@ def join_near(
         "tid", "root", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), "n_copies"
     )
     rows = documents.select(
-        packed(documents.select(*[F.col(f"`{c}`") for c in keep or documents.columns])), F.md5(text).alias("tid")
+        packed(documents, keep), F.md5(text).alias("tid")
     )
     return rows.join(known, "tid", "left").drop("tid")

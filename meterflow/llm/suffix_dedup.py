@@ -354,7 +354,7 @@ def remove_repeats(
     # Written, so that the rows of a text with very many copies can be split between tasks.
     removed = written(removed, "spans")
     rows = documents.select(
-        packed(documents.select(*[F.col(f"`{c}`") for c in keep or documents.columns])),
+        packed(documents, keep),
         *key_columns(text),
         text.alias("text"),
     )

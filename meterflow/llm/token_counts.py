@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from meterflow.llm import vocabularies
 from meterflow.llm.batches import by_slice
-from meterflow.llm.common import packed, whole
+from meterflow.llm.common import packed, whole, with_row
 
 VOCABULARY = "byte_bpe_50k.json"
 HUGE = 32_768  # characters from which a document is encoded in overlapping chunks
@@ -131,7 +131,7 @@ def count_tokens(
     path of a tokenizer file with byte-level words.
     """
     file = vocabulary or vocabularies.path(VOCABULARY)
-    rows = documents.select(packed(documents.select(*[F.col(f"`{c}`") for c in keep or documents.columns])), "text")
+    rows = documents.select(packed(documents, keep), "text")
     rows = rows.select("row", whole(F.col("text")).alias("text"))
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -142,5 +142,4 @@ def count_tokens(
             [batch.column("row"), sizes, pa.array(counts, pa.int64())], names=["row", "n_bytes", "n_tokens"]
         )
 
-    kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(by_slice(count), f"row {kind}, n_bytes long, n_tokens long")
+    return rows.mapInArrow(by_slice(count), with_row(rows, n_bytes="long", n_tokens="long"))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm.batches import by_slice, slices
-from meterflow.llm.common import packed, whole, written
+from meterflow.llm.common import packed, whole, with_row, written
 from meterflow.llm.html_tree import INLINE, RAW, Element, blocks, parse
 
 # Elements that are never part of an article, by tag and by words of class, id and role.
@@ -37,6 +37,7 @@ NOT_TEXT_WORDS = frozenset(
     " pagination pager header masthead footer colophon share sharing social related recommended newsletter subscribe"
     " subscription signup login search toolbar widget widgets skip complementary contentinfo".split()
 )
+ABOUT_THE_PAGE = re.compile(r"(no|not|has|with|without|is)[-_]|\w+[-_](open|closed|free)$")
 WHOLE_PAGE = frozenset("#page html body article main".split())
 # The wrapper table goes to every executor up to so many bytes; beyond, pages are joined by host.
 BROADCAST_BYTES = 4 << 20
@@ -52,7 +53,10 @@ def left_out(node: Element) -> bool:
         return True
     if not node.marks or node.name in WHOLE_PAGE:
         return False
-    return not NOT_TEXT_WORDS.isdisjoint(re.split(r"[^a-z]+", node.marks)) and not _holds_article(node)
+    # Marks such as no-sidebar or has-comments tell about the page, not the element.
+    names = [m for m in node.marks.split() if not ABOUT_THE_PAGE.match(m)]
+    words = {w for m in names for w in re.split(r"[^a-z]+", m)}
+    return not NOT_TEXT_WORDS.isdisjoint(words) and not _holds_article(node)
 
 
 def _holds_article(node: Element) -> bool:
@@ -350,7 +354,7 @@ def extract_text(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     regions = written(infer_wrappers(pages), "wrappers").select("host", "region")
     bytes_ = regions.agg(F.sum(F.octet_length("host") + F.octet_length("region"))).first()[0] or 0
     rows = pages.select(
-        packed(pages.select(*[F.col(f"`{c}`") for c in keep or pages.columns])),
+        packed(pages, keep),
         whole(F.col("html")).alias("html"),
         host(F.col("url")).alias("host"),
     )
@@ -361,5 +365,4 @@ def extract_text(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
         found = map(main_text, batch.column("html").to_pylist(), batch.column("region").to_pylist())
         return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, pa.string())], names=["row", "text"])
 
-    kind = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(by_slice(extract, "html"), f"row {kind}, text string")
+    return joined.mapInArrow(by_slice(extract, "html"), with_row(joined, text="string"))

@@ -28,4 +28,4 @@ def with_clashes(df):
     names = "row k1 k2 tid did raw spans kept lines places n_tokens ids leaks segments root class_id strong weak html"
     for name in names.split():
         df = df.selectExpr("*", f"'x' AS {name}")
-    return df
+    return df.selectExpr("*", "1 AS `odd, name: a.b`")

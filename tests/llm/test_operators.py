@@ -298,8 +298,9 @@ def test_article_without_the_rest(spark, shared):
         "<script>var t='</p><article>';</script><div class='ad'>Buy</div>"
     )
     html = (
-        "<html><body><header>Top</header><article class='post'><h1>A &amp; B</h1><p>One <b>two\n three<br>four<p>five"
-        f"<ul><li>x<li>y &lt;z&gt;</ul>{rest}<p>1 < 2</article><p>outside</p></body></html>"
+        "<html><body><header>Top</header><article class='post'><h1>A &amp; B</h1>"
+        f"<div class='entry no-sidebar comments-open'><p>One <b>two\n three<br>four<p>five"
+        f"<ul><li>x<li>y &lt;z&gt;</ul>{rest}<p>1 < 2</div></article><p>outside</p></body></html>"
     )
     pages = [(1, "http://h.example/1", html), (2, "http://h.example/2", None), (3, None, ""), (4, "no url", "<p>bare &eacute;")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
