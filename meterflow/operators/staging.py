@@ -56,7 +56,7 @@ def _json_message() -> tuple[Column, Column]:
     wrong = (
         F.when(F.coalesce(F.size("listed"), F.lit(0)) != 1, True)
         .when(first.isNull(), True)
-        .when(unsure, F.coalesce(held["_corrupt_record"].isNotNull() | held["m"].isNull(), F.lit(True)))
+        .when(unsure, F.exists(F.array(held), lambda h: h["_corrupt_record"].isNotNull() | h["m"].isNull()))
         .otherwise(False)
     )
     return listed, F.struct(first.alias("m"), wrong.alias("wrong"))

@@ -113,13 +113,15 @@ def changed_dates(rows: DataFrame, date_col: str) -> list[dt.date] | None:
 
 
 def newest_mark(lake: Lake, name: str) -> DataFrame:
-    """High-water mark of a staging table, from its newest partition where that has one."""
+    """High-water mark of a staging table, from its newest partition that has one."""
     if name != "stg_meter_health_logs":
         return staging.high_water_mark(lake.read_newest(name), EVENT_TIME[name])
-    mark = staging.log_mark(lake.read_newest(name))
-    if mark.first()["high_water_mark"] == staging.FIRST_MARK:
-        mark = staging.log_mark(lake.read(name))
-    return mark
+    # Lines without a time of their own don't count: go back day by day to one that has some.
+    for day in reversed(lake.dates(name)):
+        mark = staging.log_mark(lake.read_dates(name, [day]))
+        if mark.first()["high_water_mark"] != staging.FIRST_MARK:
+            return mark
+    return staging.log_mark(lake.read(name))
 
 
 def load_rows(

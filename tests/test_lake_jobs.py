@@ -216,6 +216,11 @@ def test_newest_mark_reads_one_partition(lake, topics):
     files = lake.read_newest("stg_telemetry_raw").inputFiles()
     assert files and all("reading_date=2025-01-03" in f for f in files)
     assert jobs.newest_mark(lake, "stg_meter_health_logs").first()[0] == ts("2025-01-03T07:00:00")
+    # A later day that has only lines without a time of their own doesn't count.
+    topics.send(["[INFO] MTR-1 HEALTH_CHECK_OK"], "logs")
+    run(lake, topics)
+    assert lake.dates("stg_meter_health_logs")[-1] == dt.date(2025, 12, 9)
+    assert jobs.newest_mark(lake, "stg_meter_health_logs").first()[0] == ts("2025-01-03T07:00:00")
 
 
 def test_sql_namespaces(lake, topics, spark):
