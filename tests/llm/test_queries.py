@@ -40,6 +40,13 @@ def test_all_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
 
 
+@pytest.mark.parametrize("prefix", ["op7_", "op9_", "op10_"])
+def test_native_queries_run_no_python(spark, shared, sf_dir, prefix):  # noqa: F811
+    name = next(n for n in queries.QUERIES if n.startswith(prefix))
+    text = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in text for x in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"))
+
+
 def test_quality(spark, shared, sf_dir, documents):  # noqa: F811
     got = rows_of(spark, sf_dir, "op1_")
     assert {i: r[:6] for i, r in got.items()} == {i: base_measures(t) for i, t in documents}
