@@ -53,6 +53,35 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLES["op2_suffix_dedup"] = r"""
+WITH raw AS (
+    SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), windows AS (
+    SELECT r, s, b[s + 1:s + 400] AS w
+    FROM (SELECT r, b, unnest(range(octet_length(b) - 399)) AS s FROM raw WHERE octet_length(b) >= 400) AS starts
+), found AS (
+    SELECT r, s FROM windows WHERE w IN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1)
+), edges AS (
+    SELECT *, coalesce(s > lag(s) OVER (PARTITION BY r ORDER BY s) + 400, true)::INT AS fresh FROM found
+), numbered AS (
+    SELECT *, sum(fresh) OVER (PARTITION BY r ORDER BY s) AS span FROM edges
+), spans AS (
+    SELECT r, span, min(s) AS a, max(s) + 400 AS z FROM numbered GROUP BY r, span
+), gaps AS (
+    SELECT r, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS a, a AS z FROM spans
+    UNION ALL SELECT r, max(z), NULL FROM spans GROUP BY r
+    UNION ALL SELECT r, 0, NULL FROM raw WHERE r NOT IN (SELECT r FROM spans)
+), left_over AS (
+    SELECT r, string_agg(hex(b[a + 1:coalesce(z, octet_length(b))]), '' ORDER BY a) AS kept FROM gaps JOIN raw USING (r) GROUP BY r
+), sums AS (
+    SELECT r, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r
+)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM raw JOIN left_over USING (r) LEFT JOIN sums USING (r)
+"""
+
+
 @_query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_texts(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -78,12 +107,55 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.page_id", "row.url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+ORACLES["op5_html_extraction"] = r"""
+-- All given pages have one plain article element.
+WITH articles AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1) AS a FROM pages
+), blocks AS (
+    SELECT page_id, url, list_filter(list_transform(regexp_split_to_array(a, '</?(?:p|h1)>'), lambda x: trim(regexp_replace(
+        replace(replace(replace(replace(replace(regexp_replace(replace(x, '<br>', ' '), '<[a-zA-Z/][^>]*>', '', 'g'),
+        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&'), '\s+', ' ', 'g'))), lambda x: x <> '') AS b
+    FROM articles
+)
+SELECT page_id, url, array_to_string(b, chr(10)) AS text, length(array_to_string(b, chr(10))) AS n_chars FROM blocks
+"""
+
+
 @_query
 def op6_jaccard_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = jaccard_forest.join_near(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return near.select(F.col("row.doc_id").alias("doc_id"), "class_id", "n_links", "n_copies")
 
 
+ORACLES["op6_jaccard_forest"] = r"""
+WITH RECURSIVE texts AS (
+    SELECT coalesce(text, '') AS t, min(doc_id) AS least, count(*) AS n_copies, row_number() OVER (ORDER BY coalesce(text, '')) AS i
+    FROM documents GROUP BY 1
+), words AS (
+    SELECT i, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM texts
+), shingles AS (
+    SELECT DISTINCT i, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k + 4], ' '))
+                                   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s
+    FROM words
+), sizes AS (
+    SELECT i, count(*) AS n FROM shingles GROUP BY i
+), shared AS (
+    SELECT a.i AS i, b.i AS j, count(*) AS n FROM shingles AS a JOIN shingles AS b ON a.s = b.s AND a.i <> b.i GROUP BY ALL
+), links AS (
+    SELECT shared.i, j FROM shared JOIN sizes AS x ON x.i = shared.i JOIN sizes AS y ON y.i = j
+    WHERE 5 * shared.n >= 4 * (x.n + y.n - shared.n)
+), reached(i, j) AS (
+    SELECT i, i FROM texts UNION SELECT reached.i, links.j FROM reached JOIN links ON links.i = reached.j
+), classes AS (
+    SELECT reached.i, min(least) AS class_id FROM reached JOIN texts ON texts.i = reached.j GROUP BY reached.i
+), degrees AS (
+    SELECT i, count(*) AS n_links FROM links GROUP BY i
+)
+SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links, n_copies
+FROM documents JOIN texts ON t = coalesce(text, '') JOIN classes USING (i) LEFT JOIN degrees USING (i)
+"""
+
+
 @_query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = credentials.scan_secrets(table(spark, sf_dir, "documents"))
