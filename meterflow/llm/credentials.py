@@ -3,8 +3,8 @@
 Strong findings (an assigned secret, an access identifier, a long hexadecimal
 string) are reported on their own. Weak parts (names of users or clients, hosts
 and URLs, tokens of mixed characters) are common in clean text: they are reported
-only where all complementary parts - an identifier, a secret and an endpoint -
-come together within one scope. The join of parts by interval runs per text over
+only where the parts that complete them come together within one scope: an
+identifier for a secret, a secret for an identifier, both for an endpoint. The join of parts by interval runs per text over
 parts sorted by place, so a text full of parts costs no more than sorting them.
 """
 
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import key_columns, packed, whole
+from meterflow.llm.common import key_columns, packed, whole, written
 
 # The strong patterns, with the least code points of the value.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -28,7 +28,8 @@ OPAQUE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,40}[0-9])(?=[a-z0-9+/_-]{0,40}
 # Kinds in the order of listing; part: what a finding can complete.
 KINDS = ("assign", "access", "hex", "identifier", "endpoint", "opaque")
 PARTS = {"assign": "secret", "hex": "secret", "opaque": "secret", "access": "id", "identifier": "id", "endpoint": "place"}
-WEAK = ("identifier", "endpoint", "opaque")
+# What has to stand near a weak finding.
+COMPLETES = {"identifier": ("secret",), "endpoint": ("id", "secret"), "opaque": ("id",)}
 SCOPE = 400  # code points between parts of one credential
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
@@ -85,49 +86,56 @@ def weak_spans(text: Column) -> Column:
 
 
 def linked_parts(parts: DataFrame, key: list[str], scope: int = SCOPE) -> DataFrame:
-    """Weak parts of (key, span) rows that have every complementary part within ``scope`` code points.
+    """Weak parts of (key, span) rows that have what completes them within ``scope`` code points.
 
-    A part's partner of another sort is the nearest one that ends before it or
-    starts after it; one sorted pass in each direction finds both.
+    A part's partner of another sort is the nearest one before or after it by place;
+    one sorted pass in each direction finds both.
     """
     rows = parts.select(*key, "span", F.col("span.start").alias("start"), F.col("span.end").alias("end"))
     rows = rows.withColumn("part", _part(F.col("span.kind")))
     before = Window.partitionBy(*key).orderBy("start", "end", "span.rank").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.partitionBy(*key).orderBy("start", "end", "span.rank").rowsBetween(1, Window.unboundedFollowing)
-    near = F.lit(True)
+    complete = F.lit(False)
+    near = {}
     for part in sorted(set(PARTS.values())):
         other = F.col("part") == part
         behind = F.col("start") - F.max(F.when(other, F.col("end"))).over(before) <= scope
         ahead = F.min(F.when(other, F.col("start"))).over(after) - F.col("end") <= scope
-        rows = rows.withColumn(f"near_{part}", other | F.coalesce(behind, F.lit(False)) | F.coalesce(ahead, F.lit(False)))
-        near = near & F.col(f"near_{part}")
-    return rows.filter(near & F.col("span.kind").isin(*WEAK)).select(*key, "span")
+        near[part] = F.coalesce(behind, F.lit(False)) | F.coalesce(ahead, F.lit(False))
+    rows = rows.withColumns({f"near_{part}": found for part, found in near.items()})
+    for kind, needed in COMPLETES.items():
+        has = F.col("span.kind") == kind
+        for part in needed:
+            has = has & F.col(f"near_{part}")
+        complete = complete | has
+    return rows.filter(complete).select(*key, "span")
 
 
 def _part(kind: Column) -> Column:
     return F.element_at(F.create_map(*[F.lit(x) for pair in PARTS.items() for x in pair]), kind)
 
 
-def scan_secrets(documents: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """``row`` (all input columns), ``strong`` and ``linked``: arrays of (start, rank, end, kind).
+def scan_secrets(documents: DataFrame, keep: list[str] | None = None, scope: int = SCOPE) -> DataFrame:
+    """``row`` (the kept columns, all by default), ``strong`` and ``linked``: arrays of (start, rank, end, kind).
 
     Places are in code points, the end is exclusive. ``strong`` has the findings of
-    the three strong kinds, by start and kind; ``linked`` adds weak parts whose
-    complementary parts stand within ``scope`` code points, less those that overlap
-    a strong finding. A null text is empty. Results depend on the text alone, so
-    repeated rows get the same; an empty table gives no rows.
+    the three strong kinds, by start and kind; ``linked`` adds weak parts with what
+    completes them within ``scope`` code points, less those that overlap a strong
+    finding. A null text is empty. Results depend on the text alone, so repeated rows
+    get the same; an empty table gives no rows.
     """
-    text = whole(F.col("row.text"))
-    rows = documents.select(packed(documents))
+    text = whole(F.col("text"))
     strong = strong_spans(text)
-    # Weak parts are looked for only where the text has an endpoint: without one nothing can be complete.
-    weak = F.when(text.rlike(ENDPOINT), weak_spans(text)).otherwise(F.array().cast(SPAN))
-    scanned = rows.select(
+    # Where a text has no identifier, no weak part can be completed.
+    weak = F.when(text.rlike(IDENTIFIER) | F.contains(text, F.lit("AKIA")), weak_spans(text))
+    scanned = documents.select(
         *key_columns(text),
-        "row",
+        packed(documents, keep),
         F.array_sort(F.concat(*strong.values())).alias("strong"),
-        weak.alias("weak"),
+        F.coalesce(weak, F.array().cast(SPAN)).alias("weak"),
     )
+    # Scanning is the costly part: once for all that follows.
+    scanned = written(scanned, "scanned")
     parts = (
         scanned.filter(F.size("weak") > 0)
         .select("k1", "k2", F.explode(F.concat("strong", "weak")).alias("span"))
@@ -135,13 +143,16 @@ def scan_secrets(documents: DataFrame, scope: int = SCOPE) -> DataFrame:
     )
     linked = linked_parts(parts, ["k1", "k2"], scope)
     linked = linked.groupBy("k1", "k2").agg(F.array_sort(F.collect_list("span")).alias("found"))
-    joined = scanned.drop("weak").join(linked, ["k1", "k2"], "left")
+    # Written, so that the rows of a text with very many copies can be split between tasks.
+    linked = written(linked, "linked")
+    plain = scanned.filter(F.size("weak") == 0).select("row", "strong", F.array().cast(SPAN).alias("linked"))
+    joined = scanned.filter(F.size("weak") > 0).join(linked, ["k1", "k2"], "left")
     found = F.coalesce(F.col("found"), F.array().cast(SPAN))
     free = F.filter(
         found,
         lambda w: ~F.exists("strong", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])),
     )
-    return joined.select("row", "strong", free.alias("linked"))
+    return plain.unionByName(joined.select("row", "strong", free.alias("linked")))
 
 
 def listing(spans: Column) -> Column:

@@ -158,7 +158,7 @@ FROM documents JOIN texts ON t = coalesce(text, '') JOIN classes USING (i) LEFT
 
 @_query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scanned = credentials.scan_secrets(table(spark, sf_dir, "documents"))
+    scanned = credentials.scan_secrets(table(spark, sf_dir, "documents"), keep=["doc_id"])
     of_kind = lambda kind: F.size(F.filter("strong", lambda s: s["kind"] == kind)).cast("long")
     return scanned.select(
         F.col("row.doc_id").alias("doc_id"),
