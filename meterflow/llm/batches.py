@@ -23,14 +23,23 @@ def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES)
         yield batch.slice(start)
 
 
-def by_slice(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], column: str = "text", most: int = SLICE_BYTES):
-    """Function for mapInArrow that applies ``fn`` to each slice."""
+def by_slice(
+    fn: Callable[[pa.RecordBatch], pa.RecordBatch | None],
+    column: str = "text",
+    most: int = SLICE_BYTES,
+    after: Callable[[], None] | None = None,
+):
+    """Function for mapInArrow that applies ``fn`` to each slice, and ``after`` at the end of the partition."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, column, most):
-                out = fn(part)
-                if out is not None and out.num_rows:
-                    yield out
+        try:
+            for batch in batches:
+                for part in slices(batch, column, most):
+                    out = fn(part)
+                    if out is not None and out.num_rows:
+                        yield out
+        finally:
+            if after is not None:
+                after()
 
     return run

@@ -3,9 +3,9 @@
 The words of many documents are merged together: an inverted index leads from a
 merge to all positions of its token pair, merges are applied in rank order, and
 only the neighbours of a merged pair are looked at again. Each distinct word is
-merged once per worker, whatever the number of documents that hold it.
+merged once per task, as long as it is kept, whatever the number of documents that hold it.
 
-The corpus of a replay is what one worker has read: encoding needs no shuffle,
+The corpus of a replay is what one task has read: encoding needs no shuffle,
 and a lost executor costs its own partitions only.
 """
 
@@ -24,12 +24,12 @@ from meterflow.llm.batches import by_slice
 from meterflow.llm.common import packed, whole, with_row
 
 RANKS = "byte_bpe_50k.tiktoken"
-# A worker keeps the ids of so many chunks of at most so many characters; then it starts anew.
-KEPT_CHUNKS, KEPT_CHARS = 350_000, 48
+# A task keeps the ids of so many chunks of at most so many characters; then it starts anew.
+KEPT_CHUNKS, KEPT_CHARS = 250_000, 48
 # Up to so many places of one merge are gone through singly.
 FEW = 12
 # Texts of one replay, in bytes.
-REPLAY_BYTES = 4 << 20
+REPLAY_BYTES = 3 << 20
 
 
 class MergeReplay:
@@ -202,9 +202,18 @@ class Codec:
         size = max(self.replay.bytes) + 1
         self.tokens = [self.replay.bytes.get(i, b"") for i in range(size)]
 
+    def _words(self, chunk: str) -> list[str]:
+        """Matches of the pattern; most chunks are a space and letters, perhaps with a mark after them."""
+        if chunk[:1] == " ":
+            if chunk[1:].isalpha():
+                return [chunk]
+            if chunk[-1] in ".,;:!?" and chunk[1:-1].isalpha():
+                return [chunk[:-1], chunk[-1]]
+        return self.pattern.findall(chunk)
+
     def _learn(self, chunks: list[str]) -> dict[str, bytes]:
         """Little-endian ids of chunks; the first chunk of a text lacks the space that others have lost."""
-        found = [self.pattern.findall(chunk) for chunk in chunks]
+        found = [self._words(chunk) for chunk in chunks]
         words = self.words
         if len(words) > KEPT_CHUNKS:
             words.clear()
@@ -236,6 +245,10 @@ class Codec:
             get = kept.__getitem__
         return [head_ids[parts[0]] + b"".join(map(get, parts[1:])) for parts in cut]
 
+    def forget(self) -> None:
+        """Drop what is kept: a worker that goes on to other work shouldn't hold it."""
+        self.kept, self.words = {}, {}
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -275,4 +288,4 @@ def encode_texts(documents: DataFrame, keep: list[str] | None = None, ranks: str
         )
 
     schema = with_row(rows, n_tokens="long", ids="binary", decoded="binary")
-    return rows.mapInArrow(by_slice(encode, most=REPLAY_BYTES), schema)
+    return rows.mapInArrow(by_slice(encode, most=REPLAY_BYTES, after=lambda: codec(file).forget()), schema)
