@@ -25,7 +25,7 @@ from meterflow.llm.common import BLANKS, packed, whole, with_row
 RANKS, PIECES = "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 SYMBOLS = b"#*$%&|<>"
 WINDOW = 5
-KEPT_WORDS = 300_000
+KEPT_WORDS = 200_000
 
 
 @dataclass(frozen=True)
@@ -76,9 +76,9 @@ class Meter:
         self.leads = np.zeros(max(tokens.values()) + 1, bool)
         self.leads[[rank for token, rank in tokens.items() if token[:1] == b" "]] = True
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.get_piece_size())])
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.index: dict[bytes, int] = {}
         self.tokens = np.empty(0, np.int32)
         self.start = self.size = self.n_pieces = self.n_bytes = np.empty(0, np.int64)
@@ -110,7 +110,7 @@ class Meter:
         raw = [t.encode("utf-8", "replace") for t in texts]
         words = [r.split() for r in raw]
         if len(self.index) > KEPT_WORDS:
-            self._forget()
+            self.forget()
         self._learn({w for each in words for w in each})
         return [self._one(*x) for x in zip(texts, raw, words)]
 
@@ -252,4 +252,4 @@ def rate_documents(
         )
 
     kinds = {name: "long" if kind == pa.int64() else "double" for name, kind in MEASURES.items()}
-    return rows.mapInArrow(by_slice(rate), with_row(rows, **kinds, base_failed="boolean", kept="boolean"))
+    return rows.mapInArrow(by_slice(rate, after=lambda: meter(*files).forget()), with_row(rows, **kinds, base_failed="boolean", kept="boolean"))

@@ -26,7 +26,7 @@ from meterflow.llm.common import packed, whole, with_row
 VOCABULARY = "byte_bpe_50k.json"
 HUGE = 32_768  # characters from which a document is encoded in overlapping chunks
 CHUNK, OVERLAP = 16_384, 256
-KEPT_PIECES, KEPT_CHARS = 400_000, 48
+KEPT_PIECES, KEPT_CHARS = 300_000, 48
 
 
 class Counter:
@@ -142,4 +142,5 @@ def count_tokens(
             [batch.column("row"), sizes, pa.array(counts, pa.int64())], names=["row", "n_bytes", "n_tokens"]
         )
 
-    return rows.mapInArrow(by_slice(count), with_row(rows, n_bytes="long", n_tokens="long"))
+    forget = lambda: counter(file, huge, chunk, overlap).kept.clear()
+    return rows.mapInArrow(by_slice(count, after=forget), with_row(rows, n_bytes="long", n_tokens="long"))
