@@ -20,10 +20,11 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 
-# Weak parts: what each is alone says little.
-IDENTIFIER = r"""(?i)(?<![a-z0-9])(?:user(?:_?name)?|login|client_?id|access_?key_?id|account)["']?\x20{0,4}[:=]\x20{0,4}["']?[a-z0-9@._-]{3,64}"""
-ENDPOINT = r"""(?i)(?<![a-z0-9])(?:(?:https?|jdbc:[a-z]{2,12}|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]{4,200}|(?:host|endpoint|server)["']?\x20{0,4}[:=]\x20{0,4}["']?[a-z0-9.-]{4,200})"""
-OPAQUE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]{0,40}[0-9])(?=[a-z0-9+/_-]{0,40}[A-Z])(?=[A-Z0-9+/_-]{0,40}[a-z])[A-Za-z0-9+/_-]{20,128}={0,2}(?![A-Za-z0-9+/_=-])"
+# Weak parts: what each is alone says little. Values of any length; nothing is read
+# twice, as quantifiers are possessive and look-aheads start at the start of a run only.
+IDENTIFIER = r"""(?i)(?<![a-z0-9])(?:user(?:_?name)?|login|client_?id|access_?key_?id|account)["']?\x20{0,4}[:=]\x20{0,4}["']?[a-z0-9@._-]{3,}+"""
+ENDPOINT = r"""(?i)(?<![a-z0-9])(?:(?:https?|jdbc:[a-z]{2,12}|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]{4,}+|(?:host|endpoint|server)["']?\x20{0,4}[:=]\x20{0,4}["']?[a-z0-9.-]{4,}+)"""
+OPAQUE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])"
 
 # Kinds in the order of listing; part: what a finding can complete.
 KINDS = ("assign", "access", "hex", "identifier", "endpoint", "opaque")

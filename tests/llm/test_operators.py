@@ -463,6 +463,28 @@ def test_weak_parts_need_what_completes_them(spark, shared):
     assert sorted(tuple(r) for r in rows) == sorted((d[0], d[2]) for d in docs)
 
 
+def test_weak_parts_of_any_length(spark, shared):
+    opaque = "Zx9kQ2mN8pL4vR7tB1cY5wH3"
+    url = "https://db.example.org/" + "p/" * 338 + "z"
+    assert len(url) == 700
+    runs = [(opaque * 21)[:n] for n in (20, 128, 129, 164, 500)] + ["q" * 60 + "B" * 60 + "7", "4_" * 150 + "xY" + "=="]
+    docs = [(f"user=alice {run} end", f"identifier:0:10,opaque:11:{11 + len(run)}") for run in runs]
+    docs += [
+        # Digits, upper and lower case are all needed, anywhere in the run, not behind it.
+        (f"user=alice {'q7' * 200} Bc4", ""),
+        (f"user=alice {opaque * 10}===", ""),
+        (f"user={'n' * 100} {opaque}", f"identifier:0:105,opaque:106:{106 + len(opaque)}"),
+        (f"host={'h' * 300} user=bob {opaque}", "endpoint:0:305,identifier:306:314,opaque:315:339"),
+        (f"{url} user=bob {opaque}", "endpoint:0:700,identifier:701:709,opaque:710:734"),
+        (f"{url}{' ' * 390}user=bob {opaque}", "endpoint:0:700,identifier:1090:1098,opaque:1099:1123"),
+        (f"{url}{' ' * 401}user=bob {opaque}", "identifier:1101:1109,opaque:1110:1134"),
+        ("user=alice " + opaque * 50_000, f"identifier:0:10,opaque:11:{11 + 50_000 * len(opaque)}"),
+    ]
+    df = spark.createDataFrame([(i, d[0]) for i, d in enumerate(docs)], "doc_id long, text string")
+    rows = credentials.scan_secrets(df).select("row.doc_id", credentials.listing(F.col("linked"))).collect()
+    assert {r[0]: r[1] for r in rows} == {i: d[1] for i, d in enumerate(docs)}
+
+
 # ---------------------------------------------------------------- chats
 
 
