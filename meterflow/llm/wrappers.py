@@ -6,7 +6,8 @@ between texts, a slot. Wrappers of parts of a host's pages are aligned with each
 the same way, so a host of any size is inferred in parallel, and only wrappers move.
 
 A wrapper tells which region of the host's pages holds the article. The region's
-blocks are the text, without the menus, notices, adverts and so on that lie inside.
+blocks are the text, without the menus, notices, adverts and so on that lie inside. An
+element that its marks make one of these stays where it holds most of the region's text.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ NOT_TEXT_WORDS = frozenset(
     " pagination pager header masthead footer colophon share sharing social related recommended newsletter subscribe"
     " subscription signup login search toolbar widget widgets skip complementary contentinfo".split()
 )
+# Words that are hardly ever said of the article itself.
+THREAD_WORDS = frozenset("comment comments commentlist disqus replies cookie cookies consent gdpr".split())
 ABOUT_THE_PAGE = re.compile(r"(no|not|has|with|without|is)[-_]|\w+[-_](open|closed|free)$")
 WHOLE_PAGE = frozenset("#page html body article main".split())
 # The wrapper table goes to every executor up to so many bytes; beyond, pages are joined by host.
@@ -45,18 +48,26 @@ SALTS = 16
 LONGEST_PERIOD = 6
 # Share of a host's text that its region holds where no tag names the article.
 REGION_SHARE = 0.6
+# An element with a mark of NOT_TEXT_WORDS is part of the article if it holds more than this share of
+# its text and the unmarked text of the region; the second share is for THREAD_WORDS.
+MARKED_SHARE, THREAD_SHARE = 0.5, 0.9
 
 
 def left_out(node: Element) -> bool:
     """Whether an element is a menu, header, notice or the like."""
-    if node.name in NOT_TEXT:
-        return True
+    return node.name in NOT_TEXT or marked(node) > 0
+
+
+def marked(node: Element) -> float:
+    """Share of the text that an element needs to count as article in spite of its marks; 0 without such marks."""
     if not node.marks or node.name in WHOLE_PAGE:
-        return False
+        return 0
     # Marks such as no-sidebar or has-comments tell about the page, not the element.
     names = [m for m in node.marks.split() if not ABOUT_THE_PAGE.match(m)]
     words = {w for m in names for w in re.split(r"[^a-z]+", m)}
-    return not NOT_TEXT_WORDS.isdisjoint(words) and not _holds_article(node)
+    if NOT_TEXT_WORDS.isdisjoint(words) or _holds_article(node):
+        return 0
+    return MARKED_SHARE if THREAD_WORDS.isdisjoint(words) else THREAD_SHARE
 
 
 def _holds_article(node: Element) -> bool:
@@ -161,32 +172,77 @@ def aligned(a: list, b: list) -> list:
 
 
 class Volumes:
-    """Characters by path of elements: [outside links, inside links]."""
+    """Characters by path of elements: [outside links, inside links].
+
+    ``marks`` has the paths of elements with marks of ``NOT_TEXT_WORDS``, and the shares that
+    they need; inline elements are on a path only with such marks. ``page`` is the
+    digest of the pages' stream, empty once they differ.
+    """
 
-    def __init__(self, sums: dict[str, list[int]] | None = None):
+    def __init__(
+        self,
+        sums: dict[str, list[int]] | None = None,
+        marks: dict[str, float] | None = None,
+        page: str | None = None,
+    ):
         self.sums = sums or {}
+        self.marks = marks or {}
+        self.page = page
 
-    def add(self, page: Element) -> None:
+    def add(self, page: Element, digest: str) -> None:
+        self.page = digest if self.page in (None, digest) else ""
         todo = [(page, key(page), False)]
         while todo:
             node, path, link = todo.pop()
-            if node.name in RAW or left_out(node):
-                continue
             sums = None
             for child in node.children:
                 if isinstance(child, Element):
-                    inner = path if child.name in INLINE else f"{path} {key(child)}"
+                    if child.name in RAW or child.name in NOT_TEXT:
+                        continue
+                    inner, share = inside(path, child)
+                    if share:
+                        self.marks[inner] = max(share, self.marks.get(inner, 0))
                     todo.append((child, inner, link or child.name == "a"))
                 else:
                     if sums is None:
                         sums = self.sums.setdefault(path, [0, 0])
                     sums[link] += len(child.strip())
 
-    def merge(self, other: dict[str, list[int]]) -> None:
-        for path, (plain, linked) in other.items():
-            sums = self.sums.setdefault(path, [0, 0])
-            sums[0] += plain
-            sums[1] += linked
+    def merge(self, sums: dict[str, list[int]], marks: dict[str, float], page: str) -> None:
+        for path, (plain, linked) in sums.items():
+            own = self.sums.setdefault(path, [0, 0])
+            own[0] += plain
+            own[1] += linked
+        for path, share in marks.items():
+            self.marks[path] = max(share, self.marks.get(path, 0))
+        self.page = page if self.page == page else ""
+
+    def parts(self) -> list:
+        return [self.sums, self.marks, self.page]
+
+
+def inside(path: str, child: Element) -> tuple[str, float]:
+    """Path of an element inside the element of a path, and the share that its marks ask for."""
+    share = marked(child)
+    return (path if child.name in INLINE and not share else f"{path} {key(child)}"), share
+
+
+def overruled(texts: list[tuple[tuple, int]], marks: dict) -> set:
+    """Marked elements that are article all the same, from (marked elements around it, characters) of texts.
+
+    The largest come first; each has to hold its share of what it has and what is kept beside it.
+    """
+    held: dict = {}
+    for around, n in texts:
+        for mark in around:
+            held[mark] = held.get(mark, 0) + n
+    plain = sum(n for around, n in texts if not around)
+    kept: set = set()
+    for mark in sorted((m for m, n in held.items() if n > marks[m] * (plain + n)), key=lambda m: -held[m]):
+        beside = sum(n for around, n in texts if mark not in around and kept.issuperset(around))
+        if held[mark] > marks[mark] * (beside + held[mark]):
+            kept.add(mark)
+    return kept
 
 
 def paths_of(wrapper: list, path: str = "", constant: bool = True) -> Iterator[tuple[str, bool]]:
@@ -201,27 +257,59 @@ def paths_of(wrapper: list, path: str = "", constant: bool = True) -> Iterator[t
     yield name, varies
 
 
-def region(wrapper: list, sums: dict[str, list[int]]) -> str:
-    """Path of the elements that hold the article."""
-    below: dict[str, int] = {}
+def region(wrapper: list, sums: dict[str, list[int]], marks: dict[str, float]) -> tuple[str, set[str]]:
+    """Path of the elements that hold the article, and the marked paths that are article as well."""
     varying = {path for path, varies in paths_of(wrapper) if varies}
+    # (prefixes of the path, characters) of varying text outside links.
+    found: list[tuple[list[str], int]] = []
     for path, (plain, linked) in sums.items():
-        if linked > plain or path not in varying:
-            continue
         parts = path.split(" ")
-        for n in range(1, len(parts) + 1):
-            up = " ".join(parts[:n])
-            below[up] = below.get(up, 0) + plain
-    if not below:
-        return ""
-    for tag in ("article", "main"):
-        named = [p for p in below if p.rpartition(" ")[2].partition(".")[0] == tag]
-        if named:
-            # The outermost of the largest.
-            return max(named, key=lambda p: (below[p], -len(p), p))
-    total = max(below.values())
-    large = [p for p, n in below.items() if n >= REGION_SHARE * total and p.rpartition(" ")[2].partition(".")[0] != "p"]
-    return max(large, key=lambda p: (p.count(" "), below[p], p)) if large else ""
+        blocks_ = " ".join(p for p in parts if p.partition(".")[0] not in INLINE)
+        if linked <= plain and blocks_ in varying:
+            found.append(([" ".join(parts[:n]) for n in range(1, len(parts) + 1)], plain))
+
+    def below(kept: set[str]) -> dict[str, int]:
+        out: dict[str, int] = {}
+        for ups, n in found:
+            if all(up not in marks or up in kept for up in ups):
+                for up in ups:
+                    out[up] = out.get(up, 0) + n
+        return out
+
+    def inner(path: str) -> list[tuple[tuple, int]]:
+        own = path.count(" ")
+        return [(tuple(u for u in ups[own:] if u in marks), n) for ups, n in found if ups[own : own + 1] == [path]]
+
+    if not found:
+        return "", set()
+    unmarked = below(set())
+    everything = below(set(marks)) if marks else unmarked
+    named = {tag: [p for p in everything if _tag(p) == tag] for tag in ("article", "main")}
+    for volumes in (unmarked, everything):
+        for paths in named.values():
+            if any(p in volumes for p in paths):
+                chosen = {}
+                for p in paths:
+                    texts = inner(p)
+                    kept = overruled(texts, marks)
+                    chosen[p] = sum(n for around, n in texts if kept.issuperset(around)), kept
+                # The outermost of the largest.
+                best = max(paths, key=lambda p: (chosen[p][0], -len(p), p))
+                return best, chosen[best][1]
+    kept = overruled(inner(found[0][0][0]), marks)
+    volumes = below(kept)
+    if not volumes:
+        return "", kept
+    total = max(volumes.values())
+    large = [p for p, n in volumes.items() if n >= REGION_SHARE * total and _tag(p) not in INLINE | {"p"}]
+    if not large:
+        return "", kept
+    best = max(large, key=lambda p: (p.count(" "), volumes[p], p))
+    return best, kept | overruled(inner(best), marks)
+
+
+def _tag(path: str) -> str:
+    return path.rpartition(" ")[2].partition(".")[0]
 
 
 def located(page: Element, path: str) -> list[Element]:
@@ -262,11 +350,63 @@ def _by_tag(page: Element, tag: str) -> list[Element]:
     return found
 
 
-def main_text(html: str, path: str) -> str:
-    """Blocks of the region, or of the article, main part or body where the page hasn't got the region."""
+def main_text(html: str, path: str, kept: str | None = None) -> str:
+    """Blocks of the region, or of the article, main part or body where the page hasn't got the region.
+
+    ``kept`` has the marked paths that are article, a line each. Without it, or where the page
+    hasn't got the region, the page's own volumes tell.
+    """
     page = parse(html)
-    parts = located(page, path) or _by_tag(page, "article") or _by_tag(page, "main") or [page]
-    return "\n".join(b for part in parts for b in blocks(part, left_out))
+    parts = located(page, path)
+    if parts and kept is not None:
+        paths = frozenset(kept.split("\n")) if kept else frozenset()
+        stay = {i for part in parts for i in _on_paths(part, path, paths)} if paths else set()
+    else:
+        parts = parts or _by_tag(page, "article") or _by_tag(page, "main") or [page]
+        stay = {i for part in parts for i in _by_volume(part)}
+    skipped = (lambda node: left_out(node) and id(node) not in stay) if stay else left_out
+    return "\n".join(b for part in parts for b in blocks(part, skipped))
+
+
+def _on_paths(part: Element, path: str, paths: frozenset[str]) -> Iterator[int]:
+    """Identities of the elements on given paths."""
+    todo = [(part, path)]
+    while todo:
+        node, at = todo.pop()
+        if at in paths:
+            yield id(node)
+        todo.extend((c, inside(at, c)[0]) for c in node.children if isinstance(c, Element))
+
+
+def _by_volume(part: Element) -> set[int]:
+    """Identities of the marked elements that hold most of the text outside links of a page's part."""
+    texts: list[tuple[tuple, int]] = []
+    marks: dict[int, float] = {}
+    linked: dict[int, int] = {}
+    todo: list[tuple[Element, tuple, bool]] = [(part, (), False)]
+    while todo:
+        node, around, link = todo.pop()
+        if node.name in RAW or node.name in NOT_TEXT:
+            continue
+        share, link = marked(node), link or node.name == "a"
+        if share:
+            marks[id(node)] = share
+            around = (*around, id(node))
+        for child in node.children:
+            if isinstance(child, Element):
+                todo.append((child, around, link))
+            elif link:
+                for mark in around:
+                    linked[mark] = linked.get(mark, 0) + len(child.strip())
+            else:
+                texts.append((around, len(child.strip())))
+    if not marks:
+        return set()
+    held: dict[int, int] = {}
+    for around, n in texts:
+        for mark in around:
+            held[mark] = held.get(mark, 0) + n
+    return {m for m in overruled(texts, marks) if held[m] >= linked.get(m, 0)}
 
 
 def host(url):
@@ -279,7 +419,7 @@ def _infer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     known: dict[str, tuple[list, Volumes, set[str]]] = {}
 
     def out() -> pa.RecordBatch:
-        rows = [(h, json.dumps([w, v.sums])) for h, (w, v, _) in known.items()]
+        rows = [(h, json.dumps([w, *v.parts()])) for h, (w, v, _) in known.items()]
         known.clear()
         return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=["host", "wrapper"])
 
@@ -289,8 +429,8 @@ def _infer(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 page = parse(html)
                 found = stream(page)
                 wrapper, volumes, seen = known.setdefault(name, (found, Volumes(), set()))
-                volumes.add(page)
                 mark = blake2b(json.dumps(found).encode(), digest_size=8).hexdigest()
+                volumes.add(page, mark)
                 if mark not in seen:
                     seen.add(mark)
                     known[name] = merged(wrapper, found), volumes, seen
@@ -306,22 +446,25 @@ def _combine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows: list[tuple[str, str]] = []
     for batch in batches:
         for name, text in zip(batch.column("host").to_pylist(), batch.column("wrapper").to_pylist()):
-            wrapper, sums = json.loads(text)
+            wrapper, *volumes = json.loads(text)
             if now and now[0] == name:
-                now[2].merge(sums)
+                now[2].merge(*volumes)
                 now = name, merged(now[1], wrapper), now[2]
             else:
                 if now:
-                    rows.append((now[0], json.dumps([now[1], now[2].sums])))
-                now = name, wrapper, Volumes(sums)
+                    rows.append((now[0], json.dumps([now[1], *now[2].parts()])))
+                now = name, wrapper, Volumes(*volumes)
     if now:
-        rows.append((now[0], json.dumps([now[1], now[2].sums])))
+        rows.append((now[0], json.dumps([now[1], *now[2].parts()])))
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows)], names=["host", "wrapper"])
 
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
-    """(host, wrapper, region) for every host of the pages' urls; the wrapper is JSON."""
+    """(host, wrapper, region, kept) for every host of the pages' urls; the wrapper is JSON.
+
+    ``kept`` has the marked paths that are article, a line each; it is null where all pages are the same.
+    """
     n = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = pages.select(host(F.col("url")).alias("host"), whole(F.col("html")).alias("html"))
     parts = own.mapInArrow(_infer, "host string, wrapper string")
@@ -334,13 +477,19 @@ def infer_wrappers(pages: DataFrame) -> DataFrame:
 
     def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            chosen = [region(*json.loads(w)) for w in batch.column("wrapper").to_pylist()]
+            chosen, kept = [], []
+            for text in batch.column("wrapper").to_pylist():
+                wrapper, sums, marks, page = json.loads(text)
+                path, paths = region(wrapper, sums, marks)
+                chosen.append(path)
+                # What varies is known from pages that differ.
+                kept.append(None if page else "\n".join(sorted(paths)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("host"), batch.column("wrapper"), pa.array(chosen, pa.string())],
-                names=["host", "wrapper", "region"],
+                [batch.column("host"), batch.column("wrapper"), pa.array(chosen, pa.string()), pa.array(kept, pa.string())],
+                names=["host", "wrapper", "region", "kept"],
             )
 
-    return whole_hosts.mapInArrow(choose, "host string, wrapper string, region string")
+    return whole_hosts.mapInArrow(choose, "host string, wrapper string, region string, kept string")
 
 
 def extract_text(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -351,18 +500,19 @@ def extract_text(pages: DataFrame, keep: list[str] | None = None) -> DataFrame:
     rows get the same text; an empty table gives no rows. Blocks are joined by a
     line end; white space in a block is one space, character references are decoded.
     """
-    regions = written(infer_wrappers(pages), "wrappers").select("host", "region")
-    bytes_ = regions.agg(F.sum(F.octet_length("host") + F.octet_length("region"))).first()[0] or 0
+    regions = written(infer_wrappers(pages), "wrappers").select("host", "region", "kept")
+    sizes = F.octet_length("host") + F.octet_length("region") + F.coalesce(F.octet_length("kept"), F.lit(0))
+    bytes_ = regions.agg(F.sum(sizes)).first()[0] or 0
     rows = pages.select(
         packed(pages, keep),
         whole(F.col("html")).alias("html"),
         host(F.col("url")).alias("host"),
     )
     joined = rows.join(F.broadcast(regions) if bytes_ <= BROADCAST_BYTES else regions.hint("merge"), "host", "left")
-    joined = joined.select("row", "html", F.coalesce("region", F.lit("")).alias("region"))
+    joined = joined.select("row", "html", F.coalesce("region", F.lit("")).alias("region"), "kept")
 
     def extract(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = map(main_text, batch.column("html").to_pylist(), batch.column("region").to_pylist())
+        found = map(main_text, *(batch.column(c).to_pylist() for c in ("html", "region", "kept")))
         return pa.RecordBatch.from_arrays([batch.column("row"), pa.array(found, pa.string())], names=["row", "text"])
 
     return joined.mapInArrow(by_slice(extract, "html"), with_row(joined, text="string"))

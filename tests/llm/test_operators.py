@@ -328,6 +328,38 @@ def test_region_without_a_tag_is_inferred(spark, shared):
     assert '["p", "+"' in found[0].wrapper and '["div.lead", "?"' in found[0].wrapper
 
 
+WIDGET = "<div class='elementor-widget-text-editor'>"
+
+
+def test_marked_elements_that_hold_the_article(spark, shared):
+    rest = (
+        "<div class='cookie-notice'><p>We use cookies on this site to make it better for all of its many readers</p></div>"
+        "<div class='related'><a href='/a'>Another one</a></div><section id='comments'><p>nice</p><p>true</p></section>"
+    )
+    rows = []
+    for i in range(5):
+        texts = [prose(300 + 10 * i + k, 25) for k in range(1 + i)]
+        body = "".join(f"<p>{t}</p>" for t in texts)
+        thread = "".join(f"<p>{prose(900 + 10 * i + k, 20)}</p>" for k in range(2 + 2 * i))
+        want = "\n".join(texts)
+        rows += [
+            ("tag", f"<body><div>Site</div><article><h1>T{i}</h1>{WIDGET}{body}</div>{rest}</article></body>", f"T{i}\n{want}"),
+            ("social", f"<body><article><div class='social-story'><div class='promo x{i}'>{body}</div></div>{rest}</article></body>", want),
+            ("volume", f"<body><div>Site</div><div class='search-body'>{body}</div>{rest}<div>End</div></body>", want),
+            ("inline", f"<body><article><span class='share-text'>{body}</span>{rest}</article></body>", want),
+            # A thread stays out, longer than the article as it is.
+            ("thread", f"<body><article><div class='x'>{body}</div><div class='comments'>{thread}</div></article></body>", want),
+            # One page a host: nothing varies.
+            (f"one{i}", f"<body><article>{WIDGET}{body}</div>{rest}</article></body>", want),
+        ]
+    df = spark.createDataFrame(
+        [(i, f"https://{h}.example/{i}", html) for i, (h, html, _) in enumerate(rows)], "page_id long, url string, html string"
+    )
+    got = {r[0]: r[1] for r in wrappers.extract_text(df).select("row.page_id", "text").collect()}
+    for i, (name, _, want) in enumerate(rows):
+        assert got[i] == want, name
+
+
 def test_folding_and_alignment():
     part = lambda name: [name, "1", []]
     assert wrappers.folded([part("p"), part("p"), part("p")]) == [["p", "+", []]]
