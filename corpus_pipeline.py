@@ -36,8 +36,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that hold no benchmark item and no long part of one."""
+    found = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), parts=True)
     return found.filter(F.size("leaks") == 0).select("row.*")
 
 

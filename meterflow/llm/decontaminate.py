@@ -7,6 +7,10 @@ their place in the item varies by e at most. So shared q-grams are counted in
 overlapping bands of 2 (e + 1) diagonals, bands with fewer than the lemma's number
 are dropped, and the rest is verified by an alignment within the band.
 
+Where parts are asked for, items of fewer than 24 characters are looked for unchanged, from
+word border to word border, and long items by overlapping windows as well, each
+with a band of its own.
+
 The benchmark is the stated query set. It is read in blocks of bounded size, and
 each block is held against all documents.
 """
@@ -27,8 +31,12 @@ from meterflow.llm.batches import by_slice
 from meterflow.llm.common import packed, whole, with_row
 
 GRAM, EDITS = 10, 0.08
-# Items of fewer characters are not looked for: they say too little.
+# Items of fewer characters are looked for unchanged, where parts are asked for, else not at all.
 LEAST_CHARS = 24
+# Windows of long items, and how far apart they begin.
+WINDOW, WINDOW_STEP = 100, 50
+# Code points of scripts that set no spaces between words.
+_UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0xABFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
 # Characters of the items that one pass over the documents looks for.
 BLOCK_CHARS = 4 << 20
 _HASH = np.uint64(0x9E3779B97F4A7C15)
@@ -94,19 +102,32 @@ def grams(codes: np.ndarray, gram: int) -> np.ndarray:
 class Items:
     """The q-grams of a block of benchmark items."""
 
-    def __init__(self, items: list[tuple[int, str]], gram: int, share: float):
+    def __init__(self, items: list[tuple[int, str]], gram: int, share: float, parts: bool = False):
         self.gram = gram
         self.ids, self.codes, hashes, owners, places = [], [], [], [], []
-        for item_id, text in items:
+        # By item: the place among the given ones, and the characters that a window leaves out.
+        self.rows, self.missing = [], []
+        self.short: dict[int, dict[bytes, list[int]]] = {}
+        self.given = [item_id for item_id, _ in items]
+        for row, (_, text) in enumerate(items):
             codes, _ = normal(text)
             if len(codes) < LEAST_CHARS:
+                if parts and len(codes):
+                    self.short.setdefault(len(codes), {}).setdefault(codes.tobytes(), []).append(row)
                 continue
-            found = grams(codes, gram)
-            hashes.append(found)
-            owners.append(np.full(len(found), len(self.ids)))
-            places.append(np.arange(len(found)))
-            self.ids.append(item_id)
-            self.codes.append(codes)
+            for piece in [codes, *(windows(codes) if parts else ())]:
+                found = grams(piece, gram)
+                hashes.append(found)
+                owners.append(np.full(len(found), len(self.ids)))
+                places.append(np.arange(len(found)))
+                self.ids.append(self.given[row])
+                self.codes.append(piece)
+                self.rows.append(row)
+                self.missing.append(len(codes) - len(piece))
+        self.short_hashes = {
+            n: np.unique(np.concatenate([grams(np.frombuffer(c, np.uint32), n) for c in found]))
+            for n, found in self.short.items()
+        }
         empty = np.empty(0, np.int64)
         hashes = np.concatenate([np.empty(0, np.uint64), *hashes])
         order = np.argsort(hashes, kind="stable")
@@ -161,6 +182,56 @@ class Items:
         return best
 
 
+    def leaks(self, codes: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """(place among the given items, edits, start, end), whole items before windows of them.
+
+        A window's edits count the characters of the item outside of it as well.
+        """
+        best: dict[int, tuple[int, int, int, int]] = {}
+        for item, (edits, start, end) in self.matches(codes).items():
+            row, missing = self.rows[item], self.missing[item]
+            match = missing, edits + missing, start, end
+            if row not in best or match < best[row]:
+                best[row] = match
+        found = {row: match[1:] for row, match in best.items()}
+        found.update(self._short_ones(codes))
+        for row in sorted(found):
+            yield row, *found[row]
+
+    def _short_ones(self, codes: np.ndarray) -> dict[int, tuple[int, int, int]]:
+        """First places of the short items that stand unchanged between word borders."""
+        found: dict[int, tuple[int, int, int]] = {}
+        if not self.short:
+            return found
+        border = borders(codes)
+        for size, items in self.short.items():
+            if len(codes) < size:
+                continue
+            both = border[: len(codes) - size + 1] & border[size:]
+            for at in np.flatnonzero(both & np.isin(grams(codes, size), self.short_hashes[size])).tolist():
+                for row in items.get(codes[at : at + size].tobytes(), ()):
+                    found.setdefault(row, (0, at, at + size))
+        return found
+
+
+def windows(codes: np.ndarray) -> list[np.ndarray]:
+    """Overlapping windows of an item: any part of it of 150 characters or more holds one of them."""
+    if len(codes) <= WINDOW:
+        return []
+    last = len(codes) - WINDOW
+    return [codes[at : at + WINDOW] for at in sorted({*range(0, last, WINDOW_STEP), last})]
+
+
+def borders(codes: np.ndarray) -> np.ndarray:
+    """By place, the end included: whether a word may begin or end there."""
+    loose = codes == 32
+    for low, high in _UNSPACED:
+        loose |= (codes >= low) & (codes <= high)
+    out = np.ones(len(codes) + 1, bool)
+    out[1:-1] = loose[1:] | loose[:-1]
+    return out
+
+
 def exact(item: np.ndarray, text: np.ndarray, low: int, width: int) -> tuple[int, int, int] | None:
     """The first place on the diagonals where the item stands unchanged."""
     begin = max(0, low)
@@ -224,14 +295,19 @@ def find_leaks(
     gram: int = GRAM,
     share: float = EDITS,
     block_chars: int = BLOCK_CHARS,
+    parts: bool = False,
 ) -> DataFrame:
     """``row`` (the kept columns, all by default) and ``leaks`` of every document.
 
     ``leaks`` is an array of (item_id, edits, start, end): each item that the whole
     text holds with at most ``share`` of its characters edited, at its best place, in
     code points of the text, the end exclusive. Case, punctuation and white space
-    don't count. Items of fewer than 24 compared characters, and null or empty
-    ones, are never found; equal items are found each. A null text is empty.
+    don't count. With ``parts``, items of fewer than 24 compared characters are found
+    where they stand unchanged between word borders, and items of more than 100 where
+    a window of 100 of their characters, every 50th, is held with its share of edits;
+    ``edits`` has the characters outside the window then, start and end are the window's.
+    Without, neither is found. Null or empty items are never found; equal items are
+    found each. A null text is empty.
     Repeated rows get the same leaks; an empty table gives no rows, and an empty
     benchmark no leaks.
     """
@@ -248,27 +324,27 @@ def find_leaks(
         # A block is bounded by block_chars and one item.
         items = [tuple(r) for r in blocks.filter(F.col("block") == number).select("item_id", "text").collect()]
         out = out.mapInArrow(
-            by_slice(_finder(sorted(items, key=lambda x: (x[0] is None, x)), gram, share)), schema
+            by_slice(_finder(sorted(items, key=lambda x: (x[0] is None, x)), gram, share, parts)), schema
         )
     return out.select("row", "leaks")
 
 
-def _finder(items: list[tuple[int, str]], gram: int, share: float):
+def _finder(items: list[tuple[int, str]], gram: int, share: float, parts: bool):
     held = _sent(items)
 
     def find(batch: pa.RecordBatch) -> pa.RecordBatch:
-        block = _block(held.value, gram, share)
+        block = _block(held.value, gram, share, parts)
         leaks = []
         for text, before in zip(batch.column("text").to_pylist(), batch.column("leaks").to_pylist()):
             codes, at = normal(text)
             found = [
                 {
-                    "item_id": block.ids[item],
+                    "item_id": block.given[row],
                     "edits": edits,
                     "start": int(at[start]) if start < len(at) else len(text),
                     "end": int(at[end - 1]) + 1 if end else 0,
                 }
-                for item, (edits, start, end) in sorted(block.matches(codes).items())
+                for row, edits, start, end in block.leaks(codes)
             ]
             leaks.append(before + found)
         kind = pa.list_(
@@ -288,10 +364,10 @@ def _sent(items: list[tuple[int, str]]):
     return SparkSession.active().sparkContext.broadcast(items)
 
 
-def _block(items: list[tuple[int, str]], gram: int, share: float) -> Items:
-    key = (hash(tuple(items)), len(items), gram, share)
+def _block(items: list[tuple[int, str]], gram: int, share: float, parts: bool) -> Items:
+    key = (hash(tuple(items)), len(items), gram, share, parts)
     if key not in _BLOCKS:
         if len(_BLOCKS) > 4:
             _BLOCKS.clear()
-        _BLOCKS[key] = Items(items, gram, share)
+        _BLOCKS[key] = Items(items, gram, share, parts)
     return _BLOCKS[key]

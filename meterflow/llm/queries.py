@@ -96,7 +96,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_leaks(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"]
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"], parts=True
     )
     return found.select(F.col("row.doc_id").alias("doc_id"), F.inline("leaks"))
 

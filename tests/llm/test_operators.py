@@ -279,6 +279,30 @@ def test_alignment_is_the_edit_distance():
         assert levenshtein(item, padded[found[1] : found[2]].tolist()) == best
 
 
+def test_leaks_of_short_items_and_parts(spark, shared):
+    long = prose(7, 120)
+    items = [(1, long), (2, "Who is Ada?"), (3, "光の速さはいくらですか"), (4, " ?"), (5, "who is ada")]
+    docs = [
+        (1, "- WHO is\nAda! -", [(2, 0), (5, 0)]),
+        (2, "who is adamant, or somewho is ada", []),
+        (3, "問題光の速さはいくらですか。答え", [(3, 0)]),
+        (4, "Who was Ada?", []),
+        (5, f"x {long[: len(long) * 7 // 10]} y", [(1, len(long) - 100)]),
+        (6, f"x {long[211:361]} y", [(1, len(long) - 100)]),
+        (7, f"x {long} who is ada", [(1, 0), (2, 0), (5, 0)]),
+        (8, prose(9, 300), []),
+        (9, "", []),
+    ]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    df = spark.createDataFrame([d[:2] for d in docs], "doc_id long, text string")
+    for block in (decontaminate.BLOCK_CHARS, 100):
+        found = decontaminate.find_leaks(df, benchmark, block_chars=block, parts=True)
+        got = {r[0]: r.leaks for r in found.select("row.doc_id", "leaks").collect()}
+        assert {i: [(x.item_id, x.edits) for x in leaks] for i, leaks in got.items()} == {d[0]: d[2] for d in docs}
+        assert docs[2][1][got[3][0].start : got[3][0].end] == items[2][1]
+        assert docs[4][1][got[5][0].start : got[5][0].end] in long
+
+
 # ---------------------------------------------------------------- pages
 
 
