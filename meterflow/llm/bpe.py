@@ -5,8 +5,9 @@ merge to all positions of its token pair, merges are applied in rank order, and
 only the neighbours of a merged pair are looked at again. Each distinct word is
 merged once per task, as long as it is kept, whatever the number of documents that hold it.
 
-The corpus of a replay is what one task has read: encoding needs no shuffle,
-and a lost executor costs its own partitions only.
+The corpus of a replay is one slice of at most ``REPLAY_BYTES`` of texts, less the
+words that the task still keeps: encoding needs no shuffle, and a lost executor
+costs its own partitions only.
 """
 
 from __future__ import annotations
