@@ -1,9 +1,9 @@
 """Near-duplicate join on word shingles by an LSH forest of MinHash signatures.
 
 Each tree of the forest is a sorted list of signatures, which is a trie read in
-order: neighbours in it share a prefix. The prefix that counts as a match is
-shortened from the full depth until the recall of a pair at the threshold reaches
-the target. Matches chain texts into candidate groups, and inside a group all pairs
+order: neighbours in it share a prefix. The prefix that counts as a match is one
+length for all trees, fixed before any row is read: the longest at which the recall
+of a pair at the threshold reaches the target. Matches chain texts into candidate groups, and inside a group all pairs
 of texts are verified exactly, in blocks, without emitting them: a text gets its
 number of links, a block the links that span it.
 """
