@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import struct
+import unicodedata
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from meterflow.llm import queries
+from meterflow.llm import bpe, fertility, queries, vocabularies
 from oracles.compare import connect, differences
 from tests.llm.helpers import awkward_documents, with_clashes
-from tests.llm.test_operators import base_measures, base_spans, classes, removed, shared  # noqa: F401
+from tests.llm.test_operators import base_measures, base_spans, classes, lines_kept, removed, shared  # noqa: F401
 
 
 @pytest.fixture(scope="module")
@@ -85,6 +88,70 @@ def test_pipeline(spark, shared, sf_dir):  # noqa: F811
     assert [hashlib.sha256(bytes(i)).hexdigest() for i in out.ids] == out.ids_sha256.tolist()
 
 
+def compared(text):
+    """Letters, digits and marks in lower case, single spaces between."""
+    low = [c.lower() if len(c.lower()) == 1 else c for c in text or ""]
+    words = (c if o.isalnum() or unicodedata.category(o)[0] == "M" else " " for c, o in zip(low, text or ""))
+    return " ".join(w for w in "".join(words).split(" ") if w)
+
+
+def stands_in(item, text):
+    """Whether some part of the text is the item with up to 8 % edits."""
+    n = len(item)
+    budget = max(0, min(int(n * 0.08), (n - 10) // 10))
+    # One of budget + 1 pieces is unchanged.
+    cuts = [n * k // (budget + 1) for k in range(budget + 2)]
+    if not any(item[a:b] in text for a, b in zip(cuts, cuts[1:])):
+        return False
+    chars = np.array([ord(c) for c in text])
+    step = np.arange(len(chars) + 1)
+    cost = np.zeros(len(chars) + 1, np.int64)
+    for c in item:
+        now = cost + 1
+        now[1:] = np.minimum(now[1:], cost[:-1] + (chars != ord(c)))
+        cost = np.minimum.accumulate(now - step) + step
+    return int(cost.min()) <= budget
+
+
+def pieces(item):
+    last = len(item) - 100
+    return [item] + ([item[a : a + 100] for a in {*range(0, last, 50), last}] if last > 0 else [])
+
+
+def leaking(documents, con):
+    items = [(i, compared(t)) for i, t in con.sql("SELECT item_id, text FROM benchmark").fetchall()]
+    assert min(len(t) for _, t in items) >= 24
+    texts = [(i, compared(t)) for i, t in documents]
+    return {(d, i) for d, text in texts for i, item in items if any(stands_in(p, text) for p in pieces(item))}
+
+
+def test_leaks_by_brute_force(spark, shared, con, sf_dir, documents):  # noqa: F811
+    name = next(n for n in queries.QUERIES if n.startswith("op4_"))
+    found = queries.QUERIES[name](spark, sf_dir).select("doc_id", "item_id").collect()
+    want = leaking(documents, con)
+    assert want and sorted(tuple(r) for r in found) == sorted(want)
+
+
+def test_pipeline_by_brute_force(spark, shared, con, sf_dir, documents):  # noqa: F811
+    langs = dict(con.sql("SELECT doc_id, lang FROM documents").fetchall())
+    # The base rules by brute force; the measures of the bands have tests of their own.
+    meter = fertility.meter(vocabularies.path(fertility.RANKS), vocabularies.path(fertility.PIECES))
+    rows = [(i, t) for i, t in documents if not base_measures(t)[5]]
+    rows = [(i, t) for (i, t), m in zip(rows, meter.measure([t for _, t in rows])) if fertility.accepted(m, t, langs[i])]
+    rows = [(r[0], r[3]) for r in lines_kept(rows)]
+    near = classes(rows)
+    rows = [(i, t) for i, t in rows if near[i][0] == i]
+    leaks = {d for d, _ in leaking(rows, con)}
+    encoding = vocabularies.rank_encoding(vocabularies.path(bpe.RANKS))
+    want = {}
+    for i, t in rows:
+        if i not in leaks:
+            ids = encoding.encode_ordinary(t)
+            want[i] = struct.pack(f"<{len(ids)}I", *ids)
+    got = [(r.doc_id, bytes(r.ids)) for r in corpus_pipeline.run(spark, sf_dir).select("doc_id", "ids").collect()]
+    assert want and leaks and sorted(got) == sorted(want.items())
+
+
 def test_stages_on_awkward_documents(spark, shared, sf_dir):  # noqa: F811
     docs = with_clashes(awkward_documents(spark))
     kept = {}
