@@ -15,8 +15,11 @@ from meterflow.llm import (
     fertility,
     jaccard_forest,
     line_runs,
+    pruned_graph,
+    ranked_search,
     suffix_dedup,
     token_counts,
+    whitening,
     wrappers,
 )
 from meterflow.llm.common import sha256, table, whole
@@ -241,3 +244,63 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (droppe
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY row_id
 """
+
+
+@_query
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = ranked_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.select(F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+ORACLES["op11_ranked_search"] = r"""
+WITH item_terms AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), doc_terms AS (
+    SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), totals AS (
+    SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_all FROM doc_terms WHERE len(terms) > 0
+), postings AS (
+    SELECT r, doc_id, len(terms) AS n, term, count(*) AS tf
+    FROM (SELECT r, doc_id, terms, unnest(terms) AS term FROM doc_terms) AS t
+    WHERE term IN (SELECT term FROM item_terms) GROUP BY ALL
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM postings, totals GROUP BY term
+), impacts AS (
+    SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_all))) AS impact
+    FROM postings JOIN weights USING (term), totals
+), scores AS (
+    SELECT item_id, r, doc_id, sum(impact)::BIGINT AS score FROM impacts JOIN item_terms USING (term) GROUP BY item_id, r, doc_id
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+    FROM scores WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+
+@_query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"), keep=["vec_id"])
+    placed = white.select("row.vec_id", "n", "deviation", "explained", "identity_error", F.posexplode("whitened").alias("i", "whitened"))
+    return placed.select(
+        "vec_id",
+        (F.col("i") + 1).alias("component"),
+        "n",
+        "deviation",
+        "whitened",
+        F.element_at("explained", F.col("i") + 1).alias("explained"),
+        "identity_error",
+    )
+
+
+@_query
+def op13_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return pruned_graph.nearest(vectors, vectors.filter("vec_id % 20 = 0"))

@@ -40,7 +40,7 @@ def test_query_matches_sql(spark, shared, con, sf_dir, name):  # noqa: F811
 
 def test_all_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("prefix", ["op7_", "op9_", "op10_"])
