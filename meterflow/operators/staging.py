@@ -62,25 +62,34 @@ def _json_message() -> tuple[Column, Column]:
     return listed, F.struct(first.alias("m"), wrong.alias("wrong"))
 
 
+# Where a message stands in its topic, carried along where a reader gives it.
+PLACE = ("_split", "_offset")
+
+
+def _messages(messages: DataFrame, blanks: bool) -> tuple[DataFrame, list[str]]:
+    """Messages to read and their columns; those without text only with ``blanks``."""
+    kept = ["_key", "_message", "_timestamp", *(c for c in PLACE if c in messages.columns)]
+    return (messages if blanks else messages.filter(P.has_text("_message"))), kept
+
+
 def read_telemetry(
-    messages: DataFrame, batch_ts: dt.datetime | None = None, ahead: dt.timedelta = AHEAD
+    messages: DataFrame, batch_ts: dt.datetime | None = None, ahead: dt.timedelta = AHEAD, blanks: bool = False
 ) -> DataFrame:
     """Every non-empty message with its typed fields and, if it is unusable, why (``reject_reason``).
 
+    With ``blanks`` the empty ones stay too, as ``blank``.
+
     The parsed message goes through one-element explodes: a filter on its fields
     cannot move below them, so each message is parsed once and not a second time
     inside the filter.
     """
     listed, checked = _json_message()
-    text = messages.filter(P.has_text("_message")).select(
-        "_key", "_message", "_timestamp", F.explode(F.array(listed)).alias("listed")
-    )
-    text = text.select("_key", "_message", "_timestamp", F.explode(F.array(checked)).alias("c"))
+    text, kept = _messages(messages, blanks)
+    text = text.select(*kept, F.explode(F.array(listed)).alias("listed"))
+    text = text.select(*kept, F.explode(F.array(checked)).alias("c"))
     loaded = _load_time(batch_ts)
     typed = text.select(
-        "_key",
-        "_message",
-        "_timestamp",
+        *kept,
         F.col("c.m.device_id").alias("device_id"),
         F.col("c.m.customer_id").alias("customer_id"),
         F.col("c.m.timestamp").alias("time_text"),
@@ -99,7 +108,7 @@ def read_telemetry(
         unreadable_number |= F.col(f"_text.{name}").isNotNull() & F.col(name).isNull()
     return typed.select(
         *[c for c in typed.columns if c not in ("_malformed", "_text")],
-        F.when(F.col("_malformed"), "malformed_json")
+        _blank(blanks).when(F.col("_malformed"), "malformed_json")
         .when(F.col("device_id").isNull(), "missing_device")
         .when(F.col("time_text").isNull(), "missing_timestamp")
         .when(F.col("reading_timestamp").isNull(), "unreadable_timestamp")
@@ -109,10 +118,16 @@ def read_telemetry(
     )
 
 
+def _blank(blanks: bool) -> Column:
+    """Start of the reasons: without text, where such messages are kept."""
+    return F.when(~P.has_text("_message") if blanks else F.lit(False), "blank")
+
+
 def usable(read: DataFrame, strict: bool = False) -> DataFrame:
     """Messages read without a reason to reject them; with ``strict`` the first other one fails the job."""
     fine = F.col("reject_reason").isNull()
     if strict:
+        read = read.filter(~F.col("reject_reason").eqNullSafe("blank"))
         stop = F.raise_error(F.concat_ws(": ", "reject_reason", "_message")).cast("boolean")
         fine = F.when(fine, F.lit(True)).otherwise(stop)
     return read.filter(fine)
@@ -140,7 +155,7 @@ def parse_telemetry(
 
 def rejects(read: DataFrame) -> DataFrame:
     """Messages read that give no row, with the reason."""
-    return read.filter(F.col("reject_reason").isNotNull()).select("_key", "_message", "_timestamp", "reject_reason")
+    return read.filter(F.col("reject_reason") != "blank").select("_key", "_message", "_timestamp", "reject_reason")
 
 
 def parse_rejects(
@@ -173,6 +188,7 @@ def read_logs(
     fallback: str = "broker",
     strict: bool = False,
     ahead: dt.timedelta = AHEAD,
+    blanks: bool = False,
 ) -> DataFrame:
     """Every non-empty line with its typed fields and, if it is unusable, why (``reject_reason``).
 
@@ -193,10 +209,9 @@ def read_logs(
         return F.coalesce(*[P.log_field(line, p).cast(dtype) for p in patterns])
 
     names_device = P.log_field(line, "device").isNotNull()
-    parsed = messages.filter(P.has_text("_message")).select(
-        "_key",
-        "_message",
-        "_timestamp",
+    lines, kept = _messages(messages, blanks)
+    parsed = lines.select(
+        *kept,
         F.coalesce(P.log_time(line), other_time).alias("log_timestamp"),
         P.log_field(line, "level").alias("log_level"),
         P.log_field(line, "device").alias("device_id"),
@@ -218,7 +233,7 @@ def read_logs(
         {
             "processed_at": loaded,
             "log_id": surrogate_key("device_id", timestamp_text(F.col("log_timestamp")), "raw_log_message"),
-            "reject_reason": F.when(~names_device, "missing_device").when(
+            "reject_reason": _blank(blanks).when(~names_device, "missing_device").when(
                 _too_far_ahead(P.log_time(line), loaded, ahead), "time_ahead"
             ),
         }

@@ -6,16 +6,17 @@ import datetime as dt
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from meterflow import schemas
 from meterflow.functions import calendar as C
-from meterflow.operators import rollups, staging
+from meterflow.operators import progress, rollups, staging
 from meterflow.operators.dedup import dedup_latest
 from meterflow.operators.lookup import estimated_bytes
 from meterflow.session import fitted_to_input
 from meterflow.sources.tables import MARTS, STAGING, TABLES, Lake
-from meterflow.sources.topics import Topic, dealt_out, read_topic
+from meterflow.sources.topics import Topic, dealt_out, read_new
 
 # Readings are kept once per device and time, as the hourly rollup needs them;
 # equal staging keys imply equal device and time.
@@ -64,10 +65,10 @@ def parse(name: str, messages: DataFrame, batch_ts: dt.datetime | None, strict:
 def read(
     name: str, messages: DataFrame, batch_ts: dt.datetime | None, strict: bool = False, ahead: dt.timedelta = staging.AHEAD
 ) -> DataFrame:
-    """Every message with its typed fields and, if it is unusable, why."""
+    """Every message, blank ones too, with its typed fields and, if it is unusable, why."""
     if name == "stg_telemetry_raw":
-        return staging.read_telemetry(messages, batch_ts, ahead)
-    return staging.read_logs(messages, batch_ts, strict=strict, ahead=ahead)
+        return staging.read_telemetry(messages, batch_ts, ahead, blanks=True)
+    return staging.read_logs(messages, batch_ts, strict=strict, ahead=ahead, blanks=True)
 
 
 def keep_rejects(lake: Lake, name: str, found: DataFrame, batch_ts: dt.datetime | None = None) -> None:
@@ -88,24 +89,72 @@ def load_messages(
     batch_ts: dt.datetime | None = None,
     strict: bool = False,
     ahead: dt.timedelta = staging.AHEAD,
+    files: Sequence[str] | None = None,
 ) -> list[dt.date] | None:
     """Load the messages of a topic; the dates that changed (None: all).
 
-    The messages are read once. Each gives a staging row, or a row of the reject
-    table, or is a copy of one that is held; with ``late="drop"`` late ones are lost.
+    The messages are read once and counted on the way. Each gives a staging row, or a row of the reject
+    table, or is blank or a copy of one that is held; with ``late="drop"`` late ones are lost. The
+    counts go to the table ``load_counts``; where messages carry their place in the topic, how far
+    it was read goes to ``load_ledger``, after the rows themselves. ``files`` names the files
+    read, for those without a message.
     """
     load = uuid.uuid4().hex
-    found = lake.write_work(read(name, messages, batch_ts, strict, ahead), load, name, "read")
+    seen = Observation()
+    reason = F.col("reject_reason")
+    counted = read(name, messages, batch_ts, strict, ahead).observe(
+        seen,
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(reason == "blank").alias("blank"),
+        F.count_if(reason != "blank").alias("rejected"),
+    )
+    found = lake.write_work(counted, load, name, "read")
+    counts = dict(seen.get)
     if strict:
         found = staging.usable(found, strict=True)
-    else:
+        if counts["rejected"]:
+            found.write.format("noop").mode("overwrite").save()  # fails on the first of them
+    elif counts["rejected"]:
         keep_rejects(lake, name, found, batch_ts)
     rows = staging.telemetry_rows(found) if name == "stg_telemetry_raw" else staging.log_rows(found)
-    dates = load_rows(lake, name, rows, late, full_refresh, late_path, load)
+    dates, taken, staged = _load_rows(lake, name, rows, late, full_refresh, late_path, load)
+    usable = counts["messages"] - counts["blank"] - counts["rejected"]
+    taken = usable if taken is None else taken
+    counts |= {"lost": usable - taken, "copies": taken - staged, "staged": staged}
+    one = lake.spark.range(1).select(*progress.count_row(load, name, counts, batch_ts))
+    lake.append(one, "load_counts")
+    if "_split" in found.columns:
+        _keep_progress(lake, name, found, load, batch_ts, full_refresh, files)
     lake.clear_work(load)
     return dates
 
 
+def _keep_progress(
+    lake: Lake,
+    name: str,
+    found: DataFrame,
+    load: str,
+    batch_ts: dt.datetime | None,
+    full_refresh: bool,
+    files: Sequence[str] | None,
+) -> None:
+    at = F.current_timestamp() if batch_ts is None else F.lit(batch_ts).cast("timestamp")
+    rows = progress.progress_rows(found, load, name, at)
+    if files:
+        named = lake.spark.createDataFrame([(f,) for f in files], "split STRING")
+        none = {c: F.coalesce(c, F.lit(0)) for c in ("start_offset", "end_offset", "messages")}
+        rows = named.join(rows.select("split", *none), "split", "left").withColumns(
+            {**none, "load_id": F.lit(load), "topic": F.lit(name), "loaded_at": at}
+        )
+    if full_refresh and lake.exists("load_ledger"):
+        # Begun anew: what earlier loads have read of this topic no longer counts.
+        others = lake.read("load_ledger").filter(F.col("topic") != name)
+        rows = lake.write_work(rows.select(*schemas.LEDGER.names).unionByName(others), load, name, "ledger")
+        lake.write_full(rows, "load_ledger")
+    else:
+        lake.append(rows, "load_ledger")
+
+
 def changed_dates(rows: DataFrame, date_col: str) -> list[dt.date] | None:
     """Dates that ``rows`` has; None if some row has none, which stands for all dates."""
     dates = [r[0] for r in rows.select(date_col).distinct().collect()]
@@ -137,17 +186,31 @@ def load_rows(
 
     ``late="keep"`` takes rows of any time whose key is not held yet; ``"drop"``
     takes only rows after the newest one held, and loses the others; both are
-    appended. ``"upsert"`` lets every row replace the held one, which rewrites the
-    dates it touches. With ``late_path``, the rows that ``"drop"`` loses replace the
+    appended. ``"upsert"`` appends new keys as well, and lets later rows replace held ones, which
+    rewrites the dates of those alone. With ``late_path``, the rows that ``"drop"`` loses replace the
     files there. ``load`` names a load whose rows are in its work folder already.
     """
+    return _load_rows(lake, name, rows, late, full_refresh, late_path, load)[0]
+
+
+def _load_rows(
+    lake: Lake,
+    name: str,
+    rows: DataFrame,
+    late: str,
+    full_refresh: bool,
+    late_path: str | None,
+    load: str | None,
+) -> tuple[list[dt.date] | None, int | None, int]:
+    """The dates that changed, how many rows weren't lost (None: all), how many are in the table now."""
     if late not in ("drop", "keep", "upsert"):
         raise ValueError(f"late must be 'drop', 'keep' or 'upsert', not {late!r}")
-    keys, latest_by, date_col = STAGING_KEYS[name], LATEST_BY[name], TABLES[name].date_col
+    keys, latest_by = STAGING_KEYS[name], LATEST_BY[name]
     if full_refresh or not lake.exists(name):
         _note_changes(lake, name, None)
-        lake.write_full(dedup_latest(rows, keys, latest_by), name)
-        return None
+        staged = Observation()
+        lake.write_full(dedup_latest(rows, keys, latest_by), name, staged)
+        return None, None, staged.get["n"]
     if late == "drop":
         held, mark = lake.read(name), newest_mark(lake, name)
         if late_path is not None:
@@ -157,25 +220,29 @@ def load_rows(
     own = load is None
     load = load or uuid.uuid4().hex
     try:
-        arrived = lake.stored(rows, name)
+        arrived, taken = lake.stored(rows, name), None
         if own or late == "drop":
-            arrived = lake.write_work(arrived, load, name, "arrived")
-        return _merge(lake, name, arrived, late, load)
+            arrived, taken = _counted_work(lake, arrived, load, name, "arrived")
+        return _merge(lake, name, arrived, taken, late, load)
     finally:
         if own:
             lake.clear_work(load)
 
 
-def _merge(lake: Lake, name: str, arrived: DataFrame, late: str, load: str) -> list[dt.date] | None:
+def _counted_work(lake: Lake, rows: DataFrame, load: str, name: str, step: str) -> tuple[DataFrame, int]:
+    """Rows written to the work folder of a load, and how many they are."""
+    seen = Observation()
+    written = lake.write_work(rows.observe(seen, F.count(F.lit(1)).alias("n")), load, name, step)
+    return written, seen.get["n"]
+
+
+def _merge(
+    lake: Lake, name: str, arrived: DataFrame, taken: int | None, late: str, load: str
+) -> tuple[list[dt.date] | None, int | None, int]:
     keys, latest_by, date_col = STAGING_KEYS[name], LATEST_BY[name], TABLES[name].date_col
     dates = changed_dates(arrived, date_col)
     if dates == []:
-        return []
-    if late == "upsert":
-        merged = staging.upsert_latest(lake.read_dates(name, dates), _columns(arrived, name), keys, latest_by)
-        _note_changes(lake, name, dates)
-        lake.replace_dates(merged, name, dates)
-        return dates
+        return [], taken, 0
     if late == "drop" and name == "stg_telemetry_raw":
         fresh = dedup_latest(_columns(arrived, name), keys, latest_by)  # after the mark: surely not held
     else:
@@ -183,21 +250,49 @@ def _merge(lake: Lake, name: str, arrived: DataFrame, late: str, load: str) -> l
         fresh = staging.incremental_new(
             _columns(arrived, name), held, EVENT_TIME[name], keys, late="keep", latest_by=latest_by
         )
-    fresh = lake.write_work(lake.stored(fresh, name), load, name, "fresh")
+    fresh, staged = _counted_work(lake, lake.stored(fresh, name), load, name, "fresh")
     dates = changed_dates(fresh, date_col)
+    fixed = None
+    if late == "upsert":
+        fixed, n_fixed = _counted_work(
+            lake, lake.stored(_corrections(lake, name, arrived), name), load, name, "fixed"
+        )
+        staged += n_fixed
+        fixed_dates = changed_dates(fixed, date_col)
+    _note_changes(lake, name, fresh if fixed is None else fresh.unionByName(fixed))
     if dates != []:
-        _note_changes(lake, name, dates)
         lake.append(_columns(fresh, name), name)
-    return dates
+    if fixed is not None and fixed_dates != []:
+        held = lake.read_dates(name, fixed_dates).join(fixed.select(*keys), keys, "left_anti")
+        lake.replace_dates(_columns(held, name).unionByName(_columns(fixed, name)), name, fixed_dates)
+        dates = None if None in (dates, fixed_dates) else sorted({*dates, *fixed_dates})
+    return dates, taken, staged
+
+
+def _corrections(lake: Lake, name: str, arrived: DataFrame) -> DataFrame:
+    """Rows that are later than the held row with their key, and differ from it."""
+    keys, latest_by, date_col = STAGING_KEYS[name], LATEST_BY[name], TABLES[name].date_col
+    rows = _columns(arrived, name)
+    held = lake.read_dates(name, changed_dates(arrived, date_col))
+    known = held.join(rows.select(*keys).distinct(), keys, "left_semi").select(*rows.columns)
+    hit = rows.join(held.select(*keys), keys, "left_semi").select(*rows.columns)
+    latest = dedup_latest(known.unionByName(hit), keys, latest_by)
+    return latest.join(known, [latest[c].eqNullSafe(known[c]) for c in rows.columns], "left_anti")
 
 
 def _columns(rows: DataFrame, name: str) -> DataFrame:
     return rows.select(*TABLES[name].schema.names)
 
 
-def _note_changes(lake: Lake, name: str, dates: list[dt.date] | None) -> None:
-    if name in MART_INPUT.values():
-        lake.note_pending(dates)
+def _note_changes(lake: Lake, name: str, rows: DataFrame | None) -> None:
+    """Note the device hours of changed readings (None: everything), before the table has them."""
+    if name not in MART_INPUT.values():
+        return
+    if rows is not None:
+        rows = rows.select(
+            "device_id", F.date_trunc("hour", "reading_timestamp").alias("reading_hour"), "reading_date"
+        ).distinct()
+    lake.note_pending(rows)
 
 
 def _months(dates: Sequence[dt.date] | None) -> list[dt.date] | None:
@@ -284,13 +379,20 @@ def run(
 ) -> dict[str, list[dt.date] | None]:
     """Build the selected models in order; per staging table, the dates that changed.
 
+    Of a topic only what no load has read before is scanned, by the ledger's offsets or file names.
     Marts are refreshed for changed dates only, unless ``only_changed`` is off.
     The first error stops the run; the next run takes up what it left.
     """
     models = selected(select)
     changed: dict[str, list[dt.date] | None] = {}
     for name in (m for m in models if m in STAGING_KEYS and m in topics):
-        messages = read_topic(lake.spark, topics[name])
+        done = None
+        if not full_refresh and lake.exists(name) and lake.exists("load_ledger"):
+            done = progress.ends(lake.read("load_ledger"), name)
+        messages, files = read_new(lake.spark, topics[name], done)
+        if files == [] and done is not None:
+            changed[name] = []
+            continue
         with fitted_to_input(lake.spark, estimated_bytes(messages)):
             changed[name] = load_messages(
                 lake,
@@ -302,6 +404,7 @@ def run(
                 batch_ts,
                 strict,
                 ahead,
+                files,
             )
     marts = [m for m in models if m in MART_INPUT]
     if marts and (full_refresh or not only_changed):

@@ -38,6 +38,21 @@ REJECTS = _schema(
     " reject_reason STRING, rejected_at TIMESTAMP"
 )
 
+# How far each load has read a topic: per partition the offsets, per file its messages.
+LEDGER = _schema(
+    "load_id STRING, topic STRING, split STRING, start_offset BIGINT, end_offset BIGINT,"
+    " messages BIGINT, loaded_at TIMESTAMP"
+)
+
+# What became of the messages of each load.
+LOAD_COUNTS = _schema(
+    "load_id STRING, topic STRING, messages BIGINT, blank BIGINT, rejected BIGINT, lost BIGINT,"
+    " copies BIGINT, staged BIGINT, loaded_at TIMESTAMP"
+)
+
+# Device hours whose marts are to be brought up to date.
+PENDING = _schema("device_id STRING, reading_hour TIMESTAMP, reading_date DATE, note STRING")
+
 STG_TELEMETRY = _schema(
     "telemetry_id STRING, device_id STRING, customer_id STRING, reading_timestamp TIMESTAMP,"
     " energy_kwh DOUBLE, voltage DOUBLE, battery_pct BIGINT, status STRING, ingested_at TIMESTAMP,"

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from meterflow import schemas
+from meterflow.operators.lookup import estimated_bytes
 from meterflow.session import use_utc
 
 STAGING, MARTS = "energy_data_staging", "energy_data_marts"
@@ -47,6 +49,10 @@ TABLES = {
     "stg_meter_health_logs": Table(
         STAGING, schemas.STG_HEALTH_LOGS, "log_date", "log_timestamp", ("device_id", "log_timestamp")
     ),
+    "load_ledger": Table(STAGING, schemas.LEDGER, id_cols=("topic", "split")),
+    "load_counts": Table(STAGING, schemas.LOAD_COUNTS),
+    # Partitioned by note rather than by date, so that a note goes with its partition.
+    "pending_changes": Table(STAGING, schemas.PENDING, "note"),
     "rejected_messages": Table(STAGING, schemas.REJECTS, "reject_date", "rejected_at", ("topic",)),
     "device_hourly_metrics": Table(
         MARTS, schemas.DEVICE_HOURLY, "reading_date", id_cols=("device_id", "reading_hour")
@@ -64,86 +70,59 @@ TABLES = {
 
 
 class Lake:
-    """Tables below ``root``, a folder that every executor can reach."""
+    """Tables below ``root``, a folder that every executor can reach, known to Spark's catalog.
+
+    The catalog says which files a table has, so replacing is a change of the catalog: a
+    partition gets the location of its new files, a table that is rebuilt is written as a new table that
+    its name, a view, is then switched to. A reader that has started keeps the files it
+    began with; :meth:`drop_replaced` removes them later. Sessions that are to share a lake
+    share a catalog (a metastore); in a session of its own, a lake begins empty.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = use_utc(spark)
         self.root = root.rstrip("/")
+        self._catalog_name = "lake_" + hashlib.sha256(self.root.encode()).hexdigest()[:12]
 
     # -- places ------------------------------------------------------------
 
-    def path(self, name: str) -> str:
-        return f"{self.root}/{TABLES[name].layer}/{name}"
+    def _database(self, name: str) -> str:
+        return f"{self._catalog_name}_{TABLES[name].layer}"
+
+    def name(self, name: str) -> str:
+        """What SQL calls a table of this lake: a view of the table that holds its rows now."""
+        return f"`{self._database(name)}`.`{name}`"
+
+    def _held_by(self, name: str) -> str:
+        """The table that holds the rows now."""
+        version = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(name)} ('version')").first()["value"]
+        return f"`{self._database(name)}`.`{name}__{version}`"
+
+    def _new_place(self, name: str) -> str:
+        return f"{self.root}/{TABLES[name].layer}/{name}/{uuid.uuid4().hex}"
 
     def work_path(self, load: str, name: str, step: str) -> str:
         """Place for the rows of one load; no two loads share one."""
         return f"{self.root}/_work/load-{load}/{name}-{step}"
 
     def clear_work(self, load: str) -> None:
-        fs, p = self._fs(f"{self.root}/_work/load-{load}")
-        fs.delete(p, True)
-
-    def _fs(self, path: str):
-        hadoop_path = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return hadoop_path.getFileSystem(self.spark._jsc.hadoopConfiguration()), hadoop_path
+        self._remove(f"{self.root}/_work/load-{load}")
 
-    def _present(self, path: str) -> bool:
-        fs, p = self._fs(path)
-        return fs.exists(p)
+    def _remove(self, path: str) -> None:
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
 
     def exists(self, name: str) -> bool:
-        self._recover(name)
-        return self._present(self.path(name))
-
-    # -- swapping ----------------------------------------------------------
-
-    def _swap_path(self, name: str, part: str = "") -> str:
-        return f"{self.root}/_work/swap/{name}/{part or '_table'}"
-
-    def _swap(self, new: str | None, name: str, part: str = "") -> None:
-        """Put a finished folder in the place of a table or partition; None only takes the old one away.
-
-        The old folder waits aside until the new one is in place: whenever this is
-        cut short, :meth:`_recover` finds the old one or the new one whole.
-        """
-        place = f"{self.path(name)}/{part}" if part else self.path(name)
-        fs, target = self._fs(place)
-        aside = self._fs(self._swap_path(name, part))[1]
-        fs.mkdirs(aside.getParent())
-        fs.mkdirs(target.getParent())
-        if fs.exists(target):
-            fs.delete(aside, True)
-            if new is None:
-                # Nothing follows: the partition is gone with its folder.
-                fs.delete(target, True)
-                return
-            if not fs.rename(target, aside):
-                raise OSError(f"could not move {place} aside")
-        if new is not None and not fs.rename(self._fs(new)[1], target):
-            raise OSError(f"could not move {new} to {place}")
-        fs.delete(aside, True)
-
-    def _recover(self, name: str) -> None:
-        """Bring back what a swap that was cut short has left aside."""
-        fs, waiting = self._fs(f"{self.root}/_work/swap/{name}")
-        if not fs.exists(waiting):
-            return
-        for status in fs.listStatus(waiting):
-            aside = status.getPath()
-            part = aside.getName()
-            target = self._fs(self.path(name) if part == "_table" else f"{self.path(name)}/{part}")[1]
-            if fs.exists(target):
-                fs.delete(aside, True)
-            else:
-                fs.mkdirs(target.getParent())
-                fs.rename(aside, target)
+        return self.spark.catalog.tableExists(f"{self._database(name)}.{name}")
 
     # -- reading -----------------------------------------------------------
 
     def read(self, name: str, where: Column | None = None) -> DataFrame:
         """A table with its declared columns; ``where`` may use the partition column."""
-        table = TABLES[name]
-        df = self.spark.read.schema(table.stored_schema).parquet(self.path(name))
+        table, held = TABLES[name], self._held_by(name)
+        # Another session may have added files or partitions.
+        self.spark.catalog.refreshTable(held)
+        df = self.spark.table(held)
         if where is not None:
             df = df.filter(where)
         return df.select(*table.schema.names)
@@ -152,30 +131,22 @@ class Lake:
         """The partitions of the given dates, or the whole table for None; only their folders are listed."""
         if dates is None:
             return self.read(name)
-        table, home = TABLES[name], self.path(name)
-        self._recover(name)
-        folders = [f"{home}/{table.date_col}={d}" for d in dates]
-        folders = [f for f in folders if self._present(f)]
-        if not folders:
-            return self.spark.createDataFrame([], table.schema)
-        rows = self.spark.read.schema(table.stored_schema).option("basePath", home).parquet(*folders)
-        return rows.select(*table.schema.names)
+        return self.read(name, F.col(TABLES[name].date_col).isin(list(dates)))
 
     def dates(self, name: str) -> list[dt.date]:
-        """Dates a table has partitions for, from the folder names alone."""
-        fs, p = self._fs(self.path(name))
-        prefix = f"{TABLES[name].date_col}="
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        days = (n.removeprefix(prefix) for n in names if n.startswith(prefix))
+        """Dates a table has partitions for, from the catalog alone."""
+        rows = self.spark.sql(f"SHOW PARTITIONS {self._held_by(name)}").collect()
+        days = [r["partition"].split("=", 1)[1] for r in rows]
         return sorted(dt.date.fromisoformat(d) for d in days if not d.startswith("__"))
 
     def size(self, name: str, dates: Sequence[dt.date] | None) -> int:
         """Bytes on disk of the given dates, or of the whole table for None."""
-        fs, p = self._fs(self.path(name))
-        if dates is None:
-            return fs.getContentSummary(p).getLength()
-        parts = [self._fs(f"{self.path(name)}/{TABLES[name].date_col}={d}")[1] for d in dates]
-        return sum(fs.getContentSummary(q).getLength() for q in parts if fs.exists(q))
+        if TABLES[name].date_col is None:
+            return estimated_bytes(self.read(name)) or 0
+        there = self.dates(name)
+        wanted = there if dates is None else [d for d in dates if d in set(there)]
+        # A condition on the partition column makes Spark list the files.
+        return estimated_bytes(self.read_dates(name, wanted)) or 0 if wanted else 0
 
     def date_slices(self, name: str, most: int) -> list[list[dt.date]]:
         """Dates of a table in runs of up to ``most`` bytes, one date at least."""
@@ -197,18 +168,17 @@ class Lake:
 
     # -- changes the marts do not show yet ----------------------------------
 
-    @property
-    def _pending_path(self) -> str:
-        return f"{self.root}/_work/pending"
-
     def pending_notes(self) -> list[str]:
         """Names of the notes that are there now."""
-        fs, p = self._fs(self._pending_path)
-        if not fs.exists(p):
+        if not self.exists("pending_changes"):
             return []
-        names = [s.getPath().getName() for s in fs.listStatus(p)]
-        # A note counts once it is complete.
-        return sorted(n for n in names if self._present(f"{self._pending_path}/{n}/_SUCCESS"))
+        rows = self.spark.sql(f"SHOW PARTITIONS {self._held_by('pending_changes')}").collect()
+        return sorted(r["partition"].split("=", 1)[1] for r in rows)
+
+    def pending(self, notes: Sequence[str] | None = None) -> DataFrame:
+        """Device hours whose readings changed but whose marts may be old; a row of nulls stands for all."""
+        notes = self.pending_notes() if notes is None else notes
+        return self.read("pending_changes", F.col("note").isin(list(notes)))
 
     def pending_dates(self, notes: Sequence[str] | None = None) -> list[dt.date] | None:
         """Dates whose readings changed but whose marts may be old (None: all dates).
@@ -219,22 +189,22 @@ class Lake:
         notes = self.pending_notes() if notes is None else notes
         if not notes:
             return []
-        paths = [f"{self._pending_path}/{n}" for n in notes]
-        found = {r[0] for r in self.spark.read.schema("reading_date DATE").parquet(*paths).distinct().collect()}
+        found = {r[0] for r in self.pending(notes).select("reading_date").distinct().collect()}
         return None if None in found else sorted(found)
 
-    def note_pending(self, dates: Sequence[dt.date] | None) -> None:
-        """Add a note; those of other loads stay."""
-        rows = [(None,)] if dates is None else [(d,) for d in dates]
-        if rows:
-            pending = self.spark.createDataFrame(rows, "reading_date DATE").coalesce(1)
-            pending.write.parquet(f"{self._pending_path}/{uuid.uuid4().hex}")
+    def note_pending(self, changed: DataFrame | None) -> str:
+        """Add a note of changed device hours (None: of everything); those of other loads stay."""
+        schema, note = TABLES["pending_changes"].schema, uuid.uuid4().hex
+        if changed is None:
+            changed = self.spark.createDataFrame([(None, None, None)], "device_id STRING, reading_hour TIMESTAMP, reading_date DATE")
+        rows = changed.withColumn("note", F.lit(note)).select(*schema.names)
+        self.append(rows, "pending_changes")
+        return note
 
     def clear_pending(self, notes: Sequence[str]) -> None:
         """Remove the notes that were read; one that has come since stays."""
         for note in notes:
-            fs, p = self._fs(f"{self._pending_path}/{note}")
-            fs.delete(p, True)
+            self.spark.sql(f"ALTER TABLE {self._held_by('pending_changes')} DROP IF EXISTS PARTITION (note = '{note}')")
 
     # -- writing -----------------------------------------------------------
 
@@ -251,43 +221,80 @@ class Lake:
         very many rows is spread over several files, and small dates share a task.
         """
         keys = [c for c in (table.date_col, *table.id_cols) if c]
-        return df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-
-    def _write(self, df: DataFrame, path: str, table: Table, mode: str, dynamic: bool) -> None:
-        writer = df.write.mode(mode).option("compression", "snappy")
-        if table.date_col is not None:
-            writer = writer.partitionBy(table.date_col)
-            writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-        writer.parquet(path)
+        return df.repartitionByRange(*keys).sortWithinPartitions(*keys) if keys else df
+
+    def _in_file_order(self, df: DataFrame, table: Table) -> DataFrame:
+        """Columns as tables store them: the partition column last."""
+        names = [f.name for f in table.stored_schema.fields if f.name != table.date_col]
+        return df.select(*names, *([table.date_col] if table.date_col else []))
+
+    def _create(self, name: str) -> str:
+        """A new, empty table of a name of its own in a folder of its own."""
+        table, database = TABLES[name], self._database(name)
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+        held = f"`{database}`.`{name}__{uuid.uuid4().hex}`"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.stored_schema.fields)
+        by_date = f"PARTITIONED BY (`{table.date_col}`)" if table.date_col else ""
+        self.spark.sql(
+            f"CREATE TABLE {held} ({columns}) USING parquet OPTIONS (compression 'snappy') {by_date} "
+            f"LOCATION '{self._new_place(name)}'"
+        )
+        return held
+
+    def _switch(self, name: str, held: str) -> None:
+        """Make the name stand for another table: one change of the catalog.
+
+        The old one stays until :meth:`drop_replaced`: a reader may be at it.
+        """
+        columns = ", ".join(f"`{c}`" for c in TABLES[name].schema.names)
+        version = held.rstrip("`").rsplit("__", 1)[1]
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name(name)} TBLPROPERTIES ('version' = '{version}') AS SELECT {columns} FROM {held}"
+        )
 
-    def _written_aside(self, df: DataFrame, name: str) -> str:
+    def _insert(self, df: DataFrame, name: str, held: str, seen: Observation | None = None) -> None:
         table = TABLES[name]
-        aside = f"{self.root}/_work/{name}-{uuid.uuid4().hex}"
-        self._write(self._laid_out(self._stored(df, table), table), aside, table, "overwrite", False)
-        return aside
-
-    def write_full(self, df: DataFrame, name: str) -> None:
-        """Replace a table: written aside first, so that a failed job leaves the old one."""
-        self._recover(name)
-        self._swap(self._written_aside(df, name), name)
+        rows = self._in_file_order(self._laid_out(self._stored(df, table), table), table)
+        if seen is not None:
+            # Above the range partitioning, whose sample runs what is below it once more.
+            rows = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+        rows.write.insertInto(held)
+
+    def write_full(self, df: DataFrame, name: str, seen: Observation | None = None) -> None:
+        """Replace a table: a failed job leaves the old one. ``seen`` gets the number of rows as ``n``."""
+        held = self._create(name)
+        self._insert(df, name, held, seen)
+        self._switch(name, held)
 
     def write_in_slices(self, slices: Iterable[DataFrame], name: str) -> None:
-        """Replace a table by the rows of several frames, written aside one after the other."""
-        self._recover(name)
-        table, aside = TABLES[name], f"{self.root}/_work/{name}-{uuid.uuid4().hex}"
+        """Replace a table by the rows of several frames, written one after the other."""
+        held = self._create(name)
         for df in slices:
-            self._write(self._laid_out(self._stored(df, table), table), aside, table, "append", False)
-        self._swap(aside, name)
+            self._insert(df, name, held)
+        self._switch(name, held)
 
     def write_dates(self, df: DataFrame, name: str, dates: Sequence[dt.date]) -> None:
-        """Replace the partitions of the given dates; those that ``df`` has no rows for go, all others stay."""
-        self._recover(name)
-        aside = self._written_aside(df, name)
+        """Replace the partitions of the given dates; those that ``df`` has no rows for go, all others stay.
+
+        The new files are written to a place of their own first. Then each date changes at once
+        in the catalog: a reader sees a date as it was or as it is.
+        """
+        table, place, held = TABLES[name], self._new_place(name), self._held_by(name)
+        rows = self._laid_out(self._stored(df, table), table)
+        rows.write.option("compression", "snappy").partitionBy(table.date_col).parquet(place)
+        schema = StructType([StructField(table.date_col, DateType())])
+        written = self.spark.read.schema(table.stored_schema).parquet(place)
+        found = {r[0] for r in written.select(schema[0].name).distinct().collect()}
+        there = set(self.dates(name))
         for date in dates:
-            part = f"{TABLES[name].date_col}={date}"
-            self._swap(f"{aside}/{part}" if self._present(f"{aside}/{part}") else None, name, part)
-        fs, p = self._fs(aside)
-        fs.delete(p, True)
+            part = f"PARTITION (`{table.date_col}` = DATE '{date}')"
+            where = f"LOCATION '{place}/{table.date_col}={date}'"
+            if date not in found:
+                self.spark.sql(f"ALTER TABLE {held} DROP IF EXISTS {part}")
+            elif date in there:
+                self.spark.sql(f"ALTER TABLE {held} {part} SET {where}")
+            else:
+                self.spark.sql(f"ALTER TABLE {held} ADD IF NOT EXISTS {part} {where}")
 
     def replace_dates(self, df: DataFrame, name: str, dates: Sequence[dt.date] | None) -> None:
         """Partitions of the given dates, or the whole table for None."""
@@ -298,8 +305,31 @@ class Lake:
 
     def append(self, df: DataFrame, name: str) -> None:
         """Add rows to a table, each date's to its own partition."""
-        table = TABLES[name]
-        self._write(self._laid_out(self._stored(df, table), table), self.path(name), table, "append", False)
+        if not self.exists(name):
+            self._switch(name, self._create(name))
+        self._insert(df, name, self._held_by(name))
+
+    def drop_replaced(self, name: str) -> list[str]:
+        """Remove the versions of a table that its name stood for before, and the folders without its rows; their names.
+
+        For a time when no reader is left that began before the last replacement, and no load is running.
+        """
+        if not self.exists(name):
+            return []
+        database, held = self._database(name), self._held_by(name)
+        for row in self.spark.sql(f"SHOW TABLES IN `{database}` LIKE '{name}__*'").collect():
+            if f"`{database}`.`{row['tableName']}`" != held:
+                self.spark.sql(f"DROP TABLE `{database}`.`{row['tableName']}`")
+        used = {f.split(f"/{name}/", 1)[1].split("/", 1)[0] for f in self.read(name).inputFiles() if f"/{name}/" in f}
+        # New files of the table itself go below its own location.
+        own = self.spark.sql(f"DESCRIBE FORMATTED {held}").filter("col_name = 'Location'").first()
+        used.add(own["data_type"].rstrip("/").rsplit("/", 1)[1])
+        home = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{TABLES[name].layer}/{name}")
+        folders = home.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(home)
+        gone = sorted({f.getPath().getName() for f in folders} - used)
+        for folder in gone:
+            self._remove(f"{self.root}/{TABLES[name].layer}/{name}/{folder}")
+        return gone
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         """Rows as they are stored: declared columns and the date column."""
@@ -320,15 +350,6 @@ class Lake:
     def register(self) -> None:
         """Make every existing table known to SQL as ``layer.table``."""
         for name, table in TABLES.items():
-            if not self.exists(name):
-                continue
-            home = f"{self.root}/{table.layer}"
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.layer} LOCATION '{home}'")
-            self.spark.sql(f"DROP TABLE IF EXISTS {table.layer}.{name}")  # external: files stay
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.stored_schema.fields)
-            by_date = f"PARTITIONED BY ({table.date_col})" if table.date_col else ""
-            self.spark.sql(
-                f"CREATE TABLE {table.layer}.{name} ({columns}) USING parquet {by_date} LOCATION '{self.path(name)}'"
-            )
-            if table.date_col:
-                self.spark.sql(f"ALTER TABLE {table.layer}.{name} RECOVER PARTITIONS")
+            if self.exists(name):
+                self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{table.layer}`")
+                self.spark.sql(f"CREATE OR REPLACE VIEW `{table.layer}`.`{name}` AS SELECT * FROM {self.name(name)}")

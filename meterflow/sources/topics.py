@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from meterflow import schemas
+from meterflow.operators.progress import starting_offsets
 
 # Fixed value: messages one scan task should read.
 MESSAGES_PER_SPLIT = 10_000
@@ -20,8 +23,10 @@ class Topic:
 
     ``kind`` is ``kafka``, or ``parquet`` / ``json`` / ``text`` for files that
     hold the same columns (text files: one message per line, without key and
-    time). ``expected_messages`` sizes the splits of a Kafka batch scan,
-    ``max_per_trigger`` bounds one micro-batch (messages, or files).
+    time). A task of a Kafka scan reads ``MESSAGES_PER_SPLIT`` messages at most;
+    ``expected_messages`` asks for more, smaller splits. ``max_per_trigger`` bounds one
+    micro-batch (messages, or files). ``partitions`` is the number of partitions a Kafka
+    topic has, so that progress by offsets finds new ones.
     """
 
     kind: str
@@ -30,6 +35,7 @@ class Topic:
     name: str | None = None
     expected_messages: int | None = None
     max_per_trigger: int | None = None
+    partitions: int = 0
     options: Mapping[str, str] = field(default_factory=dict)
 
     def source_options(self, streaming: bool) -> dict[str, str]:
@@ -38,6 +44,7 @@ class Topic:
             opts.setdefault("kafka.bootstrap.servers", self.servers or "")
             opts.setdefault("subscribe", self.name or "")
             opts.setdefault("startingOffsets", "earliest")
+            opts.setdefault("maxRecordsPerPartition", str(MESSAGES_PER_SPLIT))
             if self.expected_messages:
                 splits = -(-self.expected_messages // MESSAGES_PER_SPLIT)
                 opts.setdefault("minPartitions", str(splits))
@@ -50,23 +57,69 @@ class Topic:
 
 def read_topic(spark: SparkSession, topic: Topic, streaming: bool = False) -> DataFrame:
     """Messages as ``_key``, ``_message``, ``_timestamp``."""
+    if topic.kind not in ("kafka", "text", "parquet", "json"):
+        raise ValueError(f"unknown topic kind {topic.kind!r}")
     reader = (spark.readStream if streaming else spark.read).options(**topic.source_options(streaming))
     if topic.kind == "kafka":
-        raw = reader.format("kafka").load()
-        return raw.select(
-            F.col("key").cast("string").alias("_key"),
-            F.col("value").cast("string").alias("_message"),
-            F.col("timestamp").alias("_timestamp"),
-        )
+        return _kafka_columns(reader.format("kafka").load(), [])
+    if topic.kind != "text":
+        reader = reader.schema(schemas.TOPIC)
+    return _file_columns(reader.format(topic.kind).load(topic.path), topic)
+
+
+def _kafka_columns(raw: DataFrame, place: list[Column]) -> DataFrame:
+    return raw.select(
+        F.col("key").cast("string").alias("_key"),
+        F.col("value").cast("string").alias("_message"),
+        F.col("timestamp").alias("_timestamp"),
+        *place,
+    )
+
+
+def _file_columns(rows: DataFrame, topic: Topic) -> DataFrame:
+    if topic.kind != "text":
+        return rows
+    return rows.select(
+        F.lit(None).cast("string").alias("_key"),
+        F.col("value").alias("_message"),
+        F.lit(None).cast("timestamp").alias("_timestamp"),
+    )
+
+
+def read_new(spark: SparkSession, topic: Topic, done: DataFrame | None) -> tuple[DataFrame, list[str] | None]:
+    """Messages that no load has read, with their place (``_split``, ``_offset``), and the new files.
+
+    ``done`` has the end of each split read so far (None: nothing). A Kafka scan starts at
+    these offsets; of files only those whose names aren't there are opened, so files must not change.
+    The list of new files is None for Kafka, whose end shows in the messages.
+    """
+    if topic.kind == "kafka":
+        known = {r["split"]: r["end_offset"] for r in done.collect()} if done is not None else {}
+        options = topic.source_options(False)
+        if known:
+            options["startingOffsets"] = starting_offsets(known, topic.name or "", topic.partitions)
+        raw = spark.read.format("kafka").options(**options).load()
+        place = [F.col("partition").cast("string").alias("_split"), F.col("offset").alias("_offset")]
+        return _kafka_columns(raw, place), None
+    files = spark.createDataFrame([(f,) for f in _reader(spark, topic).load(topic.path).inputFiles()], "split STRING")
+    if done is not None:
+        files = files.join(done, "split", "left_anti")
+    new = sorted(r["split"] for r in files.distinct().collect())
+    if not new:
+        none = spark.createDataFrame([], schemas.TOPIC)
+        return none.withColumns({"_split": F.lit(""), "_offset": F.lit(0).cast("bigint")}), []
+    rows = _reader(spark, topic).load([unquote(f) for f in new])
+    place = {"_split": F.input_file_name(), "_offset": F.lit(None).cast("bigint")}
+    return _file_columns(rows, topic).withColumns(place), new
+
+
+def _reader(spark: SparkSession, topic: Topic) -> DataFrameReader:
+    """Reader of the files of a topic."""
+    reader = spark.read.options(**topic.source_options(False))
     if topic.kind == "text":
-        lines = reader.format("text").load(topic.path)
-        return lines.select(
-            F.lit(None).cast("string").alias("_key"),
-            F.col("value").alias("_message"),
-            F.lit(None).cast("timestamp").alias("_timestamp"),
-        )
+        return reader.format("text")
     if topic.kind in ("parquet", "json"):
-        return reader.format(topic.kind).schema(schemas.TOPIC).load(topic.path)
+        return reader.format(topic.kind).schema(schemas.TOPIC)
     raise ValueError(f"unknown topic kind {topic.kind!r}")
 
 

@@ -2,16 +2,18 @@
 
 import datetime as dt
 import json
+import threading
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from meterflow.operators import rollups, staging
+from meterflow.operators import progress, rollups, staging
 from meterflow.plans import jobs
 from meterflow.session import fitted_to_input
 from meterflow.sources.master import Master, add_missing, read_master, seed_customers, seed_devices
 from meterflow.sources.tables import TABLES, Lake
-from meterflow.sources.topics import Topic, read_topic, telemetry_body, to_records
+from meterflow.sources.topics import Topic, read_new, read_topic, telemetry_body, to_records
 from tests.helpers import LOADED, message, readings, rows_of, topic_rows, ts
 
 AS_OF = dt.date(2025, 1, 20)
@@ -114,11 +116,14 @@ def test_slices_equal_one_load(lake, topics, spark, tmp_path):
 def test_only_changed_dates_are_rewritten(lake, topics, tmp_path):
     topics.send(messages(range(1, 4)))
     run(lake, topics)
-    folder = tmp_path / "lake/energy_data_marts/device_daily_metrics"
-    old = {p.parent.name: p.name for p in folder.glob("*/*.parquet")}
+    def files():
+        found = (f.split("/") for f in lake.read("device_daily_metrics").inputFiles())
+        return {f[-2]: f[-1] for f in found}
+
+    old = files()
     topics.send(messages([4]))
     assert run(lake, topics)["stg_telemetry_raw"] == [dt.date(2025, 1, 4)]
-    new = {p.parent.name: p.name for p in folder.glob("*/*.parquet")}
+    new = files()
     assert {d for d in new if new[d] != old.get(d)} == {"reading_date=2025-01-04"}
     assert_marts_current(lake)
 
@@ -356,30 +361,178 @@ def test_emptied_date_loses_its_partition(lake, topics):
     assert lake.dates("device_daily_metrics") == [dt.date(2025, 1, 1)]
 
 
-@pytest.mark.parametrize("step", [1, 2])
-def test_swap_cut_short(lake, topics, monkeypatch, step):
-    """Stopped before or after the new folder is in place, the old or the new table is whole."""
+def test_readers_see_old_or_new(lake, topics, spark):
+    """A reader that runs all the while never meets a table or a date half replaced."""
     topics.send(messages([1, 2]))
     run(lake, topics)
     name = "device_daily_metrics"
-    old = rows_of(lake.read(name))
-    fs, place = lake._fs(lake.path(name))
-    aside = lake._written_aside(lake.read(name).limit(1), name)
-    waiting = lake._fs(lake._swap_path(name))[1]
-    fs.mkdirs(waiting.getParent())
-    fs.rename(place, waiting)
-    if step == 2:
-        fs.rename(lake._fs(aside)[1], place)
-    assert lake.exists(name)
-    assert len(rows_of(lake.read(name))) == (len(old) if step == 1 else 1)
+    old = lake.read(name)
+    other = old.withColumn("active_hours", F.lit(99).cast("bigint"))
+    day = [dt.date(2025, 1, 1)]
+    seen, stop = set(), threading.Event()
+
+    def look():
+        while not stop.is_set():
+            rows = lake.read(name).filter(F.col("reading_date") == day[0]).collect()
+            seen.add((len(rows), tuple(sorted({r.active_hours for r in rows}))))
+
+    reader = threading.Thread(target=look)
+    reader.start()
+    try:
+        began = lake.read(name)  # planned before the replacements, run after them
+        before = rows_of(began)
+        for rows in (other, old, other, old):
+            kept = lake.write_work(rows, "test", name, uuid.uuid4().hex)
+            lake.write_full(kept, name)
+            lake.write_dates(kept.filter(F.col("reading_date") == day[0]), name, day)
+        assert rows_of(began) == before
+    finally:
+        stop.set()
+        reader.join()
+    assert seen <= {(3, (2,)), (3, (99,))} and seen
+    assert rows_of(lake.read(name)) == before
+    assert len(lake.drop_replaced(name)) >= 4
+    assert rows_of(lake.read(name)) == before
+    assert lake.drop_replaced(name) == []
+
+
+def test_failed_date_write_keeps_the_old_dates(lake, topics):
+    topics.send(messages([1, 2]))
+    run(lake, topics)
+    name = "device_daily_metrics"
+    before = rows_of(lake.read(name))
+    boom = F.raise_error(F.lit("boom")).cast("string")
+    bad = lake.read(name).withColumn("device_id", F.when(F.col("device_id") == "MTR-2", boom).otherwise(F.col("device_id")))
+    with pytest.raises(Exception):
+        lake.write_dates(bad, name, lake.dates(name))
+    assert rows_of(lake.read(name)) == before
+
+
+# ---------------------------------------------------------------------------
+# progress
+
+
+def test_second_run_reads_new_files_only(lake, topics, monkeypatch):
+    read = []
+    load = jobs.load_messages
+    monkeypatch.setattr(jobs, "load_messages", lambda lake, name, messages, *a, **k: (
+        read.append((name, messages.inputFiles(), messages.count())), load(lake, name, messages, *a, **k))[1])
+    topics.send(messages([1, 2]))
+    run(lake, topics)
+    topics.send(messages([3]))
+    run(lake, topics)
+    run(lake, topics)
+    assert [(n, len(f), c) for n, f, c in read] == [
+        ("stg_telemetry_raw", 1, 12), ("stg_meter_health_logs", 1, 2), ("stg_telemetry_raw", 1, 6)]
+    assert read[0][1] != read[2][1]
+    ledger = lake.read("load_ledger").filter("topic = 'stg_telemetry_raw'").orderBy("messages").collect()
+    assert [(r.start_offset, r.end_offset, r.messages) for r in ledger] == [(0, 6, 6), (0, 12, 12)]
+    assert {r.split for r in ledger} == {*read[0][1], *read[2][1]}
+    assert_marts_current(lake)
+
+
+def test_load_cut_short_before_its_progress(lake, topics, monkeypatch):
+    """Rows are in, progress isn't: they are read again and nothing comes twice."""
+    topics.send(messages([1]))
+    run(lake, topics)
+    topics.send(messages([2]))
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "_keep_progress", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            run(lake, topics)
+    assert lake.read("stg_telemetry_raw").count() == 12
+    assert run(lake, topics)["stg_telemetry_raw"] == []
+    assert lake.read("stg_telemetry_raw").count() == 12
+    assert lake.read("load_ledger").filter("topic = 'stg_telemetry_raw'").count() == 2
+    assert_marts_current(lake)
+
+
+def test_full_refresh_begins_the_ledger_anew(lake, topics):
+    topics.send(messages([1]))
+    run(lake, topics)
+    topics.send(messages([2]))
+    run(lake, topics)
+    run(lake, topics, full_refresh=True)
+    ledger = lake.read("load_ledger").filter("topic = 'stg_telemetry_raw'")
+    assert ledger.count() == 2 and ledger.select("load_id").distinct().count() == 1
+    assert run(lake, topics)["stg_telemetry_raw"] == []
+
+
+def test_files_with_odd_names_and_without_messages(spark, tmp_path):
+    place = tmp_path / "a b%c"
+    place.mkdir()
+    (place / "one,two=3.txt").write_text("x\ny\n")
+    (place / "empty.txt").write_text("")
+    topic = Topic("text", path=str(tmp_path / "a b%c"))
+    found, files = read_new(spark, topic, None)
+    assert len(files) == 2
+    rows = progress.progress_rows(found, "l", "t", F.lit(LOADED).cast("timestamp")).collect()
+    assert [(r.messages, r.end_offset) for r in rows] == [(2, 2)] and rows[0].split in files
+    done = spark.createDataFrame([(f, 0) for f in files], "split STRING, end_offset BIGINT")
+    assert read_new(spark, topic, done)[1] == []
+
+
+def test_offsets_of_a_partitioned_topic(spark):
+    """What a topic with partitions and offsets would give, load after load."""
+    rows = spark.createDataFrame(
+        [(p, o, f"{p}-{o}") for p in (0, 1) for o in range(10)], "_split INT, _offset BIGINT, _message STRING")
+    at = F.lit(LOADED).cast("timestamp")
+    first = progress.progress_rows(rows.filter("_offset < 4 and _split = 0"), "l1", "t", at)
+    assert {r._message for r in progress.unread(rows, first, "t").collect()} == {
+        *(f"0-{o}" for o in range(4, 10)), *(f"1-{o}" for o in range(10))}
+    second = first.unionByName(progress.progress_rows(progress.unread(rows, first, "t").filter("_offset < 7"), "l2", "t", at))
+    ends = {r.split: r.end_offset for r in progress.ends(second, "t").collect()}
+    assert ends == {"0": 7, "1": 7}
+    assert progress.unread(rows, second, "t").count() == 6
+    assert progress.unread(rows, second, "other").count() == 20
+    assert json.loads(progress.starting_offsets(ends, "t", 3)) == {"t": {"0": 7, "1": 7, "2": -2}}
+
+
+def test_messages_of_each_load_add_up(lake, topics, spark):
+    bad = [message(energy="NaN"), "", "{bad"]
+    topics.send([*messages([3, 4]), *messages([4]), *bad])
+    run(lake, topics)
+    topics.send([*messages([2, 4, 5]), *messages([5]), *bad])
+    held = lake.read("stg_telemetry_raw").select(*jobs.STAGING_KEYS["stg_telemetry_raw"]).collect()
+    held = spark.createDataFrame(held, "reading_timestamp TIMESTAMP, device_id STRING")
+    new = read_new(spark, topics.topics["stg_telemetry_raw"], progress.ends(lake.read("load_ledger"), "stg_telemetry_raw"))[0]
+    found = jobs.read("stg_telemetry_raw", new, LOADED)
+    kinds = ("stg_telemetry_raw", found, jobs.STAGING_KEYS["stg_telemetry_raw"], jobs.LATEST_BY["stg_telemetry_raw"])
+    plain = {r.fate: r.messages for r in progress.fates(found, held, *kinds[2:]).collect()}
+    assert plain == {"blank": 1, "rejected": 2, "copy": 12, "staged": 12}
+    late = F.col("reading_timestamp") > F.lit(ts("2025-01-04T05:10:00"))
+    plain_drop = {r.fate: r.messages for r in progress.fates(found, held, *kinds[2:], late).collect()}
+    assert plain_drop == {"blank": 1, "rejected": 2, "lost": 12, "copy": 6, "staged": 6}
+    run(lake, topics, late="drop")
+    counts = lake.read("load_counts").filter("topic = 'stg_telemetry_raw'").orderBy("messages").collect()
+    assert [tuple(r[2:8]) for r in counts] == [(21, 1, 2, 0, 6, 12), (27, 1, 2, 12, 6, 6)]
+    assert all(r.messages == r.blank + r.rejected + r.lost + r.copies + r.staged for r in counts)
+
+
+def test_corrections_rewrite_their_dates_only(lake, topics, tmp_path):
+    topics.send(messages([1, 2, 3]))
+    run(lake, topics)
+    files = lambda: set(lake.read("stg_telemetry_raw").inputFiles())
+    old = files()
+    topics.send(messages([4]))
+    assert run(lake, topics, late="upsert")["stg_telemetry_raw"] == [dt.date(2025, 1, 4)]
+    assert old < files()
+    old = files()
+    topics.send(messages([2], energy=9.0, hours=(5,)))
+    assert run(lake, topics, late="upsert", batch_ts=LOADED + dt.timedelta(days=1))["stg_telemetry_raw"] == [dt.date(2025, 1, 2)]
+    assert len(old - files()) == 1
+    counts = lake.read("load_counts").orderBy("loaded_at").collect()[-1]
+    assert (counts.messages, counts.copies, counts.staged) == (3, 0, 3)
+    assert_marts_current(lake)
 
 
 def test_note_during_a_refresh_is_not_forgotten(lake, topics):
     topics.send(messages([1, 2]))
     run(lake, topics)
-    lake.note_pending([dt.date(2025, 1, 1)])
+    hours = lake.read("device_hourly_metrics").select("device_id", "reading_hour", "reading_date")
+    lake.note_pending(hours.filter("reading_date = DATE '2025-01-01'"))
     notes = lake.pending_notes()
-    lake.note_pending([dt.date(2025, 1, 2)])
+    lake.note_pending(hours.filter("reading_date = DATE '2025-01-02'"))
     lake.clear_pending(notes)
     assert lake.pending_dates() == [dt.date(2025, 1, 2)]
 
