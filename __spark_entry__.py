@@ -13,15 +13,16 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterflow.functions import calendar as C
 from meterflow.functions import rules as R
 from meterflow.functions.keys import surrogate_key
-from meterflow.operators import enrich, quality, rollups, staging
+from meterflow.operators import deltas, enrich, progress, quality, rollups, staging
 from meterflow.operators.dedup import dedup_latest
 from meterflow.plans import reports
+from meterflow.session import kept
 from meterflow.sources import adapters as A
 from meterflow.sources import master
 from meterflow.sources.topics import telemetry_body, to_records
@@ -634,13 +635,12 @@ def _(spark, sf):
 
 
 def _trend(days: str, as_of: str, rows: int | None = 100) -> str:
-    """The newest ``rows`` customer days of the week before ``as_of``, by their place in the listing."""
+    """The newest ``rows`` customer days of the week before ``as_of``."""
     return f"""
         SELECT customer_id, reading_date, daily_total_energy_kwh, active_devices, avg_device_health_pct,
                customer_alert_status
-        FROM (SELECT *, rank() OVER (ORDER BY reading_date DESC, customer_id) AS place
-              FROM {days} WHERE date_diff('day', reading_date, {as_of}) <= 7) AS week
-        {"" if rows is None else f"WHERE place <= {rows}"}"""
+        FROM {days} WHERE reading_date >= {as_of} - INTERVAL 7 DAY
+        {"" if rows is None else f"ORDER BY reading_date DESC, customer_id LIMIT {rows}"}"""
 
 
 @_register("report_daily_trend", _trend("e_cust_daily", O.E_DAY), "daily_total_energy_kwh")
@@ -693,11 +693,9 @@ def _(spark, sf):
 
 @_register(
     "report_hourly_peak",
-    f"""SELECT device_id, hour_of_day, list_avg(energies) AS avg_energy, list_max(energies) AS peak_energy,
-               list_avg(volts) AS avg_voltage
-        FROM (SELECT device_id, hour_of_day, list(total_energy_kwh) AS energies, list(avg_voltage) AS volts
-              FROM e_hourly WHERE date_diff('day', reading_date, {O.E_DAY}) <= 7
-              GROUP BY device_id, hour_of_day) AS hours""",
+    f"""SELECT device_id, hour_of_day, avg(total_energy_kwh) AS avg_energy, max(total_energy_kwh) AS peak_energy,
+               avg(avg_voltage) AS avg_voltage
+        FROM e_hourly WHERE reading_date >= {O.E_DAY} - INTERVAL 7 DAY GROUP BY device_id, hour_of_day""",
     "avg_energy",
     "peak_energy",
     "avg_voltage",
@@ -809,6 +807,101 @@ _browse(
 )
 
 
+# --------------------------------------------------------------------------
+# grains after a change; progress and counts of loads
+
+
+def _after_delta(spark, sf):
+    """The grains built from readings of the first half of each hour, then maintained with all readings."""
+    readings = A.readings_from_events(spark, sf)
+    early = F.minute("reading_timestamp") < 30
+    hours = kept(rollups.device_hourly(readings.filter(early))), kept(rollups.device_hourly(readings))
+    order = deltas.grains()
+    old, rows = {}, {"device_hourly_metrics": hours[0]}
+    for name, grain in order.items():
+        state = kept(deltas.state_of(rows[grain.source], grain))
+        rows[name] = deltas.finished(state, grain)
+        old[name] = state, rows[name]
+    after = deltas.maintained(hours, old, order, lambda rows, _: kept(rows))
+    return {
+        n: deltas.replaced(rows[n], groups, new, list(order[n].keys)) for n, (groups, _, new) in after.items()
+    }, rows
+
+
+@_register("daily_after_delta", "SELECT * FROM e_daily", *DEVICE)
+def _(spark, sf):
+    return _after_delta(spark, sf)[0]["device_daily_metrics"]
+
+
+@_register("customer_monthly_after_delta", "SELECT * FROM e_cust_monthly", *CUSTOMER_MONTH)
+def _(spark, sf):
+    return _after_delta(spark, sf)[0]["customer_monthly_usage_summary"]
+
+
+@_register("mtd_after_delta", "SELECT * FROM e_mtd", *MTD)
+def _(spark, sf):
+    after, before = _after_delta(spark, sf)
+    grain, name = deltas.mtd_grain(E_DAY), "customer_daily_usage_summary"
+    old, new = (d[name].filter(C.in_month_of("reading_date", E_DAY)) for d in (before, after))
+    state, changed = deltas.state_of(old, grain), deltas.changes(old, new)
+    now = deltas.replaced(
+        state, deltas.touched(changed, grain), deltas.updated(state, changed, new, grain), ["customer_id"]
+    )
+    return rollups.with_latest_day(deltas.finished(now, grain), after[name], E_DAY)
+
+
+def _as_partitions(rows):
+    """Readings as messages of a topic with four partitions, numbered by time."""
+    place = Window.partitionBy("_split").orderBy("reading_timestamp", "device_id", "energy_kwh")
+    split = rows.withColumn("_split", F.expr("CAST(substr(device_id, 5) AS INT) % 4"))
+    return split.withColumn("_offset", F.row_number().over(place).cast("bigint") - 1)
+
+
+@_register(
+    "offset_ledger",
+    f"""SELECT load_id, split, min(place) AS start_offset, max(place) + 1 AS end_offset, count(*) AS messages
+        FROM (SELECT CASE WHEN reading_timestamp < {O.CUT} THEN 'first' ELSE 'second' END AS load_id,
+                     CAST(CAST(substr(device_id, 5) AS INTEGER) % 4 AS VARCHAR) AS split,
+                     row_number() OVER (PARTITION BY CAST(substr(device_id, 5) AS INTEGER) % 4
+                                        ORDER BY reading_timestamp, device_id, energy_kwh) - 1 AS place
+              FROM staged) AS m
+        GROUP BY load_id, split""",
+)
+def _(spark, sf):
+    sent = _as_partitions(A.staged_from_events(spark, sf))
+    at = F.lit(A.LOADED_AT).cast("timestamp")
+    first = progress.progress_rows(sent.filter(F.col("reading_timestamp") < F.lit(CUT)), "first", "t", at)
+    second = progress.progress_rows(progress.unread(sent, first, "t"), "second", "t", at)
+    return first.unionByName(second).select("load_id", "split", "start_offset", "end_offset", "messages")
+
+
+@_register(
+    "load_counts",
+    """SELECT 'first' AS load_id, CASE WHEN blank THEN 'blank' WHEN fine THEN 'staged' ELSE 'rejected' END AS fate,
+               count(*) AS messages FROM sent_messages WHERE early GROUP BY 2
+        UNION ALL
+        SELECT 'second', CASE WHEN blank THEN 'blank' WHEN NOT fine THEN 'rejected'
+                              WHEN early THEN 'copy' ELSE 'staged' END, count(*) FROM sent_messages GROUP BY 2
+        UNION ALL
+        SELECT 'second_drop', CASE WHEN blank THEN 'blank' WHEN NOT fine THEN 'rejected'
+                                   WHEN early THEN 'lost' ELSE 'staged' END, count(*) FROM sent_messages GROUP BY 2""",
+)
+def _(spark, sf):
+    """A first load, and a second one that finds the first one's messages again."""
+    read = staging.read_telemetry(A.telemetry_messages(spark, sf), A.LOADED_AT, blanks=True)
+    early = read.filter(F.col("_timestamp") < F.lit(CUT))
+    held = staging.telemetry_rows(early)
+    by, latest = ("reading_timestamp", "device_id"), ("ingested_at", "sent_at")
+    after = F.col("reading_timestamp") > staging.high_water_mark(held, "reading_timestamp").scalar()
+    loads = {
+        "first": progress.fates(early, None, by, latest),
+        "second": progress.fates(read, held, by, latest),
+        "second_drop": progress.fates(read, held, by, latest, after),
+    }
+    rows = [d.select(F.lit(n).alias("load_id"), "fate", "messages") for n, d in loads.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
 # --------------------------------------------------------------------------
 # operations on training text, where that subpackage is there
 

@@ -131,12 +131,16 @@ def customer_daily(daily: DataFrame) -> DataFrame:
     days = daily.groupBy("customer_id", "reading_date").agg(
         *_customer_measures("daily_total_energy_kwh", "active_devices")
     )
+    return finished_customer_day(days).select(*schemas.CUSTOMER_DAILY.names)
+
+
+def finished_customer_day(days: DataFrame) -> DataFrame:
     return days.withColumns(
         {
             "avg_device_health_pct": R.round_average("avg_device_health_pct", 2),
             "customer_alert_status": R.customer_alert_status("total_warnings", "total_readings"),
         }
-    ).select(*schemas.CUSTOMER_DAILY.names)
+    )
 
 
 def customer_monthly(monthly: DataFrame) -> DataFrame:
@@ -145,6 +149,10 @@ def customer_monthly(monthly: DataFrame) -> DataFrame:
         *_customer_measures("monthly_total_energy_kwh", "total_devices"),
         F.avg("active_days").alias("avg_device_active_days"),
     )
+    return finished_customer_month(months).select(*schemas.CUSTOMER_MONTHLY.names)
+
+
+def finished_customer_month(months: DataFrame) -> DataFrame:
     return months.withColumns(
         {
             "year": F.year("reading_month"),
@@ -153,7 +161,7 @@ def customer_monthly(monthly: DataFrame) -> DataFrame:
             "avg_device_health_pct": R.round_average("avg_device_health_pct", 2),
             "customer_alert_status": R.customer_alert_status("total_warnings", "total_readings"),
         }
-    ).select(*schemas.CUSTOMER_MONTHLY.names)
+    )
 
 
 def latest_day(dates: DataFrame, as_of: C.AsOf = None, up_to_as_of: bool = False) -> DataFrame:
@@ -178,7 +186,6 @@ def customer_usage_mtd(
     ``up_to_as_of`` is set. ``dates`` is any frame with the same reading dates
     that is cheaper to scan for the last day than ``daily``.
     """
-    today = C.as_date(as_of)
     month = _month_to_date(daily, as_of, up_to_as_of)
     last = latest_day(daily if dates is None else dates, as_of, up_to_as_of).scalar()
     totals = month.groupBy("customer_id").agg(
@@ -199,6 +206,12 @@ def customer_usage_mtd(
             "latest_day_energy_kwh"
         ),
     )
+    return finished_mtd(totals, as_of).select(*schemas.CUSTOMER_MTD.names)
+
+
+def finished_mtd(totals: DataFrame, as_of: C.AsOf = None) -> DataFrame:
+    """What is worked out from a customer's sums and means of the month."""
+    today = C.as_date(as_of)
     return totals.withColumns(
         {
             "current_month": C.month_start(today),
@@ -211,4 +224,15 @@ def customer_usage_mtd(
             "mtd_health_score_pct": R.health_score("mtd_total_ok", "mtd_total_readings"),
             "mtd_alert_status": R.customer_alert_status("mtd_total_warnings", "mtd_total_readings"),
         }
-    ).select(*schemas.CUSTOMER_MTD.names)
+    )
+
+
+def with_latest_day(mtd: DataFrame, daily: DataFrame, as_of: C.AsOf = None, up_to_as_of: bool = False) -> DataFrame:
+    """Month-to-date rows with the energy of the last day that any customer has data for."""
+    month = _month_to_date(daily, as_of, up_to_as_of)
+    last = latest_day(daily, as_of, up_to_as_of).scalar()
+    energy = month.filter(F.col("reading_date") == last).select(
+        F.col("customer_id").alias("_customer"), F.col("daily_total_energy_kwh").alias("latest_day_energy_kwh")
+    )
+    joined = mtd.join(energy, F.col("customer_id").eqNullSafe(F.col("_customer")), "left")
+    return joined.select(*schemas.CUSTOMER_MTD.names)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # UTC keeps hour and day boundaries the same on every executor; the adaptive
 # settings let Spark size, split and re-plan shuffles from what they really hold.
@@ -40,6 +42,23 @@ def shared_dir(spark: SparkSession, fallback: str) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or fallback
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """The rows, written once to the shared folder and read from there, which cuts their lineage.
+
+    The folder is the cluster's own (``spark.checkpoint.dir``); a local session without one gets a temporary one.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not (spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()):
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="meterflow-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    path = f"{folder.rstrip('/')}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 # One reduce task should get about this much, and one shuffle no more tasks than this:
 # every map task writes a block for each of them.
 REDUCE_BYTES = 512 << 20

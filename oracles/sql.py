@@ -51,6 +51,27 @@ CUSTOMER = """
     CAST(sum(warning_count) AS BIGINT) AS total_warnings,
     CAST(sum(ok_count) AS BIGINT) AS total_ok, """ + rounded("avg(health_score_pct)", 2) + """ AS avg_device_health_pct"""
 
+# Month to date of a customer: output, aggregate.
+_OF_MONTH = {
+    "mtd_total_energy_kwh": "sum(daily_total_energy_kwh)",
+    "mtd_avg_voltage": rounded("avg(avg_voltage)", 2),
+    "mtd_min_voltage": "min(min_voltage)",
+    "mtd_max_voltage": "max(max_voltage)",
+    "mtd_avg_battery_pct": rounded("avg(avg_battery_pct)", 1),
+    "max_active_devices": "max(active_devices)",
+    "mtd_total_readings": "CAST(sum(total_readings) AS BIGINT)",
+    "mtd_total_warnings": "CAST(sum(total_warnings) AS BIGINT)",
+    "mtd_total_ok": "CAST(sum(total_ok) AS BIGINT)",
+    "days_with_data": "count(DISTINCT reading_date)",
+    "avg_daily_energy_kwh": rounded("avg(daily_total_energy_kwh)", 2),
+    "projected_monthly_energy_kwh": rounded("avg(daily_total_energy_kwh) * day(last_day({day}))", 2),
+    "first_reading_date": "min(reading_date)",
+    "last_reading_date": "max(reading_date)",
+    "latest_day_energy_kwh":
+        "sum(daily_total_energy_kwh) FILTER (reading_date = (SELECT max(reading_date) FROM {month}))",
+}
+MONTH_TO_DATE = ", ".join(f"{aggregate} AS {output}" for output, aggregate in _OF_MONTH.items())
+
 READING = """
     'MTR-' || (10000 + user_id) AS device_id, 'CUST-' || (8000 + user_id % 5) AS customer_id,
     ts AS reading_timestamp, value AS energy_kwh, 220::DOUBLE + k * 0.2::DOUBLE AS voltage,
@@ -107,33 +128,14 @@ def _chain(p: str) -> dict[str, str]:
         f"{p}_month": f"""
             SELECT * FROM {p}_cust_daily
             WHERE date_trunc('month', reading_date) = date_trunc('month', {E_DAY if p != "l" else L_DAY})""",
-        # one row: the month's last day that anyone has readings for
-        f"{p}_lastday": f"SELECT reading_date AS final_day FROM {p}_month ORDER BY final_day DESC LIMIT 1",
-        f"{p}_final": f"""
-            SELECT customer_id, sum(daily_total_energy_kwh) AS on_final_day
-            FROM {p}_month SEMI JOIN {p}_lastday ON reading_date = final_day GROUP BY customer_id""",
-        f"{p}_sofar": f"""
-            SELECT customer_id, count(*) AS days, sum(daily_total_energy_kwh) AS energy, sum(avg_voltage) AS volts,
-                   sum(avg_battery_pct) AS battery, list(min_voltage) AS lows, list(max_voltage) AS highs,
-                   list(active_devices) AS devices, sum(total_readings)::BIGINT AS readings,
-                   sum(total_warnings)::BIGINT AS warnings, sum(total_ok)::BIGINT AS ok, list(reading_date) AS dates
-            FROM {p}_month GROUP BY customer_id""",
         f"{p}_mtd": f"""
-            SELECT s.customer_id, make_date(CAST(year({{day}}) AS BIGINT), CAST(month({{day}}) AS BIGINT), 1) AS current_month,
+            SELECT *, CAST(date_trunc('month', {{day}}) AS DATE) AS current_month,
                    CAST(year({{day}}) AS INTEGER) AS year, CAST(month({{day}}) AS INTEGER) AS month,
-                   energy AS mtd_total_energy_kwh, {rounded("volts / days", 2)} AS mtd_avg_voltage,
-                   list_min(lows) AS mtd_min_voltage, list_max(highs) AS mtd_max_voltage,
-                   {rounded("battery / days", 1)} AS mtd_avg_battery_pct, list_max(devices) AS max_active_devices,
-                   readings AS mtd_total_readings, warnings AS mtd_total_warnings, ok AS mtd_total_ok,
-                   len(list_distinct(dates))::BIGINT AS days_with_data, {rounded("energy / days", 2)} AS avg_daily_energy_kwh,
-                   {rounded("energy / days * day(last_day({day}))", 2)} AS projected_monthly_energy_kwh,
-                   list_min(dates) AS first_reading_date, list_max(dates) AS last_reading_date,
-                   f.on_final_day AS latest_day_energy_kwh,
-                   {HEALTH.format(ok="ok", n="readings")} AS mtd_health_score_pct,
-                   {CUSTOMER_STATE.format(w="warnings", n="readings")} AS mtd_alert_status
-            FROM {p}_sofar AS s LEFT JOIN {p}_final AS f ON f.customer_id = s.customer_id""".replace(
+                   {HEALTH.format(ok="mtd_total_ok", n="mtd_total_readings")} AS mtd_health_score_pct,
+                   {CUSTOMER_STATE.format(w="mtd_total_warnings", n="mtd_total_readings")} AS mtd_alert_status
+            FROM (SELECT customer_id, {MONTH_TO_DATE} FROM {p}_month GROUP BY customer_id) AS m""".replace(
             "{day}", E_DAY if p != "l" else L_DAY
-        ),
+        ).replace("{month}", f"{p}_month"),
     }
 
 
@@ -186,6 +188,10 @@ CTES: dict[str, str] = {
     # messages the staging step accepts, straight from the fields they were made of
     "accepted": f"""
         SELECT * FROM staged WHERE battery_pct IN (66, 67) OR battery_pct > 79""",
+    # every message with what becomes of it, and whether the first load has it
+    "sent_messages": f"""
+        SELECT *, battery_pct IN (61, 68) AS blank, battery_pct IN (66, 67) OR battery_pct > 79 AS fine,
+               reading_timestamp < {CUT} AS early FROM staged""",
     "m_readings": "SELECT * EXCLUDE (telemetry_id, event_type) FROM accepted",
     "device_master": """
         SELECT 'MTR-' || (10000 + c_custkey) AS device_id, 'CUST-' || (8000 + c_nationkey % 7) AS customer_id,
