@@ -822,7 +822,7 @@ def _after_delta(spark, sf):
         state = kept(deltas.state_of(rows[grain.source], grain))
         rows[name] = deltas.finished(state, grain)
         old[name] = state, rows[name]
-    after = deltas.maintained(hours, old, order, lambda rows, _: kept(rows))
+    after = deltas.maintained(kept(deltas.changes(*hours)), hours[1], old, order, lambda rows, _: kept(rows))
     return {
         n: deltas.replaced(rows[n], groups, new, list(order[n].keys)) for n, (groups, _, new) in after.items()
     }, rows

@@ -278,24 +278,23 @@ def replaced(held: DataFrame, gone: DataFrame, new: DataFrame, keys: Sequence[st
 
 
 def maintained(
-    hours: tuple[DataFrame, DataFrame],
+    changed: DataFrame,
+    hours: DataFrame,
     old: Mapping[str, tuple[DataFrame, DataFrame]],
     order: Mapping[str, Grain],
     keep: Callable[[DataFrame, str], DataFrame] = lambda df, name: df,
 ) -> dict[str, tuple[DataFrame, DataFrame, DataFrame]]:
     """Per grain the keys touched, their states and their rows, after device hours changed.
 
-    ``hours`` are all device hours as they were and as they are, ``old`` the states and rows of each
-    grain as they were. Only rows that differ between the hours go any further.
+    ``changed`` are device hours that went and came (:func:`changes`), ``hours`` all of the touched periods as they
+    are now, ``old`` the states and rows of each grain as they were, for the periods touched there and above.
     """
-    now: dict[str, DataFrame] = {"device_hourly_metrics": hours[1]}
-    moved = {"device_hourly_metrics": keep(changes(*hours), "hours")}
-    out = {}
+    now, moved, out = {"device_hourly_metrics": hours}, {"device_hourly_metrics": changed}, {}
     for name, grain in order.items():
         state, rows = old[name]
-        changed = moved[grain.source]
-        groups = keep(touched(changed, grain), f"{name}-touched")
-        new_state = keep(updated(state, changed, now[grain.source], grain, lambda d, n: keep(d, f"{name}-{n}")), f"{name}-state")
+        change = moved[grain.source]
+        groups = keep(touched(change, grain), f"{name}-touched")
+        new_state = keep(updated(state, change, now[grain.source], grain, lambda d, n: keep(d, f"{name}-{n}")), f"{name}-state")
         new_rows = keep(finished(new_state, grain), f"{name}-rows")
         before = of_groups(rows, groups, _plain(*grain.keys))
         moved[name] = keep(changes(before.select(*grain.columns), new_rows), f"{name}-changes")

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from meterflow import schemas
 from meterflow.functions import calendar as C
-from meterflow.operators import progress, rollups, staging
+from meterflow.operators import deltas, progress, rollups, staging
 from meterflow.operators.dedup import dedup_latest
 from meterflow.operators.lookup import estimated_bytes
 from meterflow.session import fitted_to_input
@@ -302,37 +302,48 @@ def _months(dates: Sequence[dt.date] | None) -> list[dt.date] | None:
 # A mart by date is rebuilt in slices of so many input bytes, so that each slice's
 # shuffle gets as many tasks as it needs.
 SLICE_BYTES = 8 << 40
-BY_DATE = {
-    "device_hourly_metrics": lambda rows: rollups.device_hourly(rows, unique=True),
-    "device_daily_metrics": rollups.device_daily,
-    "customer_daily_usage_summary": rollups.customer_daily,
-}
 
 
 def build_mart(lake: Lake, name: str, dates: Sequence[dt.date] | None, as_of: C.AsOf = None) -> None:
-    """Build a mart from its input table: the given dates (or their months), or all of it."""
+    """Build a mart from its input table: the given dates (or their months), or all of it.
+
+    Grains above the hour are built by way of their state, which later changes are added to.
+    """
     source = MART_INPUT[name]
-    if dates is None and name in BY_DATE:
-        slices = lake.date_slices(source, SLICE_BYTES)
+    if name == "customer_usage_mtd_summary":
+        lake.replace_dates(rollups.customer_usage_mtd(lake.read(source), as_of), name, None)
+        return
+    if name == "device_hourly_metrics":
+        _build(lake, name, source, dates, lambda rows: rollups.device_hourly(rows, unique=True))
+        return
+    grain, state = deltas.grains()[name], f"{name}_state"
+    _build(lake, state, source, dates, lambda rows: deltas.state_of(rows, grain))
+    _build(lake, name, state, dates, lambda rows: deltas.finished(rows, grain))
+
+
+def _build(lake: Lake, name: str, source: str, dates: Sequence[dt.date] | None, step: Callable[[DataFrame], DataFrame]) -> None:
+    """Replace a table's dates or months by what ``step`` makes of those of its source."""
+    by_month = TABLES[name].date_col == "reading_month"
+    if dates is None:
+        # Whole months of days would have to stay together.
+        slices = [] if by_month else lake.date_slices(source, SLICE_BYTES)
         if len(slices) > 1:
-            lake.write_in_slices((BY_DATE[name](lake.read_dates(source, days)) for days in slices), name)
-            return
-    months = _months(dates)
-    if name in BY_DATE:
-        rows = BY_DATE[name](lake.read_dates(source, dates))
-    elif name == "device_monthly_metrics":
-        in_months = None
-        if months is not None:
-            in_months = C.month_start(F.col("reading_date")).isin(months)
-            # the plain range lets the scan list only the partitions it needs
-            in_months &= F.col("reading_date").between(months[0], _month_end(months[-1]))
-        rows = rollups.device_monthly(lake.read(source, in_months))
-    elif name == "customer_monthly_usage_summary":
-        rows = rollups.customer_monthly(lake.read_dates(source, months))
-    else:
-        rows = rollups.customer_usage_mtd(lake.read(source), as_of)
-    monthly = TABLES[name].date_col == "reading_month"
-    lake.replace_dates(rows, name, months if monthly else dates)
+            lake.write_in_slices((step(lake.read_dates(source, days)) for days in slices), name)
+        else:
+            lake.write_full(step(lake.read(source)), name)
+        return
+    parts = _months(dates) if by_month else dates
+    rows = _read_months(lake, source, parts) if by_month else lake.read_dates(source, parts)
+    lake.replace_dates(step(rows), name, parts)
+
+
+def _read_months(lake: Lake, name: str, months: Sequence[dt.date]) -> DataFrame:
+    """The rows of whole months, of a table by month or by day."""
+    if TABLES[name].date_col == "reading_month":
+        return lake.read_dates(name, months)
+    in_months = C.month_start(F.col("reading_date")).isin(list(months))
+    # the plain range lets the scan list only the partitions it needs
+    return lake.read(name, in_months & F.col("reading_date").between(months[0], _month_end(months[-1])))
 
 
 def _month_end(first: dt.date) -> dt.date:
@@ -349,13 +360,21 @@ def _input_bytes(lake: Lake, name: str, dates: Sequence[dt.date] | None) -> int
 def refresh_marts(lake: Lake, as_of: C.AsOf = None, models: Iterable[str] = tuple(MART_INPUT)) -> None:
     """Bring marts up to date with staging.
 
-    Only the dates that changed are rebuilt, each from all its readings; every
-    later grain follows. Dates stay on the list until all marts have them.
+    The device hours that changed are worked out from their readings; every coarser grain takes what
+    changed below it (:func:`maintain_marts`). Dates that were noted as a whole, as
+    after a refresh cut short or before a first build, are rebuilt from all their readings instead.
+    Notes stay until all marts have what they say.
     """
     notes, models = lake.pending_notes(), list(models)
     dates = lake.pending_dates(notes)
+    tables = [*MART_INPUT, *(f"{n}_state" for n in deltas.grains())]
+    if set(models) == set(MART_INPUT) and dates and all(lake.exists(t) for t in tables):
+        if lake.pending(notes).filter("device_id is null").isEmpty():
+            with fitted_to_input(lake.spark, lake.size("stg_telemetry_raw", dates)):
+                maintain_marts(lake, notes, dates, as_of)
+            return
     for name in models:
-        whole = dates is None or not lake.exists(name)
+        whole = dates is None or not lake.exists(name) or name in deltas.grains() and not lake.exists(f"{name}_state")
         if whole or dates or TABLES[name].date_col is None:
             wanted = None if whole else dates
             with fitted_to_input(lake.spark, _input_bytes(lake, name, wanted)):
@@ -364,6 +383,40 @@ def refresh_marts(lake: Lake, as_of: C.AsOf = None, models: Iterable[str] = tupl
         lake.clear_pending(notes)
 
 
+def maintain_marts(lake: Lake, notes: Sequence[str], dates: Sequence[dt.date], as_of: C.AsOf = None) -> None:
+    """Bring the device hours named in ``notes``, and what follows from them, up to date.
+
+    Everything is worked out before a table changes. As adding changes twice would be wrong, the dates are
+    noted as a whole before the first table changes: if this is cut short they are rebuilt.
+    """
+    load, months = uuid.uuid4().hex, _months(dates)
+
+    def keep(rows: DataFrame, step: str) -> DataFrame:
+        return lake.write_work(rows, load, "marts", step)
+
+    touched = keep(lake.pending(notes).select("device_id", "reading_hour").distinct(), "touched")
+    keys = {c: F.col(c) for c in ("device_id", "reading_hour")}
+    hour = {**keys, "reading_hour": F.date_trunc("hour", "reading_timestamp")}
+    readings = deltas.of_groups(lake.read_dates("stg_telemetry_raw", dates), touched, hour)
+    held = lake.read_dates("device_hourly_metrics", dates)
+    new = keep(rollups.device_hourly(readings, unique=True), "hours")
+    changed = keep(deltas.changes(deltas.of_groups(held, touched, keys), new), "hour-changes")
+    hours = deltas.replaced(held, touched, new, list(keys))
+    order = deltas.grains()
+    parts = {n: months if TABLES[n].date_col == "reading_month" else dates for n in order}
+    old = {n: (lake.read_dates(f"{n}_state", parts[n]), _read_months(lake, n, months)) for n in order}
+    after = deltas.maintained(changed, hours, old, order, keep)
+    notes = [*notes, lake.note_pending(dates)]
+    lake.replace_dates(hours, "device_hourly_metrics", dates)
+    for name, (groups, state, rows) in after.items():
+        by = list(order[name].keys)
+        for table, now in ((f"{name}_state", state), (name, rows)):
+            lake.replace_dates(deltas.replaced(lake.read_dates(table, parts[name]), groups, now, by), table, parts[name])
+    build_mart(lake, "customer_usage_mtd_summary", None, as_of)
+    lake.clear_pending(notes)
+    lake.clear_work(load)
+
+
 def run(
     lake: Lake,
     topics: Mapping[str, Topic],

@@ -15,7 +15,7 @@ _TYPES = {
 
 def _schema(columns: str) -> T.StructType:
     """Columns as "name TYPE, name TYPE"; needs no running session."""
-    pairs = (c.split(" ", 1) for c in re.split(r",\s+", columns))
+    pairs = (c.split(" ", 1) for c in re.split(r",\s*(?=[a-z_])", columns))
     return T.StructType([T.StructField(name, _TYPES[dtype]) for name, dtype in pairs])
 
 
@@ -50,7 +50,7 @@ LOAD_COUNTS = _schema(
     " copies BIGINT, staged BIGINT, loaded_at TIMESTAMP"
 )
 
-# Device hours whose marts are to be brought up to date.
+# Device hours whose marts are to be brought up to date; without a device the whole date, without a date everything.
 PENDING = _schema("device_id STRING, reading_hour TIMESTAMP, reading_date DATE, note STRING")
 
 STG_TELEMETRY = _schema(
@@ -113,6 +113,34 @@ CUSTOMER_MTD = _schema(
     " mtd_alert_status STRING"
 )
 
+# States of the grains: what their means and totals are made of, and how many finer rows there are.
+_DEVICE_STATE = (
+    " sum_total_energy_kwh DOUBLE, sum_reading_count BIGINT, sum_warning_count BIGINT, sum_ok_count BIGINT,"
+    " sum_avg_voltage DOUBLE, sum_avg_battery_pct DOUBLE, n_total_energy_kwh BIGINT, n_reading_count BIGINT,"
+    " n_warning_count BIGINT, n_ok_count BIGINT, n_avg_voltage BIGINT, n_avg_battery_pct BIGINT,"
+    " min_voltage DOUBLE, max_voltage DOUBLE, _rows BIGINT"
+)
+
+
+def _customer_state(energy: str, more: str = "") -> str:
+    sums = f"sum_{energy} DOUBLE, sum_total_readings BIGINT, sum_total_warnings BIGINT, sum_total_ok BIGINT,"
+    means = " sum_avg_voltage DOUBLE, sum_avg_battery_pct DOUBLE, sum_avg_device_health_pct DOUBLE,"
+    counted = [energy, "total_readings", "total_warnings", "total_ok", "avg_voltage", "avg_battery_pct"]
+    counted += ["avg_device_health_pct", *([more] if more else [])]
+    extra = f" sum_{more} BIGINT," if more else ""
+    counts = "".join(f" n_{c} BIGINT," for c in counted)
+    return sums + means + extra + counts + " min_voltage DOUBLE, max_voltage DOUBLE, _rows BIGINT"
+
+
+DEVICE_DAILY_STATE = _schema("device_id STRING, customer_id STRING, reading_date DATE," + _DEVICE_STATE)
+DEVICE_MONTHLY_STATE = _schema("device_id STRING, customer_id STRING, reading_month DATE," + _DEVICE_STATE)
+CUSTOMER_DAILY_STATE = _schema(
+    "customer_id STRING, reading_date DATE, " + _customer_state("daily_total_energy_kwh")
+)
+CUSTOMER_MONTHLY_STATE = _schema(
+    "customer_id STRING, reading_month DATE, " + _customer_state("monthly_total_energy_kwh", "avg_device_active_days")
+)
+
 CUSTOMER_MASTER = _schema(
     "customer_id STRING, customer_name STRING, email STRING, phone STRING, address STRING,"
     " city STRING, state STRING, postal_code STRING, account_status STRING,"

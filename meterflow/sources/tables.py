@@ -66,6 +66,14 @@ TABLES = {
         MARTS, schemas.CUSTOMER_MONTHLY, "reading_month", id_cols=("customer_id",)
     ),
     "customer_usage_mtd_summary": Table(MARTS, schemas.CUSTOMER_MTD, id_cols=("customer_id",)),
+    "device_daily_metrics_state": Table(MARTS, schemas.DEVICE_DAILY_STATE, "reading_date", id_cols=("device_id",)),
+    "device_monthly_metrics_state": Table(MARTS, schemas.DEVICE_MONTHLY_STATE, "reading_month", id_cols=("device_id",)),
+    "customer_daily_usage_summary_state": Table(
+        MARTS, schemas.CUSTOMER_DAILY_STATE, "reading_date", id_cols=("customer_id",)
+    ),
+    "customer_monthly_usage_summary_state": Table(
+        MARTS, schemas.CUSTOMER_MONTHLY_STATE, "reading_month", id_cols=("customer_id",)
+    ),
 }
 
 
@@ -176,7 +184,10 @@ class Lake:
         return sorted(r["partition"].split("=", 1)[1] for r in rows)
 
     def pending(self, notes: Sequence[str] | None = None) -> DataFrame:
-        """Device hours whose readings changed but whose marts may be old; a row of nulls stands for all."""
+        """Device hours whose readings changed but whose marts may be old.
+
+        A row without a device stands for its whole date, one without a date for everything.
+        """
         notes = self.pending_notes() if notes is None else notes
         return self.read("pending_changes", F.col("note").isin(list(notes)))
 
@@ -192,11 +203,13 @@ class Lake:
         found = {r[0] for r in self.pending(notes).select("reading_date").distinct().collect()}
         return None if None in found else sorted(found)
 
-    def note_pending(self, changed: DataFrame | None) -> str:
-        """Add a note of changed device hours (None: of everything); those of other loads stay."""
+    def note_pending(self, changed: DataFrame | Sequence[dt.date] | None) -> str:
+        """Add a note of changed device hours, or of whole dates (None: of everything); those of other loads stay."""
         schema, note = TABLES["pending_changes"].schema, uuid.uuid4().hex
-        if changed is None:
-            changed = self.spark.createDataFrame([(None, None, None)], "device_id STRING, reading_hour TIMESTAMP, reading_date DATE")
+        if not isinstance(changed, DataFrame):
+            dates = [None] if changed is None else changed
+            columns = "device_id STRING, reading_hour TIMESTAMP, reading_date DATE"
+            changed = self.spark.createDataFrame([(None, None, d) for d in dates], columns)
         rows = changed.withColumn("note", F.lit(note)).select(*schema.names)
         self.append(rows, "pending_changes")
         return note

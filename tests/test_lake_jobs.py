@@ -537,6 +537,46 @@ def test_note_during_a_refresh_is_not_forgotten(lake, topics):
     assert lake.pending_dates() == [dt.date(2025, 1, 2)]
 
 
+def test_late_reading_is_added_to_the_marts(lake, topics, monkeypatch):
+    """One late reading: no grain is built anew, one group of each changes."""
+    topics.send(messages(range(1, 6)))
+    run(lake, topics)
+    before = {n: set(rows_of(lake.read(n))) for n in jobs.MART_INPUT}
+    built = []
+    build = jobs.build_mart
+    monkeypatch.setattr(jobs, "build_mart", lambda lake, name, *a: (built.append(name), build(lake, name, *a)))
+    topics.send([message(device="MTR-2", customer="CUST-0", at="2025-01-03T01:40:00Z", energy=4.0, volts=1.0)])
+    assert run(lake, topics)["stg_telemetry_raw"] == [dt.date(2025, 1, 3)]
+    assert built == ["customer_usage_mtd_summary"]
+    after = {n: set(rows_of(lake.read(n))) for n in jobs.MART_INPUT}
+    assert {n: (len(before[n] - after[n]), len(after[n] - before[n])) for n in before} == dict.fromkeys(before, (1, 1))
+    assert_marts_current(lake)
+    assert lake.pending_dates() == []
+
+
+def test_maintenance_cut_short_is_rebuilt(lake, topics, monkeypatch):
+    """Changes must not be added twice: after half a maintenance the dates are built from their readings."""
+    topics.send(messages([1, 2]))
+    run(lake, topics)
+    topics.send(messages([2], hours=(7,)))
+    replace, done = Lake.replace_dates, []
+
+    def stops(self, df, name, dates):
+        if len(done) == 3:
+            raise RuntimeError("lost")
+        done.append(name)
+        replace(self, df, name, dates)
+
+    with monkeypatch.context() as m:
+        m.setattr(Lake, "replace_dates", stops)
+        with pytest.raises(RuntimeError):
+            run(lake, topics)
+    assert len(lake.pending_notes()) == 2
+    run(lake, topics)
+    assert_marts_current(lake)
+    assert lake.pending_dates() == []
+
+
 def test_relational_master_is_not_written(spark):
     with pytest.raises(ValueError, match="path"):
         add_missing(spark, Master(url="jdbc:none"), "device_master", seed_devices(spark, LOADED))
