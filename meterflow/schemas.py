@@ -59,6 +59,9 @@ STG_TELEMETRY = _schema(
     " sent_at TIMESTAMP"
 )
 
+# Readings that came behind their stream's watermark, by the batch that met them.
+LATE_READINGS = T.StructType([*STG_TELEMETRY.fields, T.StructField("batch", T.LongType())])
+
 STG_HEALTH_LOGS = _schema(
     "log_id STRING, log_timestamp TIMESTAMP, log_level STRING, device_id STRING, customer_id STRING,"
     " health_event STRING, health_status STRING, battery_pct INT, voltage_v DOUBLE,"

@@ -54,6 +54,9 @@ TABLES = {
     # Partitioned by note rather than by date, so that a note goes with its partition.
     "pending_changes": Table(STAGING, schemas.PENDING, "note"),
     "rejected_messages": Table(STAGING, schemas.REJECTS, "reject_date", "rejected_at", ("topic",)),
+    "late_readings": Table(
+        STAGING, schemas.LATE_READINGS, "reading_date", "reading_timestamp", ("batch", "device_id", "reading_timestamp")
+    ),
     "device_hourly_metrics": Table(
         MARTS, schemas.DEVICE_HOURLY, "reading_date", id_cols=("device_id", "reading_hour")
     ),
