@@ -22,17 +22,21 @@ HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 
 # Weak parts: what each is alone says little. Values of any length; nothing is read
 # twice, as quantifiers are possessive and look-aheads start at the start of a run only.
-IDENTIFIER = r"""(?i)(?<![a-z0-9])(?:user(?:_?name)?|login|client_?id|access_?key_?id|account)["']?\x20{0,4}[:=]\x20{0,4}["']?[a-z0-9@._-]{3,}+"""
-ENDPOINT = r"""(?i)(?<![a-z0-9])(?:(?:https?|jdbc:[a-z]{2,12}|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]{4,}+|(?:host|endpoint|server)["']?\x20{0,4}[:=]\x20{0,4}["']?[a-z0-9.-]{4,}+)"""
+IDENTIFIER = r"""(?i)(?<![a-z0-9])(?:user(?:_?name)?|login|client_?id|access_?key_?id|account)["']?\x20*+[:=]\x20*+["']?[a-z0-9@._-]{3,}+"""
+ENDPOINT = r"""(?i)(?<![a-z0-9])(?:(?:https?|jdbc:[a-z]{2,}+|postgres(?:ql)?|mysql|mongodb|redis|amqp|s3)://[^\s"'<>]{4,}+|(?:host|endpoint|server)["']?\x20*+[:=]\x20*+["']?[a-z0-9.-]{4,}+)"""
 OPAQUE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])[A-Za-z0-9+/_-]{20,}+={0,2}+(?![A-Za-z0-9+/_=-])"
 
 # Kinds in the order of listing; part: what a finding can complete.
 KINDS = ("assign", "access", "hex", "identifier", "endpoint", "opaque")
 PARTS = {"assign": "secret", "hex": "secret", "opaque": "secret", "access": "id", "identifier": "id", "endpoint": "place"}
+STRONG = ("assign", "access", "hex")
 # What has to stand near a weak finding.
 COMPLETES = {"identifier": ("secret",), "endpoint": ("id", "secret"), "opaque": ("id",)}
 SCOPE = 400  # code points between parts of one credential
 
+# Matches whose places are summed up together: appending to an array copies it.
+TOGETHER = 256
+
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
@@ -51,16 +55,36 @@ def spans_of(text: Column, pattern: str, kind: str, value_chars: Column | None =
 
     def step(state: Column, x: Column) -> Column:
         start = state["at"] + x["gap"]
-        span = F.struct(
-            start.alias("start"),
+        place = F.struct(start.alias("start"), (start + x["size"]).alias("end"))
+        return F.struct((start + x["size"]).alias("at"), F.concat(state["places"], F.array(place)).alias("places"))
+
+    # Places from the start of each run of matches first, then the starts of the runs.
+    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("places"))
+    runs = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(found) - 1) / TOGETHER).cast("int")),
+        lambda r: F.aggregate(F.slice(steps, r * TOGETHER + 1, TOGETHER), empty, step),
+    )
+    begins = F.aggregate(
+        runs,
+        F.array(F.lit(0)),
+        lambda state, run: F.concat(state, F.array(F.element_at(state, -1) + run["at"])),
+    )
+
+    def span(place: Column, begin: Column) -> Column:
+        return F.struct(
+            (begin + place["start"]).alias("start"),
             F.lit(KINDS.index(kind)).alias("rank"),
-            (start + x["size"]).alias("end"),
+            (begin + place["end"]).alias("end"),
             F.lit(kind).alias("kind"),
         )
-        return F.struct((start + x["size"]).alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
-    spans = F.aggregate(steps, empty, step, lambda state: state["spans"])
+    spans = F.flatten(
+        F.zip_with(
+            runs,
+            F.slice(begins, F.lit(1), F.size(runs)),
+            lambda run, begin: F.transform(run["places"], lambda place: span(place, begin)),
+        )
+    )
     if value_chars is not None:
         enough = F.zip_with(
             spans, value_chars, lambda span, chars: F.struct(span.alias("span"), chars.alias("chars"))
@@ -89,6 +113,8 @@ def weak_spans(text: Column) -> Column:
 def linked_parts(parts: DataFrame, key: list[str], scope: int = SCOPE) -> DataFrame:
     """Weak parts of (key, span) rows that have what completes them within ``scope`` code points.
 
+    Those that overlap a strong finding are left out.
+
     A part's partner of another sort is the nearest one before or after it by place;
     one sorted pass in each direction finds both.
     """
@@ -109,7 +135,14 @@ def linked_parts(parts: DataFrame, key: list[str], scope: int = SCOPE) -> DataFr
         for part in needed:
             has = has & F.col(f"near_{part}")
         complete = complete | has
-    return rows.filter(complete).select(*key, "span")
+    # A strong finding that starts no later and ends inside, or that starts inside.
+    strong = F.col("span.kind").isin(*STRONG)
+    upto = Window.partitionBy(*key).orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    on = Window.partitionBy(*key).orderBy("start").rangeBetween(0, Window.unboundedFollowing)
+    covered = F.max(F.when(strong, F.col("end"))).over(upto) > F.col("start")
+    meets = F.min(F.when(strong, F.col("start"))).over(on) < F.col("end")
+    rows = rows.withColumn("free", ~F.coalesce(covered, F.lit(False)) & ~F.coalesce(meets, F.lit(False)))
+    return rows.filter(complete & F.col("free")).select(*key, "span")
 
 
 def _part(kind: Column) -> Column:
@@ -149,11 +182,7 @@ def scan_secrets(documents: DataFrame, keep: list[str] | None = None, scope: int
     plain = scanned.filter(F.size("weak") == 0).select("row", "strong", F.array().cast(SPAN).alias("linked"))
     joined = scanned.filter(F.size("weak") > 0).join(linked, ["k1", "k2"], "left")
     found = F.coalesce(F.col("found"), F.array().cast(SPAN))
-    free = F.filter(
-        found,
-        lambda w: ~F.exists("strong", lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])),
-    )
-    return plain.unionByName(joined.select("row", "strong", free.alias("linked")))
+    return plain.unionByName(joined.select("row", "strong", found.alias("linked")))
 
 
 def listing(spans: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -35,6 +36,10 @@ _BLOCKS = frozenset(
 _FENCE = frozenset("article aside blockquote body div footer header li main nav section table td th".split())
 
 
+# Elements nest this deep at most; what is below stands side by side in the last one, as in browsers at their limit.
+DEEPEST = 100
+
+
 @dataclass(slots=True)
 class Element:
     name: str
@@ -46,12 +51,29 @@ def parse(html: str) -> Element:
     """Tree of a page; open elements end where their parents do."""
     root = Element("#page")
     stack = [root]
+    is_open: Counter[str] = Counter()
     at = 0
 
+    def cut(depth: int) -> None:
+        for ended in stack[depth:]:
+            is_open[ended.name] -= 1
+        if depth >= DEEPEST:
+            # The end of a block among its siblings.
+            stack[depth].children.append(Element(stack[depth].name))
+        del stack[depth:]
+
+    def start(element: Element) -> None:
+        if len(stack) >= DEEPEST:
+            element = Element(element.name, element.marks, stack[-1].children)
+        is_open[element.name] += 1
+        stack.append(element)
+
     def close(names: set[str] | frozenset[str], fence: set[str] | frozenset[str]) -> None:
+        if not any(is_open[n] for n in names):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             if stack[depth].name in names:
-                del stack[depth:]
+                cut(depth)
                 return
             if stack[depth].name in fence:
                 return
@@ -68,10 +90,8 @@ def parse(html: str) -> Element:
             continue
         name = match["name"].lower()
         if match["close"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    del stack[depth:]
-                    break
+            if is_open[name]:
+                cut(max(depth for depth in range(len(stack)) if stack[depth].name == name))
             continue
         if name in _BLOCKS:
             close({"p"}, _FENCE)
@@ -87,10 +107,10 @@ def parse(html: str) -> Element:
             end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
             at = end.end() if end else len(html)
         elif name not in VOID and not rest.endswith("/"):
-            stack.append(element)
+            start(element)
         elif name not in VOID and name in _BLOCKS | INLINE | _FENCE:
             # A slash at the end of a tag that isn't void has no meaning.
-            stack.append(element)
+            start(element)
 
 
 def blocks(element: Element, skipped) -> list[str]:

@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import struct
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -112,14 +113,52 @@ def test_repeat_words_of_many_distinct_words():
     assert fertility.repeat_words(ids) == len(covered)
 
 
-def test_fertility_bands(spark, shared):
-    clean = prose(3, 150)
-    symbols = " ".join(w + "###" for w in prose(4, 150).split())
-    docs = [(1, clean, "en"), (2, symbols, "en"), (3, clean, None), (4, symbols, "zz"), (5, "слово и дело " + prose(5, 40), "ru")]
-    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
-    got = {r[0]: r[1] for r in fertility.rate_documents(df).select("row.doc_id", "kept").collect()}
-    assert got == {1: True, 2: False, 3: True, 4: False, 5: True}
+ENGLISH = (
+    "the people of this country have always known that good government depends on honest work and open public"
+    " discussion so every question about money power or war should reach them before any decision has been made and"
+    " while their answer can still change what will happen next year in their schools fields factories and homes"
+    " because nobody else can say with equal right which burdens are fair or how much risk seems worth taking today"
+)
+
+
+def fertility_texts():
+    """Texts that one measure alone speaks against, by that measure."""
+    draw = random.Random(6)
+    few = " ".join(draw.choice(["war", "tree", "moon", "hand", "road", "sea"]) for _ in range(150))
+    letters = " ".join("".join(draw.choices("bcdfghjklmnpqrstvwxz", k=6)) for _ in range(90))
+    rare = "".join(w + (" \U00010348\U00010349\U00010340" if i == 8 else "") + " " for i, w in enumerate(ENGLISH.split()))
+    return {"token_entropy": few, "chars_per_token": letters, "fallback_share": rare}
+
+
+def test_each_measure_rejects_alone(spark, shared):
+    tool = fertility.meter(vocabularies.path(fertility.RANKS), vocabularies.path(fertility.PIECES))
+    for measure, text in fertility_texts().items():
+        assert fertility.failures(tool.measure([text])[0], fertility.BANDS["en"]) == [measure]
+    texts = [ENGLISH, *fertility_texts().values(), ENGLISH + " #*$%&|<> " * 40]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    rows += [(10, ENGLISH, None), (11, ENGLISH, "zz"), (12, "слово и дело " + prose(5, 40), "ru"), (13, "漢字かな交じり文 " * 9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r[0]: (r[1], r[2]) for r in fertility.rate_documents(df).select("row.doc_id", "base_failed", "kept").collect()}
+    assert {i: kept for i, (failed, kept) in got.items() if not failed} == {
+        0: True, 1: False, 2: False, 3: False, 10: True, 11: True, 12: True}
     assert fertility.script("слово и дело") == "CYRILLIC" and fertility.script("123") == ""
+    assert fertility.script("漢字の") == "CJK"
+
+
+def test_words_with_blanks_beyond_ascii(spark, shared):
+    """No-break and wide spaces stand inside words; no mixture of them ends a task."""
+    blanks = ["\u00a0", "\u2003", "\u3000", "\u0085", "\u2028", "\x1c", "\u00a0\u00a0\u00a0", "\u3000\u00a0"]
+    draw = random.Random(3)
+    texts = [
+        " ".join(draw.choice(blanks) * draw.randint(0, 4) + w + draw.choice(blanks) * draw.randint(0, 4) for w in ENGLISH.split()[:40])
+        + " " + draw.choice(blanks) * n + " end"
+        for n in range(200)
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r[0]: tuple(r[1:]) for r in fertility.rate_documents(df).select("row.doc_id", "n_words", "n_tokens").collect()}
+    encoding = vocabularies.rank_encoding(vocabularies.path(fertility.RANKS))
+    words = {i: WORD.findall(t) for i, t in enumerate(texts)}
+    assert got == {i: (len(ws), sum(len(encoding.encode_ordinary(" " + w)) for w in ws)) for i, ws in words.items()}
 
 
 def test_tokens_of_words_as_the_library_has_them():
@@ -492,6 +531,74 @@ def base_spans(text):
     return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(spans))
 
 
+def test_text_full_of_matches(spark, shared):
+    """Tens of thousands of findings in one text cost in proportion to them."""
+    n = 20_000
+    text = " ".join(f"{i:032x}" for i in range(n)) + " login = alice token: abcdefgh12345678"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.monotonic()
+    row = credentials.scan_secrets(df).select("strong", "linked").first()
+    assert time.monotonic() - began < 60
+    hexes = [(s.start, s.end) for s in row.strong if s.kind == "hex"]
+    assert hexes == [(33 * i, 33 * i + 32) for i in range(n)]
+    assert [s.kind for s in row.strong][-1] == "assign" and [s.kind for s in row.linked] == ["identifier"]
+
+
+def test_places_over_runs_of_matches(spark, shared):
+    """The places of matches beyond one run are those of a plain search."""
+    draw = random.Random(8)
+    text = "".join("é" * draw.randint(0, 9) + " " + "".join(draw.choices("0123456789abcdef", k=draw.randint(20, 50))) for _ in range(1500))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = [(s.start, s.end) for s in credentials.scan_secrets(df).first()["strong"] if s.kind == "hex"]
+    assert got == [m.span() for m in re.finditer(r"[0-9a-f]{32,}", text)] and len(got) > 2 * credentials.TOGETHER
+
+
+def test_links_equal_a_plain_interval_join(spark, shared):
+    """Weak parts over many built texts, against every pair of parts."""
+    draw = random.Random(9)
+    pieces = [
+        "login = user{}", "client_id:  abc{}", "https://host{}.example/path", "server=db{}.local",
+        "Ab3{}" + "xY9" * 8, "{:032x}", "password: geheim{}1", "AKIAABCDEFGHIJKL{}",
+    ]
+    texts = []
+    for _ in range(400):
+        parts = [draw.choice(pieces).format(draw.randint(100, 999)) + " " + "wort " * draw.choice([0, 3, 40, 120]) for _ in range(draw.randint(1, 7))]
+        texts.append(" ".join(parts))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = credentials.scan_secrets(df, keep=["doc_id"]).select("row.doc_id", "strong", "linked").collect()
+    weak = {"identifier": credentials.IDENTIFIER, "endpoint": credentials.ENDPOINT, "opaque": credentials.OPAQUE}
+    linked = 0
+    for r in rows:
+        text = texts[r.doc_id]
+        strong = [(s.start, s.end, s.kind) for s in r.strong]
+        found = [(*m.span(), k) for k, p in weak.items() for m in re.finditer(p, text)]
+        near = lambda a, b: b[0] - a[1] <= credentials.SCOPE and a[0] - b[1] <= credentials.SCOPE
+        want = set()
+        for w in found:
+            sorts = {credentials.PARTS[o[2]] for o in strong + found if o != w and near(w, o)}
+            free = not any(s[0] < w[1] and w[0] < s[1] for s in strong)
+            if free and sorts.issuperset(credentials.COMPLETES[w[2]]):
+                want.add(w)
+        if not any(k == "identifier" for _, _, k in found) and "AKIA" not in text:
+            want = set()
+        assert {(s.start, s.end, s.kind) for s in r.linked} == want, text
+        linked += len(want)
+    assert linked > 300
+
+
+@pytest.mark.parametrize("depth", [1500, 40_000])
+def test_deep_pages(spark, shared, depth):
+    """Unclosed and closed elements beyond any depth: the text comes out in order, no task ends."""
+    body = "".join(f"<div class=d{i % 3}>" + (f"part {i}" if i % (depth // 5) == 0 else "") for i in range(depth))
+    closed = "<p>first</p>" + "<div>" * depth + "deep" + "</div>" * depth + "<p>last</p>" + "</x>" * depth
+    pages = [(i, f"http://deep.example/{i}", f"<html><body><article>{b}</article></body></html>") for i, b in enumerate([body, body, closed])]
+    pages += [(9, None, None), (10, "http://deep.example/10", ""), (10, "http://deep.example/10", "")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = [(r.page_id, r.text) for r in wrappers.extract_text(df, keep=["page_id"]).select("row.page_id", "text").collect()]
+    plain = "\n".join(f"part {i}" for i in range(depth) if i % (depth // 5) == 0)
+    assert sorted(got) == [(0, plain), (1, plain), (2, "first\ndeep\nlast"), (9, ""), (10, ""), (10, "")]
+
+
 def test_strong_secrets(spark, shared):
     draw = random.Random(8)
     bits = ["password", "TOKEN", "api_key", "apikey", "secret", " = ", ":", "=", '"', "abcdefgh", "short", "AKIA", "AKIAABCDEFGH"]
