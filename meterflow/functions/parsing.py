@@ -60,13 +60,22 @@ def iso_time(text: Column) -> Column:
     return F.when(text.rlike(ISO_TIME), text.try_cast("timestamp"))
 
 
+def any_number(text: Column) -> Column:
+    """Text as a number, infinite where it is too large; NULL for anything else."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
+
+def finite(value: Column) -> Column:
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def number(text: Column) -> Column:
     """Text as a finite number, NULL for anything else."""
-    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.when(F.abs(value) < float("inf"), value)
+    return finite(any_number(text))
 
 
 def whole_number(text: Column) -> Column:
     """Text as a whole number; fractions are rounded, other text gives NULL."""
-    rounded = F.round(number(text)).try_cast("bigint")
-    return F.coalesce(F.when(text.rlike(NUMBER), text.try_cast("bigint")), rounded)
+    whole = F.when(text.rlike(NUMBER), text.try_cast("bigint"))
+    # An infinite number is no whole one either: the cast gives NULL.
+    return F.coalesce(whole, F.round(any_number(text)).try_cast("bigint"))

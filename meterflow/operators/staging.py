@@ -79,24 +79,32 @@ def read_telemetry(
 
     With ``blanks`` the empty ones stay too, as ``blank``.
 
-    The parsed message goes through one-element explodes: a filter on its fields
-    cannot move below them, so each message is parsed once and not a second time
-    inside the filter.
+    The parsed message and its typed fields go through one-element explodes: a filter
+    on them cannot move below, so each message is parsed and each field is matched
+    and cast once and not a second time inside the filter.
     """
     listed, checked = _json_message()
     text, kept = _messages(messages, blanks)
     text = text.select(*kept, F.explode(F.array(listed)).alias("listed"))
     text = text.select(*kept, F.explode(F.array(checked)).alias("c"))
+    metrics = F.col("c.m.metrics")
+    fields = F.struct(
+        P.iso_time(F.col("c.m.timestamp")).alias("at"),
+        P.any_number(metrics["energy_kwh"]).alias("energy_kwh"),
+        P.any_number(metrics["voltage"]).alias("voltage"),
+        P.whole_number(metrics["battery_pct"]).alias("battery_pct"),
+    )
+    text = text.select(*kept, "c", F.explode(F.array(fields)).alias("t"))
     loaded = _load_time(batch_ts)
     typed = text.select(
         *kept,
         F.col("c.m.device_id").alias("device_id"),
         F.col("c.m.customer_id").alias("customer_id"),
         F.col("c.m.timestamp").alias("time_text"),
-        P.iso_time(F.col("c.m.timestamp")).alias("reading_timestamp"),
-        P.number(F.col("c.m.metrics.energy_kwh")).alias("energy_kwh"),
-        P.number(F.col("c.m.metrics.voltage")).alias("voltage"),
-        P.whole_number(F.col("c.m.metrics.battery_pct")).alias("battery_pct"),
+        F.col("t.at").alias("reading_timestamp"),
+        P.finite(F.col("t.energy_kwh")).alias("energy_kwh"),
+        P.finite(F.col("t.voltage")).alias("voltage"),
+        F.col("t.battery_pct").alias("battery_pct"),
         F.col("c.m.status").alias("status"),
         loaded.alias("ingested_at"),
         F.col("_timestamp").alias("sent_at"),
