@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from meterflow.functions import calendar as C
 from meterflow.functions import rules as R
 from meterflow.functions.keys import surrogate_key
-from meterflow.operators import deltas, enrich, progress, quality, rollups, staging
+from meterflow.operators import deltas, enrich, lookup, progress, quality, rollups, staging
 from meterflow.operators.dedup import dedup_latest
 from meterflow.plans import reports
 from meterflow.session import kept
@@ -345,6 +345,30 @@ def _(spark, sf):
     )
 
 
+@_register(
+    "join_master_spread",
+    """SELECT e.device_id, d.device_model, d.location, c.customer_name, e.energy_kwh, e.voltage, e.status
+       FROM e_readings AS e JOIN device_master AS d ON d.device_id = e.device_id
+       JOIN customer_master AS c ON c.customer_id = e.customer_id""",
+)
+def _(spark, sf):
+    return enrich.enrich_readings(
+        A.readings_from_events(spark, sf), A.device_master(spark, sf), A.customer_master(spark, sf), ship=False
+    )
+
+
+@_register(
+    "frequent_customers",
+    """SELECT customer_id, CAST(ceil(count(*) * 50 / (SELECT count(*) FROM l_readings) * 2) AS BIGINT) AS parts
+       FROM l_readings GROUP BY customer_id HAVING count(*) * 50 > (SELECT count(*) FROM l_readings)""",
+)
+def _(spark, sf):
+    rows = A.readings_from_lineitem(spark, sf).select("customer_id")
+    found = lookup.frequent_keys(rows, ["customer_id"], tasks=50)
+    customers = rows.distinct().withColumn("_key", F.xxhash64("customer_id"))
+    return customers.join(F.broadcast(found), "_key").select("customer_id", F.col("_parts").alias("parts"))
+
+
 @_register(
     "pk_duplicates",
     """SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALT = 16
+# Keys a count of frequent keys returns, and keys a task keeps counters for while counting.
+FREQUENT, COUNTERS = 1_000, 10_000
 
 # Estimates this large mean that Spark knows nothing about the size.
 UNKNOWN_BYTES = 1 << 50
@@ -37,30 +38,66 @@ def small_enough_to_broadcast(df: DataFrame) -> bool:
     return size is not None and size <= limit
 
 
+def frequent_keys(rows: DataFrame, keys: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """Hashes (``_key``) of the keys that hold more rows than a task should get, and in how many parts to cut each.
+
+    A fair share is the rows over ``tasks`` (by default the shuffle partitions). The rows are
+    counted by a sketch of frequent items: a task keeps ``COUNTERS`` counters whatever the number of
+    keys, so a count may be off by a few of ``COUNTERS``-th parts of the rows. That only moves the
+    number of parts. A part is half a share, as two may meet in one task. At most ``FREQUENT`` rows.
+    """
+    tasks = tasks or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counted = rows.select(F.xxhash64(*keys).alias("_key")).agg(
+        F.expr(f"approx_top_k(_key, {FREQUENT}, {COUNTERS})").alias("top"), F.count(F.lit(1)).alias("n")
+    )
+    share = F.col("top.count") * tasks / F.col("n")
+    return (
+        counted.select("n", F.explode("top").alias("top"))
+        .filter(share > 1)
+        .select(F.col("top.item").alias("_key"), F.ceil(share * 2).alias("_parts"))
+    )
+
+
+def salted(rows: DataFrame, table: DataFrame, keys: Sequence[str], frequent: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_salt``: rows of a frequent key are dealt to its parts, which its table row is repeated for.
+
+    All other rows have part 0, and their table rows stay single.
+    """
+    spread = [c for c in rows.columns if c not in keys] or list(keys)
+
+    def with_parts(df: DataFrame) -> DataFrame:
+        df = df.withColumn("_key", F.xxhash64(*keys)).join(F.broadcast(frequent), "_key", "left").drop("_key")
+        return df.withColumn("_parts", F.coalesce("_parts", F.lit(1).cast("bigint")))
+
+    dealt = with_parts(rows).withColumn("_salt", F.pmod(F.xxhash64(*spread), F.col("_parts")))
+    repeated = with_parts(table).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
+    return dealt.drop("_parts"), repeated.drop("_parts")
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,
     on: str | Sequence[str],
     how: str = "inner",
-    salt: int = SALT,
     bound: DataFrame | None = None,
+    counted: DataFrame | None = None,
+    ship: bool | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``table``, which holds each key at most once.
 
     A table known to be small is shipped to every task; ``bound`` is a frame at
-    least as large as ``table`` to judge by where ``table`` itself is a join. A
-    larger one is shuffled, with each key cut into ``salt`` parts on the
-    ``rows`` side and repeated ``salt`` times on the other, so that a key holding
-    a third of all rows is spread over ``salt`` tasks. The part is a hash of the
-    row itself: a re-run task puts each row where it was before.
+    least as large as ``table`` to judge by where ``table`` itself is a join, and ``ship`` decides
+    without judging. A larger one is shuffled, and the keys that hold more of ``rows`` than a task should get
+    are cut into parts by their measured share, those keys alone (:func:`frequent_keys`). Counting reads the key
+    columns once more; ``counted`` is a frame with about the same keys that is cheaper to read than ``rows``.
+    The part is a hash of the row itself: a re-run task puts each row where it was before.
+    Copies of one row stay in one part. A stream can't be counted first: its keys are not cut.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if small_enough_to_broadcast(table if bound is None else bound):
+    if small_enough_to_broadcast(table if bound is None else bound) if ship is None else ship:
         return rows.join(F.broadcast(table), keys, how)
-    if salt <= 1:
+    if rows.isStreaming:
         return rows.join(table, keys, how)
-    spread = [c for c in rows.columns if c not in keys] or keys
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salt)))
-    parts = F.array(*[F.lit(i).cast("bigint") for i in range(salt)])
-    salted_table = table.withColumn("_salt", F.explode(parts))
-    return salted_rows.join(salted_table, [*keys, "_salt"], how).drop("_salt")
+    frequent = frequent_keys(rows if counted is None else counted, keys)
+    dealt, repeated = salted(rows, table, keys, frequent)
+    return dealt.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -56,6 +56,44 @@ def test_salted_join_gives_the_same_rows(spark, no_broadcast, how):
     assert rows_of(salted) == rows_of(rows.join(table, "k", how))
 
 
+def hot_rows(spark):
+    return spark.range(3000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 500 + 2).alias("k"), "id")
+
+
+def test_only_frequent_keys_are_cut_by_their_share(spark):
+    rows = hot_rows(spark)
+    found = lookup.frequent_keys(rows, ["k"], tasks=12)
+    # A third of all rows is four fair shares of twelve, in halves.
+    assert [(r["_parts"]) for r in found.collect()] == [8]
+    table = spark.range(600).withColumnRenamed("id", "k")
+    dealt, repeated = lookup.salted(rows, table, ["k"], found)
+    assert repeated.count() == 600 + 7 and repeated.filter("k != 1").count() == 599
+    sizes = {r["_salt"]: r["count"] for r in dealt.filter("k = 1").groupBy("_salt").count().collect()}
+    assert sorted(sizes) == list(range(8)) and max(sizes.values()) < 2 * 1000 / 8
+    assert dealt.filter("k != 1 AND _salt != 0").count() == 0
+
+
+def test_even_keys_are_not_cut(spark):
+    assert lookup.frequent_keys(spark.range(1000), ["id"], tasks=8).count() == 0
+    assert lookup.frequent_keys(spark.range(0), ["id"]).count() == 0
+
+
+def test_null_keys_and_empty_tables(spark, no_broadcast):
+    rows = hot_rows(spark).withColumn("k", F.when(F.col("k") != 1, F.col("k")))
+    table = spark.range(600).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for how in ("inner", "left", "left_anti"):
+        assert rows_of(lookup_join(rows, table, "k", how)) == rows_of(rows.join(table, "k", how))
+    assert lookup_join(rows, table.limit(0), "k").count() == 0
+    assert lookup_join(rows.limit(0), table, "k").count() == 0
+
+
+def test_keys_of_several_columns_and_of_a_cheaper_frame(spark):
+    rows = hot_rows(spark).withColumn("m", F.lit("x"))
+    table = spark.range(600).select(F.col("id").alias("k"), F.lit("x").alias("m"), (F.col("id") * 2).alias("v"))
+    got = lookup_join(rows, table, ["k", "m"], counted=rows.select("k", "m"), ship=False)
+    assert rows_of(got) == rows_of(rows.join(table, ["k", "m"]))
+
+
 def test_sizes(spark, seeds, sf_dir):
     stored = spark.read.parquet(f"{sf_dir}/customer.parquet")
     assert 0 < estimated_bytes(stored) < 1 << 20
