@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from meterflow.functions import calendar as C
 from meterflow.functions import rules as R
 from meterflow.functions.keys import surrogate_key
-from meterflow.operators import deltas, enrich, lookup, progress, quality, rollups, staging
+from meterflow.operators import deltas, enrich, keyfilter, lookup, progress, quality, rollups, staging
 from meterflow.operators.dedup import dedup_latest
 from meterflow.plans import reports
 from meterflow.session import kept
@@ -332,6 +332,21 @@ def _(spark, sf):
     return staging.insert_missing(devices.unionByName(devices), held, "device_id")
 
 
+@_register(
+    "insert_past_filter",
+    """SELECT o_orderkey, o_custkey, CAST(o_totalprice AS DOUBLE) AS o_totalprice FROM orders
+       WHERE o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')""",
+)
+def _(spark, sf):
+    orders = A.table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("double"), "o_orderstatus")
+    held = orders.filter(F.col("o_orderstatus") == "F").drop("o_orderstatus")
+    blocks = keyfilter.blocks_for(held.count())
+    found = keyfilter.key_filter(held, ["o_orderkey"], blocks)
+    new = orders.drop("o_orderstatus")
+    unheld, checked = keyfilter.insert_missing_filtered(new.unionByName(new), held, "o_orderkey", found, blocks)
+    return unheld.unionByName(checked)
+
+
 @_register(
     "join_master",
     """SELECT device_id, device_model, location, customer_name, energy_kwh, voltage, status

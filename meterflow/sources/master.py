@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterflow import schemas
 from meterflow.operators.dedup import first_of_each
+from meterflow.operators.keyfilter import FULL, blocks_for, fill_share, key_filter, merged, split_by_filter
 from meterflow.operators.quality import with_master_defaults
-from meterflow.operators.staging import insert_missing
 
 TABLES = {"customer_master": schemas.CUSTOMER_MASTER, "device_master": schemas.DEVICE_MASTER}
 
@@ -46,10 +46,44 @@ def read_master(spark: SparkSession, master: Master, table: str) -> DataFrame:
     return rows.select(*[rows[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _there(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _filter_widths(spark: SparkSession, folder: str) -> list[int]:
+    """Widths of the key filters that were written to the end."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in system.listStatus(place)] if system.exists(place) else []
+    return sorted(int(n.split("-")[1]) for n in names if _there(spark, f"{folder}/{n}/_SUCCESS"))
+
+
+def held_keys(spark: SparkSession, source: Master, table: str) -> tuple[DataFrame, int, str]:
+    """The filter over the keys of a Parquet master table, its blocks and its place.
+
+    It is kept beside the table. Where there is none, or most of its bits are set, a wider one is built from
+    the table, in a place of its own: one cut short has no ``_SUCCESS`` and isn't used.
+    """
+    key, folder = schemas.MASTER_KEYS[table], f"{source.path}/_keys/{table}"
+    schema = "blocks BIGINT, block BIGINT, bits BINARY"
+    for blocks in _filter_widths(spark, folder)[-1:]:
+        held = merged(spark.read.schema(schema).parquet(f"{folder}/blocks-{blocks}"))
+        if held.agg(fill_share(held, blocks)).first()[0] <= FULL:
+            return held, blocks, f"{folder}/blocks-{blocks}"
+    rows = read_master(spark, source, table)
+    blocks = max([blocks_for(rows.count()), *(w + 1 for w in _filter_widths(spark, folder))])
+    place = f"{folder}/blocks-{blocks}"
+    key_filter(rows, [key], blocks).write.mode("overwrite").parquet(place)
+    return merged(spark.read.schema(schema).parquet(place)), blocks, place
+
+
 def add_missing(spark: SparkSession, source: Master, table: str, rows: DataFrame) -> None:
     """Insert the rows whose key a Parquet master table lacks; a second run adds nothing.
 
-    The first run creates the table. Relational masters are read only: a source
+    The first run creates the table. A filter over the held keys tells most new keys apart; the table is only
+    read if a key may be there. New keys go to the filter before the rows go to the table: what a run cut short leaves
+    is a key too many, which is then looked for. One writer at a time. Relational masters are read only: a source
     without a path is refused.
     """
     if source.path is None:
@@ -57,11 +91,17 @@ def add_missing(spark: SparkSession, source: Master, table: str, rows: DataFrame
     key = schemas.MASTER_KEYS[table]
     rows = with_master_defaults(rows, table).select(*TABLES[table].names)
     path = f"{source.path}/{table}"
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
-        missing = insert_missing(rows, read_master(spark, source, table), key)
-    else:
-        missing = first_of_each(rows, [key])
+    if not _there(spark, path):
+        first_of_each(rows, [key]).write.mode("append").parquet(path)
+        return
+    held, blocks, place = held_keys(spark, source, table)
+    missing, unsure = split_by_filter(rows, key, held, blocks)
+    if not unsure.isEmpty():
+        stored = read_master(spark, source, table).select(key)
+        missing = missing.unionByName(unsure.join(stored, key, "left_anti").select(*rows.columns))
+    if missing.isEmpty():
+        return
+    key_filter(missing, [key], blocks).write.mode("append").parquet(place)
     missing.write.mode("append").parquet(path)
 
 
