@@ -92,7 +92,8 @@ def _l_daily(spark, sf):
 
 
 def _l_monthly(spark, sf):
-    return rollups.device_monthly(_l_daily(spark, sf))
+    hours = rollups.device_hourly(A.readings_from_lineitem(spark, sf))
+    return rollups.device_monthly(rollups.device_daily(rollups.by_device(hours)))
 
 
 def _l_customer_monthly(spark, sf):

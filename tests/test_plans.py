@@ -39,6 +39,19 @@ def test_rollups_combine_before_the_shuffle(spark, sf_dir):
     assert "partial_sum" in text[text.index("Exchange"):]
 
 
+def test_days_and_months_share_one_exchange(spark, sf_dir):
+    hours = rollups.device_hourly(A.readings_from_lineitem(spark, sf_dir))
+    apart = rollups.device_monthly(rollups.device_daily(hours))
+    shared = rollups.device_monthly(rollups.device_daily(rollups.by_device(hours)))
+    assert plan(apart).count("Exchange hashpartitioning") == 4
+    assert plan(shared).count("Exchange hashpartitioning") == 3
+    # Readings of a busy device are still combined before they move, by the hour.
+    text = plan(shared)
+    assert re.search(r"Exchange hashpartitioning\(device_id#\d+, customer_id#\d+, _groupingexpression", text)
+    both = [df.select("device_id", "customer_id", "reading_month", "active_days", "reading_count") for df in (apart, shared)]
+    assert both[0].exceptAll(both[1]).isEmpty() and both[1].exceptAll(both[0]).isEmpty()
+
+
 def test_each_message_is_parsed_once(spark, sf_dir, tmp_path):
     A.telemetry_messages(spark, sf_dir).write.parquet(str(tmp_path / "t"))
     rows = staging.parse_telemetry(spark.read.parquet(str(tmp_path / "t")), A.LOADED_AT)
