@@ -33,10 +33,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, or a temporary one of this machine where none is set (tests)."""
+    """The cluster's shared folder. A local session without one (tests) gets a temporary one, a cluster an error."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="llm-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")

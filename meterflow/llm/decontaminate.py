@@ -23,12 +23,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterflow.llm.batches import by_slice
-from meterflow.llm.common import packed, whole, with_row
+from meterflow.llm.common import packed, whole, with_row, written
 
 GRAM, EDITS = 10, 0.08
 # Items of fewer characters are looked for unchanged, where parts are asked for, else not at all.
@@ -280,12 +280,17 @@ def align(item: np.ndarray, text: np.ndarray, low: int, width: int, budget: int)
 _BLOCKS: dict[tuple, Items] = {}
 
 
-def _blocks(benchmark: DataFrame, block_chars: int) -> DataFrame:
-    """(item_id, text, block): items in blocks of about ``block_chars`` characters, in the order of ids."""
+def _blocks(benchmark: DataFrame, block_chars: int) -> tuple[DataFrame, int]:
+    """(item_id, text, block) of the different items, written once, and the number of blocks.
+
+    Items are dealt by their hash to as many blocks as make about ``block_chars`` characters each.
+    """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), whole(F.col("text")).alias("text"))
     items = items.distinct()
-    so_far = F.sum(F.length("text")).over(Window.orderBy("item_id", "text"))
-    return items.withColumn("block", F.floor((so_far - F.length("text")) / block_chars).cast("int"))
+    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)), F.count(F.lit(1))).first()
+    count = max(1, -(-total[0] // block_chars)) if total[1] else 0
+    dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, count))).cast("int"))
+    return written(dealt, "items"), count
 
 
 def find_leaks(
@@ -307,7 +312,7 @@ def find_leaks(
     a window of 100 of their characters, every 50th, is held with its share of edits;
     ``edits`` has the characters outside the window then, start and end are the window's.
     Without, neither is found. Null or empty items are never found; equal items are
-    found each. A null text is empty.
+    found each. Leaks are in the order of their items' ids. A null text is empty.
     Repeated rows get the same leaks; an empty table gives no rows, and an empty
     benchmark no leaks.
     """
@@ -315,18 +320,17 @@ def find_leaks(
         packed(documents, keep),
         whole(F.col("text")).alias("text"),
     )
-    blocks = _blocks(benchmark, block_chars)
-    last = blocks.agg(F.max("block")).first()[0]
+    blocks, count = _blocks(benchmark, block_chars)
     leak = T.StructType().add("item_id", "long").add("edits", "integer").add("start", "integer").add("end", "integer")
     out = rows.withColumn("leaks", F.array().cast(T.ArrayType(leak)))
     schema = with_row(rows, text="string", leaks=T.ArrayType(leak))
-    for number in range(-1 if last is None else last + 1):
-        # A block is bounded by block_chars and one item.
+    for number in range(count):
+        # A block has about block_chars characters, and the whole of its longest item.
         items = [tuple(r) for r in blocks.filter(F.col("block") == number).select("item_id", "text").collect()]
         out = out.mapInArrow(
             by_slice(_finder(sorted(items, key=lambda x: (x[0] is None, x)), gram, share, parts)), schema
         )
-    return out.select("row", "leaks")
+    return out.select("row", F.sort_array("leaks").alias("leaks"))
 
 
 def _finder(items: list[tuple[int, str]], gram: int, share: float, parts: bool):

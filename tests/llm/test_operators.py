@@ -59,6 +59,8 @@ ON_DOCUMENTS = {
     "lines": lambda d: line_runs.dedup_lines(d),
     "near": lambda d: jaccard_forest.join_near(d),
     "leaks": lambda d: decontaminate.find_leaks(d, d.select(F.col("doc_id").alias("item_id"), "text").limit(0)),
+    "leaks_held": lambda d: decontaminate.find_leaks(
+        d, d.select(F.col("doc_id").alias("item_id"), F.substring("text", 1, 400).alias("text")), block_chars=500, parts=True),
 }
 
 
