@@ -1,15 +1,19 @@
 """Near-duplicate join on word shingles by an LSH forest of MinHash signatures.
 
 Each tree of the forest is a sorted list of signatures, which is a trie read in
-order: neighbours in it share a prefix. The prefix that counts as a match is one
-length for all trees, fixed before any row is read: the longest at which the recall
-of a pair at the threshold reaches the target. Matches chain texts into candidate groups, and inside a group all pairs
+order: neighbours in it share a prefix, and one walk notes how long it is. Matching
+starts at the full depth. What matches there forms candidate groups; from the
+agreement of the signatures that met, a group's expected recall at this depth is
+worked out. Groups that reach the target are settled. The prefixes of the others, and
+of texts that have met none, are shortened by one value, and so on until none is
+left; a settled group is still a partner for those that go on. Inside a group all pairs
 of texts are verified exactly, in blocks, without emitting them: a text gets its
 number of links, a block the links that span it.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,6 +25,8 @@ from meterflow.llm.batches import by_slice
 from meterflow.llm.common import packed, whole, written
 from meterflow.llm.components import components
 
+log = logging.getLogger(__name__)
+
 WORDS, SIMILARITY = 5, 0.8
 TREES, DEPTH, RECALL = 18, 5, 0.9999
 # Texts and bytes of one block of a candidate group.
@@ -31,9 +37,14 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _ODD = 0x9E3779B97F4A7C15
 
 
-def matched_depth(similarity: float, trees: int, depth: int, recall: float) -> int:
-    """Longest prefix at which a pair of this similarity is found with the wanted probability."""
-    while depth > 1 and 1 - (1 - similarity**depth) ** trees < recall:
+def found_share(similarity: float | np.ndarray, trees: int, level: int) -> float | np.ndarray:
+    """Probability that a pair of this similarity shares ``level`` values in one of the trees."""
+    return 1 - (1 - similarity**level) ** trees
+
+
+def last_level(similarity: float, trees: int, depth: int, recall: float) -> int:
+    """Longest prefix at which even texts that met nothing reach the target, by what a pair at the threshold has."""
+    while depth > 1 and found_share(similarity, trees, depth) < recall:
         depth -= 1
     return depth
 
@@ -129,7 +140,7 @@ def _signed(texts: DataFrame, words: int, trees: int, depth: int) -> DataFrame:
 
 
 def _matches(signed: DataFrame, trees: int, depth: int, least: int) -> DataFrame:
-    """Links (a, b) between neighbours of each tree that share ``least`` values or more.
+    """Links (a, b, level) between neighbours of each tree, with the values they share, ``least`` or more.
 
     The trees are range-partitioned by sampled splitters and sorted; what stands at
     the ends of the partitions is compared in a second, small step.
@@ -150,38 +161,107 @@ def _matches(signed: DataFrame, trees: int, depth: int, least: int) -> DataFrame
     )
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = rows.repartitionByRange(n, "leaf", "tid").sortWithinPartitions("leaf", "tid")
-    short = 1 + 4 * least
+    levels = range(depth, least - 1, -1)
 
     def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before: tuple[bytes, str] | None = None
         for batch in batches:
-            leaves, tids = batch.column("leaf").to_pylist(), batch.column("tid").to_pylist()
-            a, b, edge = [], [], []
-            for leaf, tid in zip(leaves, tids):
+            out = []
+            for leaf, tid in zip(batch.column("leaf").to_pylist(), batch.column("tid").to_pylist()):
                 if before is None:
-                    a.append(tid), b.append(None), edge.append(leaf)
-                elif tid != before[1] and leaf[:short] == before[0][:short]:
-                    a.append(tid), b.append(before[1]), edge.append(None)
+                    out.append((tid, None, None, leaf))
+                elif tid != before[1] and leaf[: 1 + 4 * least] == before[0][: 1 + 4 * least]:
+                    shared = next(k for k in levels if leaf[: 1 + 4 * k] == before[0][: 1 + 4 * k])
+                    out.append((tid, before[1], shared, None))
                 before = leaf, tid
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(edge, pa.binary())],
-                names=["a", "b", "leaf"],
-            )
+            yield links_of(out)
         if before is not None:
+            yield links_of([(before[1], None, None, before[0])])
+
+    def links_of(rows: list[tuple]) -> pa.RecordBatch:
+        a, b, level, leaf = zip(*rows) if rows else ((), (), (), ())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(level, pa.int32()), pa.array(leaf, pa.binary())],
+            names=["a", "b", "level", "leaf"],
+        )
+
+    found = written(ordered.mapInArrow(walk, "a string, b string, level int, leaf binary"), "forest")
+    # Two rows a partition, in the order of the trees: those of one prefix belong together.
+    ends = found.filter("b is null").select("a", "leaf", F.explode(F.lit(list(levels))).alias("level"))
+    ends = ends.select("a", "level", F.substring("leaf", F.lit(1), 1 + 4 * F.col("level")).alias("prefix"))
+    heads = ends.groupBy("level", "prefix").agg(F.min("a").alias("b"))
+    return (
+        found.filter("b is not null")
+        .select("a", "b", "level")
+        .unionByName(ends.join(heads, ["level", "prefix"]).select("a", "b", "level"))
+        .filter("a != b")
+    )
+
+
+def _expected(met: DataFrame, distinct: DataFrame, trees: int, level: int, similarity: float) -> DataFrame:
+    """(root, n_met, n_expected) per group of the links (a, b, root) that met at ``level``.
+
+    The similarity of a link is the share of values in which its signatures agree;
+    a link of similarity s that met stands for 1 / found_share(s) such links. Links
+    below the threshold are none, and not counted.
+    """
+    signatures = distinct.select("tid", "signature")
+    pairs = met.join(signatures.withColumnsRenamed({"tid": "a", "signature": "left"}), "a").join(
+        signatures.withColumnsRenamed({"tid": "b", "signature": "right"}), "b"
+    )
+
+    def weigh(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), ">u4").reshape(batch.num_rows, -1)
+                for c in ("left", "right")
+            )
+            share = (left == right).mean(axis=1) if batch.num_rows else np.empty(0)
+            true = share >= similarity
+            weight = np.where(true, 1 / found_share(np.maximum(share, similarity), trees, level), 0.0)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([before[1]], pa.string()),
-                    pa.array([None], pa.string()),
-                    pa.array([before[0]], pa.binary()),
-                ],
-                names=["a", "b", "leaf"],
+                [batch.column("root"), pa.array(true.astype(np.int64)), pa.array(weight)],
+                names=["root", "n_met", "n_expected"],
             )
 
-    found = written(ordered.mapInArrow(walk, "a string, b string, leaf binary"), "forest")
-    # Two rows a partition, in the order of the trees: those of one prefix belong together.
-    ends = found.filter("b is null").select("a", F.substring("leaf", 1, short).alias("prefix"))
-    heads = ends.groupBy("prefix").agg(F.min("a").alias("b"))
-    return found.filter("b is not null").select("a", "b").unionByName(ends.join(heads, "prefix").select("a", "b"))
+    weighed = pairs.select("root", "left", "right").mapInArrow(weigh, "root string, n_met long, n_expected double")
+    return weighed.groupBy("root").agg(F.sum("n_met").alias("n_met"), F.sum("n_expected").alias("n_expected"))
+
+
+def _groups(distinct: DataFrame, trees: int, depth: int, similarity: float, recall: float) -> DataFrame:
+    """(node, root): the candidate group of each text that met another, by prefixes shortened level by level."""
+    last = last_level(similarity, trees, depth, recall)
+    links = written(_matches(distinct, trees, depth, last).distinct(), "matches")
+    groups = written(components(links.filter(F.col("level") == depth).select("a", "b")), "groups")
+    for level in range(depth, last, -1):
+        rooted = groups.withColumnRenamed("node", "a")
+        met = links.filter(F.col("level") >= level).select("a", "b").distinct().join(rooted, "a")
+        rated = written(
+            _expected(met, distinct, trees, level, similarity).withColumn(
+                "settled", F.expr(f"n_met > 0 and n_met >= {recall}D * n_expected")
+            ),
+            "recall",
+        )
+        one = rated.agg(
+            F.count("*").alias("n"), F.sum(F.col("settled").cast("long")).alias("settled"), F.sum("n_met").alias("met"),
+            F.sum("n_expected").alias("expected"),
+        ).first()
+        log.info("level %d: %d groups, %s settled, %s links met of %s expected", level, *one)
+        named = groups.join(rated.select("root", "settled"), "root", "left")
+        shorter = links.filter(F.col("level") == level - 1).select("a", "b")
+        for end in ("a", "b"):
+            side = named.select(
+                F.col("node").alias(end), F.col("root").alias(f"root_{end}"), F.col("settled").alias(f"settled_{end}")
+            )
+            shorter = shorter.join(side, end, "left")
+        opened = shorter.filter("not coalesce(settled_a, false) or not coalesce(settled_b, false)").select(
+            F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")
+        )
+        merged = written(components(opened), "merged")
+        into = merged.select(F.col("node").alias("root"), F.col("root").alias("into"))
+        moved = groups.join(into, "root", "left").select("node", F.coalesce("into", "root").alias("root"))
+        groups = written(moved.unionByName(merged.join(groups, "node", "left_anti").select("node", "root")), "groups")
+    return groups
 
 
 class _Roots:
@@ -303,8 +383,7 @@ def join_near(
         F.first("signature").alias("signature"),
     )
     distinct = written(distinct, "texts")
-    least = matched_depth(similarity, trees, depth, recall)
-    groups = written(components(_matches(distinct, trees, depth, least)), "groups")
+    groups = _groups(distinct, trees, depth, similarity, recall)
     sizes = groups.join(distinct.select(F.col("tid").alias("node"), "n_bytes"), "node").groupBy("root").agg(
         F.greatest(
             F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("n_bytes") / BLOCK_BYTES)

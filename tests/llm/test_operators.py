@@ -490,10 +490,31 @@ def test_near_duplicates(spark, shared, monkeypatch):
         assert {r[0]: tuple(r[1:]) for r in out} == want
 
 
-def test_prefix_is_shortened_to_the_recall():
-    assert jaccard_forest.matched_depth(0.8, 18, 5, 0.9999) == 4
-    assert jaccard_forest.matched_depth(0.99, 18, 5, 0.9999) == 5
-    assert jaccard_forest.matched_depth(0.3, 2, 5, 0.9999) == 1
+def test_last_level_holds_the_recall_without_any_match():
+    assert jaccard_forest.last_level(0.8, 18, 5, 0.9999) == 4
+    assert jaccard_forest.last_level(0.99, 18, 5, 0.9999) == 5
+    assert jaccard_forest.last_level(0.3, 2, 5, 0.9999) == 1
+
+
+def test_prefixes_are_shortened_for_groups_below_the_recall_only(spark, shared, caplog):
+    # Two trees of three values: a and b agree throughout; c and d share two values of a tree.
+    signs = {"a": [1, 2, 3, 4, 5, 6], "b": [1, 2, 3, 4, 5, 6], "c": [7, 8, 9, 9, 9, 9], "d": [7, 8, 1, 1, 1, 1]}
+    # e shares two values with a and b, which are settled, and is met as it is open itself.
+    signs["e"] = [1, 2, 7, 7, 7, 7]
+    # Two settled groups that share two values stay apart.
+    signs["f"] = signs["g"] = [5, 5, 5, 5, 5, 5]
+    signs["h"] = signs["i"] = [5, 5, 6, 6, 6, 6]
+    rows = [(t, b"".join(x.to_bytes(4, "big") for x in v)) for t, v in signs.items()]
+    rows.append(("z", b""))
+    distinct = spark.createDataFrame(rows, "tid string, signature binary")
+    with caplog.at_level("INFO", "meterflow.llm.jaccard_forest"):
+        out = jaccard_forest._groups(distinct, 2, 3, 0.8, 0.87).collect()
+    groups = {}
+    for node, root in out:
+        groups.setdefault(root, set()).add(node)
+    assert sorted(map(sorted, groups.values())) == [["a", "b", "e"], ["c", "d"], ["f", "g"], ["h", "i"]]
+    assert len(out) == 9
+    assert ["level 3: 3 groups, 3 settled, 3 links met of 3.0 expected"] == [r.getMessage() for r in caplog.records]
 
 
 def test_components(spark, shared):
