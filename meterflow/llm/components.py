@@ -25,23 +25,28 @@ def _starred(edges: DataFrame, larger: bool) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("least").alias("b"))).distinct()
 
 
+def _crooked(edges: DataFrame) -> int:
+    """Nodes of (a, b) with several smaller neighbours, or with a smaller and a larger one: none in a set of stars."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("below"), F.lit(0).alias("above")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("below"), F.lit(1).alias("above"))
+    )
+    sides = ends.groupBy("node").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return sides.filter(F.col("below") + F.col("above") * F.signum("below") > 1).agg(F.count("*")).first()[0]
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the links (a, b); the root is the smallest node reached.
 
     Links may repeat, stand in either order or join a node to itself (then it gets
     no row unless another link has it). Every round is written to the shared
-    folder, so its lineage stays short. No links give no rows.
+    folder, so its lineage stays short; rounds end when only stars are left. No links give no rows.
     """
     edges = links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = written(edges, "links")
-    mark = None
     for _ in range(MAX_ROUNDS):
-        edges = written(_starred(_starred(edges, True), False), "links")
-        # Order doesn't count in the sum, so equal sets of links have equal marks.
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == mark:
+        if not _crooked(edges):
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             )
-        mark = now
+        edges = written(_starred(_starred(edges, True), False), "links")
     raise RuntimeError("links didn't settle")
