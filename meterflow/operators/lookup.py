@@ -7,9 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meterflow.session import MAX_REDUCERS
+
 # Keys a count of frequent keys returns, and keys a task keeps counters for while counting.
 FREQUENT, COUNTERS = 1_000, 10_000
 
+# Bytes of files that the rows a task groups in memory should stem from; the groups take far more room there.
+TASK_BYTES = 8 << 20
+
 # Estimates this large mean that Spark knows nothing about the size.
 UNKNOWN_BYTES = 1 << 50
 
@@ -22,6 +27,30 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return size if size < UNKNOWN_BYTES else None
 
 
+def stored_bytes(df: DataFrame) -> int | None:
+    """Size of the files a frame is read from, each as often as it is read; None where Spark does not know."""
+    if not hasattr(df, "_jdf") or df.isStreaming:
+        return None
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(sizes) if max(sizes, default=0) < UNKNOWN_BYTES else None
+
+
+def tasks_by_size(df: DataFrame) -> int | None:
+    """Tasks that leave each about ``TASK_BYTES`` of a frame's files; None where the usual ones do.
+
+    Adaptive execution joins what it finds small, up to 64 MB of compressed shuffle a task: a task's memory
+    grows with the input until then. A number that is asked for by ``repartition`` stays.
+    """
+    size = stored_bytes(df)
+    if size is None:
+        return None
+    spark = df.sparkSession
+    usual = min(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    needed = min(MAX_REDUCERS, -(-size // TASK_BYTES))
+    return needed if needed > usual else None
+
+
 def broadcast_limit(df: DataFrame) -> int:
     raw = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
     text = raw.strip().lower().removesuffix("b")

@@ -14,6 +14,7 @@ from meterflow import schemas
 from meterflow.functions import calendar as C
 from meterflow.functions import rules as R
 from meterflow.operators.dedup import dedup_latest
+from meterflow.operators.lookup import tasks_by_size
 
 # The time comes first: it tells rows apart by a fixed-width sort prefix, where
 # device ids share theirs.
@@ -114,9 +115,11 @@ def by_device(hours: DataFrame) -> DataFrame:
     """Hours with those of one device and customer in one task: the days and months made of them need no further shuffle.
 
     For a chain of grains in one job. Unlike readings, hours are few however busy a device is, at most 8,784
-    a year, so a device that sends a third of all readings is a small group by now.
+    a year, so a device that sends a third of all readings is a small group by now. A large input gets tasks by
+    its size, as all its days, months and customer months are held in memory side by side.
     """
-    return hours.repartition("device_id", "customer_id")
+    tasks = tasks_by_size(hours)
+    return hours.repartition(*([] if tasks is None else [tasks]), "device_id", "customer_id")
 
 
 def device_daily(hourly: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 
 from meterflow import schemas
 from meterflow.operators import rollups as M
+from meterflow.operators.lookup import tasks_by_size
 from tests.helpers import LOADED, brute_hourly, dicts_of, readings, ts
 
 LATER = LOADED + dt.timedelta(days=1)
@@ -151,3 +152,31 @@ def test_month_to_date_up_to_as_of(spark):
 
 def test_month_without_data_is_empty(spark):
     assert M.customer_usage_mtd(mtd_input(spark), dt.date(2024, 2, 2)).count() == 0
+
+
+def test_tasks_of_device_hours_follow_the_size_of_the_input(spark, tmp_path, monkeypatch):
+    rows = random_rows(900, 11, devices=12)
+    readings(spark, rows).write.parquet(str(tmp_path / "readings"))
+    stored = spark.read.parquet(str(tmp_path / "readings"))
+    hours = M.device_hourly(stored)
+    size = sum(f.stat().st_size for f in (tmp_path / "readings").glob("*.parquet"))
+    small = M.by_device(hours)
+    # One task each for what a tenth of the files holds; adaptive execution does not join them again.
+    monkeypatch.setattr("meterflow.operators.lookup.TASK_BYTES", -(-size // 10))
+    large, larger = M.by_device(hours), M.by_device(M.device_hourly(stored.unionByName(stored)))
+    assert [df.rdd.getNumPartitions() for df in (large, larger)] == [10, 20]
+    assert small.rdd.getNumPartitions() <= 4
+    months = [M.customer_monthly(M.device_monthly(M.device_daily(df))) for df in (small, large)]
+    kept = [df.select("customer_id", "reading_month", "total_readings", "total_devices", "max_voltage") for df in months]
+    assert kept[0].count() > 0
+    assert kept[0].exceptAll(kept[1]).isEmpty() and kept[1].exceptAll(kept[0]).isEmpty()
+
+
+def test_tasks_by_size_stay_as_usual_where_nothing_is_known(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("meterflow.operators.lookup.TASK_BYTES", 1)
+    monkeypatch.setattr("meterflow.operators.lookup.MAX_REDUCERS", 50)
+    rows = readings(spark, random_rows(50, 3))
+    assert tasks_by_size(rows) is None  # rows from the driver
+    rows.write.parquet(str(tmp_path / "readings"))
+    assert tasks_by_size(spark.read.parquet(str(tmp_path / "readings"))) == 50
+    assert tasks_by_size(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "readings"))) is None
