@@ -2,13 +2,13 @@
 
 Spark deals the different vectors out to shards of bounded size. Each shard's graph is
 built in one task by batches of greedy searches, whose visited nodes are pruned to diverse
-edges, and written as rows of the index. Queries then meet every shard: a beam search in
+edges, and written as rows of the index. Queries then stream past every shard: a beam search in
 each, and one ranking over what all of them found.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -295,53 +295,86 @@ def search(
     id that holds several vectors is ranked once for each as a query. Queries against an
     empty index, and no queries, give no rows.
     """
+    spark = index.sparkSession
     first = index.select(F.size("v").alias("length")).first()
     length = first["length"] if first else 0
     asked = _vectors(queries, column, key).filter(F.size("v") == length).dropDuplicates(["id", "v"])
-    asked = written(asked, "queries")
-    n_queries, shards = asked.count(), index.agg(F.max("shard")).first()[0]
+    # The number stands for id and vector, so that what is found needn't carry the vector.
+    asked = written(asked.withColumn("query", F.monotonically_increasing_id()), "queries")
+    n_queries, shards = asked.count(), (index.agg(F.max("shard")).first()[0] or 0) + 1
     blocks = max(1, -(-n_queries // query_rows))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     asked = asked.withColumn("block", _shard(F.struct("id", "v"), n_queries, query_rows))
-    asked = asked.select("id", "v", "block", every((shards or 0) + 1).alias("shard"))
-    graphs = index.withColumn("block", every(blocks))
-
-    def look_up(graph: pa.Table, block: pa.Table) -> pa.Table:
-        if not graph.num_rows or not block.num_rows:
-            return pa.table({n: pa.array([], t) for n, t in _FOUND})
-        graph = graph.take(pa.array(np.argsort(graph.column("node").to_numpy())))
-        vectors = matrix(graph.column("v").combine_chunks(), length)
-        asked_for = matrix(block.column("v").combine_chunks(), length)
-        lists = graph.column("edges").combine_chunks()
-        counts = np.diff(lists.offsets.to_numpy())
-        edges = np.full((len(vectors), max(1, counts.max())), -1, dtype=np.int32)
-        edges[np.arange(edges.shape[1]) < counts[:, None]] = lists.flatten().to_numpy()
-        ids = graph.column("ids").combine_chunks()
-        bounds, ids = ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten().to_numpy()
-        out = list(_results(vectors, edges, graph.column("start")[0].as_py(), asked_for, beam, neighbours))
-        q, node, score = (np.concatenate(part) for part in zip(*out))
-        n = (bounds[1:] - bounds[:-1])[node]
-        # Every id of the vectors found.
-        flat = np.repeat(bounds[:-1][node] - np.cumsum(n) + n, n) + np.arange(n.sum())
-        q, score, found = np.repeat(q, n), np.repeat(score, n), ids[flat]
-        own = block.column("id").to_numpy()[q] == found
-        q, score, found = q[~own], score[~own], found[~own]
-        order = np.lexsort((found, -score, q))
-        q, score, found = q[order], score[order], found[order]
-        place = np.arange(len(q)) - np.searchsorted(q, q)
-        kept = place < neighbours
-        q, score, found = q[kept], score[kept], found[kept]
-        some = block.take(pa.array(q))
-        return pa.table({"id": some.column("id"), "v": some.column("v").cast(pa.list_(pa.float64())), "vec_id": pa.array(found), "score": pa.array(score)})
-
-    found = graphs.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block"))
-    found = found.applyInArrow(look_up, "id long, v array<double>, vec_id long, score double")
-    place = F.row_number().over(Window.partitionBy("id", "v").orderBy(F.desc("score"), "vec_id"))
+    asked = asked.withColumn("shard", every(shards))
+    met = index.withColumn("block", every(blocks)).unionByName(asked, allowMissingColumns=True)
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shards * blocks)
+    # A shard's nodes in order, then the queries that meet it.
+    met = met.repartition(n, "shard", "block").sortWithinPartitions("shard", "block", F.col("node").asc_nulls_last())
+
+    def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Keeps one shard's graph; queries go through as they come."""
+        place, nodes, graph = None, [], None
+        for batch in batches:
+            for here, is_node, rows in _stretches(batch):
+                if here != place:
+                    place, nodes, graph = here, [], None
+                if is_node:
+                    nodes.append(rows)
+                    continue
+                if nodes:
+                    graph, nodes = _Graph(pa.Table.from_batches(nodes), length), []
+                if graph is not None:
+                    yield from graph.nearest(rows, beam, neighbours)
+
+    found = met.mapInArrow(look_up, "query long, id long, vec_id long, score double")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     ranked = found.withColumn("rank", place).filter(F.col("rank") <= neighbours)
     return ranked.select(F.col("id").alias("query_id"), F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
-_FOUND = [("id", pa.int64()), ("v", pa.list_(pa.float64())), ("vec_id", pa.int64()), ("score", pa.float64())]
+def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[tuple[int, int], bool, pa.RecordBatch]]:
+    """Shard and block, whether they are nodes, and rows: the parts of a sorted batch that are alike in these."""
+    shard, block = (batch.column(c).to_numpy() for c in ("shard", "block"))
+    is_node = batch.column("node").is_valid().to_numpy(zero_copy_only=False)
+    other = (shard[1:] != shard[:-1]) | (block[1:] != block[:-1]) | (is_node[1:] != is_node[:-1])
+    bounds = [0, *(np.nonzero(other)[0] + 1).tolist(), batch.num_rows]
+    for begin, end in zip(bounds, bounds[1:]):
+        if end > begin:
+            yield (int(shard[begin]), int(block[begin])), bool(is_node[begin]), batch.slice(begin, end - begin)
+
+
+class _Graph:
+    """One shard's graph, from its rows in the order of the nodes."""
+
+    def __init__(self, rows: pa.Table, length: int) -> None:
+        self.vectors = matrix(rows.column("v").combine_chunks(), length)
+        lists = rows.column("edges").combine_chunks()
+        counts = np.diff(lists.offsets.to_numpy())
+        self.edges = np.full((len(self.vectors), max(1, counts.max())), -1, dtype=np.int32)
+        self.edges[np.arange(self.edges.shape[1]) < counts[:, None]] = lists.flatten().to_numpy()
+        ids = rows.column("ids").combine_chunks()
+        self.bounds, self.ids = ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten().to_numpy()
+        self.start = rows.column("start")[0].as_py()
+        self.length = length
+
+    def nearest(self, block: pa.RecordBatch, beam: int, neighbours: int) -> Iterator[pa.RecordBatch]:
+        """Query's number and id, id found and score, in batches of few queries."""
+        queries, query_ids = block.column("query").to_numpy(), block.column("id").to_numpy()
+        asked = matrix(block.column("v"), self.length)
+        for q, node, score in _results(self.vectors, self.edges, self.start, asked, beam, neighbours):
+            first = self.bounds[:-1][node]
+            n = self.bounds[1:][node] - first
+            # Every id of the vectors found.
+            flat = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+            q, score, found = np.repeat(q, n), np.repeat(score, n), self.ids[flat]
+            own = query_ids[q] == found
+            q, score, found = q[~own], score[~own], found[~own]
+            order = np.lexsort((found, -score, q))
+            q, score, found = q[order], score[order], found[order]
+            kept = np.arange(len(q)) - np.searchsorted(q, q) < neighbours
+            q, score, found = q[kept], score[kept], found[kept]
+            columns = [queries[q], query_ids[q], found, score]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["query", "id", "vec_id", "score"])
 
 
 def _results(

@@ -288,6 +288,50 @@ def test_fewer_candidates_than_asked_for(spark, shared):  # noqa: F811
     assert pruned_graph.nearest(table, table.limit(0)).count() == 0
 
 
+def python_bytes(df):
+    """Bytes that Python workers sent back while the rows were collected."""
+    df.collect()
+    nodes, total = [df._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+        if node.metrics().contains("pythonDataReceived"):
+            total += node.metrics().apply("pythonDataReceived").value()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_what_is_found_carries_no_vectors(spark, shared):  # noqa: F811
+    """A task's results are a few numbers a row, however long the vectors are that were asked for."""
+    draw = np.random.default_rng(3)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(draw.normal(size=(400, 200)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    index = pruned_graph.build_index(table, neighbours=10)
+    found = python_bytes(pruned_graph.search(index, table, neighbours=10))
+    assert 400 * 10 * 24 <= found < 400 * 10 * 100
+
+
+def test_groups_may_be_cut_by_batches(spark, shared):  # noqa: F811
+    """Nodes and queries of one shard come in several batches, and several shards in one."""
+    draw = np.random.default_rng(4)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(draw.normal(size=(150, 5)))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    index = pruned_graph.build_index(table, neighbours=6, shard_rows=40)
+    want = nearest_plainly(rows, lambda i: i % 3 == 0, 6)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = defaultdict(list)
+        for r in pruned_graph.search(index, table.filter("vec_id % 3 = 0"), neighbours=6, query_rows=20).collect():
+            got[r.query_id].append((r.rank, r.vec_id))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {q: [j for _, j in sorted(found)] for q, found in got.items()} == {q: [j for _, j in best] for q, (best,) in want.items()}
+
+
 def recall(got, vectors, k):
     """Share of the true nearest that were found, over all queries."""
     ids = np.array(sorted(vectors))
